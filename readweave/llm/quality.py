@@ -40,7 +40,7 @@ TERMS = CLASSES * CLASSES
 #: Shares of a text that stand beside the terms, each spread over SHARE_BINS slots with this weight.
 SHARES = 5
 SHARE_BINS = 12
-SHARE_WEIGHT = 0.35
+SHARE_WEIGHT = 0.6
 
 LINED = np.ones(256, dtype=bool)
 LINED[[0x0A, 0x0D]] = False
