@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -56,6 +57,23 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Units whose ids a worker remembers between blocks: the first so many that it met.
+REMEMBERED = 300_000
+_memory: dict[str, dict[str, bytes]] = {}
+
+
+def _ids(parts: list[str], path: str) -> list[bytes]:
+    """Ids of each part as native 32-bit numbers."""
+    known = _memory.setdefault(path, {})
+    out = [known.get(x) for x in parts]
+    missing = [k for k, x in enumerate(out) if x is None]
+    for k, e in zip(missing, tokenizer(path).encode_batch_fast([parts[k] for k in missing], add_special_tokens=False), strict=True):
+        out[k] = array("I", e.ids).tobytes()
+        if len(known) < REMEMBERED:
+            known[parts[k]] = out[k]
+    return out
+
+
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """Parts of all texts that can be encoded by themselves, and first-offsets by text.
 
@@ -94,9 +112,9 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     parts, first = units(data, offsets)
     coded = parts.dictionary_encode()
     codes = coded.indices.to_numpy().astype(np.int64)
-    ids = [e.ids for e in tokenizer(path).encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-    size = np.array([len(x) for x in ids], np.int64)
-    flat = np.array([i for x in ids for i in x], np.uint32)
+    ids = _ids(coded.dictionary.to_pylist(), path)
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), np.uint32)
     begin = np.cumsum(size) - size
     count = size[codes]
     done = np.concatenate([[0], np.cumsum(count)])

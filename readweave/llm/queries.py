@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readweave.llm import decontaminate, fingerprints, packing, quality, secrets, simhash
+from readweave.llm import chat, decontaminate, fingerprints, licenses, lm_scoring, packing, quality, secrets, simhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,20 @@ def remainder(n: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), remainder(7) == 2)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rendering, its mask as text start-end,start-end so that rows compare by value."""
+    spans = F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string"))), ",")
+    return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("mask", spans)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(remainder(3) != 1))
@@ -36,6 +50,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -51,9 +69,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op2_token_counts": op2_token_counts,
+    "op3_chat_rotation": op3_chat_rotation,
     "op4_quality": op4_quality,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
+    "op7_licenses": op7_licenses,
     "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
