@@ -97,8 +97,8 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     cut = np.zeros(len(data), dtype=bool)
     cut[1:] = kind[1:] != kind[:-1]
     edge = np.zeros(len(data) + 1, np.int8)
-    np.add.at(edge, starts[whole], 1)
-    np.add.at(edge, ends[whole], -1)
+    edge[starts[whole]] += 1  # starts are distinct, and so are ends
+    edge[ends[whole]] -= 1
     cut &= ~np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
     cut[starts] = True
     begins = np.flatnonzero(cut & inside)

@@ -6,7 +6,7 @@ format allows, and headers, lines and fields are taken apart by column functions
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readweave.functions import sequence as S
@@ -48,19 +48,29 @@ def write_quality_text(reads: DataFrame, path: str) -> None:
     reads.select(F.concat(F.lit(">"), "read_id", F.lit("\n"), F.array_join(F.col("qual").cast("array<string>"), " ")).alias("value")).write.text(path)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, value): lines with their number in the file, from 0, however the file is split.
+
+    Lines are numbered inside each split; splits learn from the sizes of those before them, one small row each.
+    """
+    at = F.monotonically_increasing_id()
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), at.alias("id"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return lines.join(sizes, ["file", "block"]).select("file", (F.col("offset") + F.col("id") - F.col("first")).alias("number"), "value")
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(read_id, seq, qual_ascii, ord) of strict four-line records; a broken record fails the query.
+    """(read_id, seq, qual_ascii, file, ord) of strict four-line records; a broken record fails the query.
 
-    Records are told apart by `@` at a line's start with a sequence line and a `+` line after it, so a
-    quality line that begins with @ does not begin a record. Names of several tokens are joined with colons.
+    Names of several tokens are joined with colons; sequences are upper-cased.
     """
-    # a split happens at "\n@"; stretches that are not whole records belong to the one before
-    lines = spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("file"), F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("i", "line"))
-    rows = lines.groupBy("file", F.floor(F.col("i") / 4).alias("ord")).agg(F.array_sort(F.collect_list(F.struct("i", "line"))).alias("l"))
-    part = lambda k: F.get(F.col("l"), F.lit(k))["line"]
-    ok = part(0).startswith("@") & part(1).rlike("^[acgtnACGTN.]*$") & part(2).startswith("+") & (F.length(part(1)) == F.length(part(3)))
-    seq = F.when(ok, F.upper(part(1))).otherwise(F.raise_error(F.concat(F.lit("broken FASTQ record "), F.col("ord").cast("string"))))
-    return rows.select(S.joined_name(F.substring(part(0), F.lit(2), F.length(part(0)))).alias("read_id"), seq.alias("seq"), part(3).alias("qual_ascii"), "ord")
+    line = lambda k: F.max(F.when(F.col("number") % 4 == k, F.regexp_replace("value", r"\r$", ""))).alias(f"l{k}")
+    rows = numbered_lines(spark, path).groupBy("file", F.floor(F.col("number") / 4).alias("ord")).agg(*map(line, range(4)))
+    ok = F.col("l0").startswith("@") & F.col("l1").rlike("^[acgtnACGTN.]*$") & F.col("l2").startswith("+") & (F.length("l1") == F.length("l3"))
+    seq = F.when(ok, F.upper("l1")).otherwise(F.raise_error(F.concat(F.lit("broken FASTQ record "), F.col("ord").cast("string"))))
+    return rows.select(S.joined_name(F.expr("substring(l0, 2)")).alias("read_id"), seq.alias("seq"), F.col("l3").alias("qual_ascii"), "file", "ord")
 
 
 def write_fastq(reads: DataFrame, path: str, offset: int = 33) -> None:
@@ -153,8 +163,6 @@ def read_afg(spark: SparkSession, path: str) -> DataFrame:
     broken = once.where("n > 1").select("file").distinct()
     # tiles are nested blocks, so a contig's block ends with its first tile and later tiles follow as blocks
     numbered = blocks.withColumn("o", F.monotonically_increasing_id())
-    from pyspark.sql import Window
-
     w = Window.partitionBy("file").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     marked = numbered.withColumn("contig_id", F.last(F.when(F.col("value").rlike(r"^\s*\{CTG"), field(F.col("value"), "eid")), True).over(w))
     tiles = marked.where(F.col("value").contains("{TLE")).select(
