@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,20 +28,22 @@ def disjoint(members: DataFrame, least: int = LEAST_MEMBERS) -> DataFrame:
     keyed = members.withColumn("cluster_key", F.col("cluster").cast("string")).join(labels, "cluster_key")
     kind = dict(members.dtypes)["cluster"]
 
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
+    def pick(group: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("ord", "cluster", "place", "member")), strict=True))
         touched, chosen = set(), []
-        for (_, name), own in group.sort_values(["ord", "cluster", "place", "member"]).groupby(["ord", "cluster"], sort=True):
+        for (_, name), own in groupby(rows, key=lambda r: r[:2]):
+            walk = [r[3] for r in own]
             clear = True
-            for m in own["member"]:
+            for m in walk:
                 if m in touched:
                     clear = False
                     break
                 touched.add(m)
-            if clear and len(own) >= least:
+            if clear and len(walk) >= least:
                 chosen.append(name)
-        return pd.DataFrame({"cluster": chosen})
+        return pa.table({"cluster": pa.array(chosen, group.schema.field("cluster").type)})
 
-    return keyed.groupBy("component").applyInPandas(pick, f"cluster {kind}")
+    return keyed.groupBy("component").applyInArrow(pick, f"cluster {kind}")
 
 
 def fished(members: DataFrame, repeats: DataFrame, least: int = LEAST_MEMBERS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,40 +110,36 @@ def short_components(labels: DataFrame, least: int = 4, most: int = 6) -> DataFr
 def greedy_cliques(labels: DataFrame, edges: DataFrame, least_component: int = 4, over: int = 4) -> DataFrame:
     """(component, clique, node): cliques of more than `over` nodes from a greedy cover of each component.
 
-    Nodes are taken in order of id. Every node starts as a clique of its own; in order, each clique takes
-    in a later one whenever all pairs across the two are edges. Components of fewer than least_component
+    Nodes are taken in order of id; each joins the first clique with all of whose nodes it has an edge, or
+    begins one. Components of fewer than least_component
     nodes are left out. A component is worked on by one task: it is bounded by the caps on members that
     the cluster update applies before.
     """
     sized = component_sizes(labels).where(F.col("n_nodes") >= least_component).select("component")
     keep = labels.join(sized, "component", "left_semi")
-    known = canonical_edges(edges).join(keep.select(F.col("node").alias("u"), "component"), "u")
+    known = canonical_edges(edges).join(keep.select(F.col("node").alias("u"), F.col("component").alias("own")), "u")
     node_type = dict(labels.dtypes)["node"]
 
-    def cover(nodes, links):
-        import pandas as pd
-
-        if not len(nodes):
-            return pd.DataFrame({"component": [], "clique": [], "node": []})
-        near = {n: set() for n in nodes["node"]}
-        for u, v in zip(links["u"], links["v"], strict=True):
+    def cover(key: tuple, nodes: pa.Table, links: pa.Table) -> pa.Table:
+        near: dict = {n: set() for n in nodes.column("node").to_pylist()}
+        for u, v in zip(links.column("u").to_pylist(), links.column("v").to_pylist(), strict=True):
             near[u].add(v)
             near[v].add(u)
-        groups = [[n] for n in sorted(near)]
-        k = 0
-        while k < len(groups):
-            j = k + 1
-            while j < len(groups):
-                if all(b in near[a] for a in groups[k] for b in groups[j]):
-                    groups[k] += groups.pop(j)
-                else:
-                    j += 1
-            k += 1
-        rows = [(nodes["component"].iloc[0], g[0], n) for g in groups if len(g) > over for n in g]
-        return pd.DataFrame(rows, columns=["component", "clique", "node"])
+        groups: list[list] = []
+        for n in sorted(near):
+            for g in groups:
+                if all(x in near[n] for x in g):
+                    g.append(n)
+                    break
+            else:
+                groups.append([n])
+        rows = [(g[0], n) for g in groups if len(g) > over for n in g]
+        kind = nodes.schema.field("node").type
+        columns = [pa.array([key[0].as_py()] * len(rows), kind), pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], kind)]
+        return pa.table(columns, ["component", "clique", "node"])
 
     return (
         keep.groupBy("component")
-        .cogroup(known.groupBy("component"))
-        .applyInPandas(cover, f"component {node_type}, clique {node_type}, node {node_type}")
+        .cogroup(known.groupBy("own"))
+        .applyInArrow(cover, f"component {node_type}, clique {node_type}, node {node_type}")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def window_means(reads: DataFrame, scores: DataFrame, k: int, span: int = SPAN)
     """(read_id, j, mean): integer means of span k-mer scores; the last full window of a read is not made."""
     each = words(reads, k).select("read_id", "i", S.canonical("word").alias("kmer")).join(scores.select("kmer", "score"), "kmer")
     w = Window.partitionBy("read_id").orderBy("i")
-    ahead = each.select("read_id", F.col("i").alias("j"), F.sum("score").over(w.rowsBetween(0, span - 1)).alias("sum"), F.count("score").over(w.rowsBetween(0, span)).alias("n"))
+    ahead = each.select("read_id", F.col("i").cast("long").alias("j"), F.sum("score").over(w.rowsBetween(0, span - 1)).alias("sum"), F.count("score").over(w.rowsBetween(0, span)).alias("n"))
     return ahead.where(F.col("n") > span).select("read_id", "j", F.expr(f"sum div {span}").alias("mean"))
 
 
@@ -80,7 +81,7 @@ def mask_intervals(means: DataFrame, k: int, extend: int, threshold: int, span:
         F.min("j").alias("first"), F.max(F.when(F.col("hit"), F.col("j"))).alias("at"), F.min(F.when(~F.col("hit"), F.col("mean"))).alias("between")
     )
     start = F.when(F.col("between").isNull() | (F.col("between") > extend), F.col("first")).otherwise(F.col("at"))
-    return islands.where("at is not null").select("read_id", start.alias("start"), (F.col("at") + (k + span - 1)).alias("end"))
+    return islands.where("at is not null").select("read_id", start.cast("long").alias("start"), (F.col("at") + (k + span - 1)).cast("long").alias("end"))
 
 
 def masked(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:
@@ -88,8 +89,6 @@ def masked(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame
 
     Reads shorter than k, and those in which a k-mer occurs at least cuts['extend'] times, are masked whole.
     """
-    import pandas as pd
-
     means = window_means(reads, scored(counts, cuts), k)
     spans = mask_intervals(means, k, cuts["extend"], cuts["threshold"]).groupBy("read_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     whole = repeats_within(reads, k).where(F.col("most") >= cuts["extend"]).select("read_id", F.lit(True).alias("whole"))

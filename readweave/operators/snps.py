@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,19 +92,24 @@ def gap_snps(seen: DataFrame, consensus: DataFrame) -> DataFrame:
     called = consensus.select("contig_id", "pos", F.col("base").alias("consensus"))
     rows = seen.select("contig_id", "pos", "base", "read_id").join(called, ["contig_id", "pos"])
 
-    def search(group: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple, group: pa.Table) -> pa.Table:
+        held = sorted(zip(*(group.column(c).to_pylist() for c in ("pos", "read_id", "base", "consensus")), strict=True))
         columns, places = [], []
-        for pos, own in group.sort_values(["pos", "read_id"]).groupby("pos", sort=True):
+        for pos, own in groupby(held, key=lambda r: r[0]):
+            seen_here = list(own)
             places.append(pos)
-            columns.append({"consensus": own["consensus"].iloc[0], "reads": dict(zip(own["read_id"], own["base"], strict=True))})
+            columns.append({"consensus": seen_here[0][3], "reads": {r[1]: r[2] for r in seen_here}})
         found = alternations(columns)
         at, mapping = -1, []
         for c in columns:
             at += c["consensus"] != "*"
             mapping.append(max(at, 0))
-        return pd.DataFrame({"contig_id": [group["contig_id"].iloc[0]] * len(found), "site": [mapping[f[0]] for f in found], "columns": [[int(places[k]) for k in f] for f in found]})
+        return pa.table({
+            "contig_id": pa.array([key[0].as_py()] * len(found), group.schema.field("contig_id").type), "site": pa.array([mapping[f[0]] for f in found], pa.int32()),
+            "columns": pa.array([[int(places[k]) for k in f] for f in found], pa.list_(pa.int32())),
+        })
 
-    return rows.groupBy("contig_id").applyInPandas(search, f"contig_id {dict(seen.dtypes)['contig_id']}, site int, columns array<int>")
+    return rows.groupBy("contig_id").applyInArrow(search, f"contig_id {dict(seen.dtypes)['contig_id']}, site int, columns array<int>")
 
 
 @dataclass(frozen=True)

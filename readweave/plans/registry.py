@@ -2,5 +2,395 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from readweave.functions import sequence as S
+from readweave.operators import clusters as C
+from readweave.operators import culling, graph, kmers, overlap, pileup, snps
+from readweave.operators import reads as R
+from readweave.plans import views as V
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+_RC = "reverse(translate({0}, 'ACGT', 'TGCA'))"
+_DEDUP = V.READS + ", once AS (SELECT * FROM reads QUALIFY row_number() OVER (PARTITION BY run_id, seq ORDER BY ord, read_id) = 1)"
+_SIZE = "size AS (SELECT greatest(1, CAST(ceil(ln(5.0 * sum(length(seq))) / ln(4.0)) AS BIGINT)) AS k FROM once)"
+_SPLIT = f"""{_DEDUP}, {_SIZE},
+  placed AS (SELECT read_id, seq, k, unnest(range(0, length(seq) - k + 1)) AS i FROM once, size WHERE length(seq) >= k),
+  words AS (SELECT read_id, i, k, substr(seq, i + 1, k) AS word FROM placed)"""
+_COUNTS = f"""{_SPLIT}, counts AS (SELECT kmer, CAST(sum(n) AS BIGINT) AS cnt FROM (SELECT least(word, {_RC.format('word')}) AS kmer, CASE WHEN word = {_RC.format('word')} THEN 2 ELSE 1 END AS n FROM words) GROUP BY kmer)"""
+_CUTS = f"""{_COUNTS}, hist AS (SELECT cnt, count(*) AS n FROM counts GROUP BY cnt), running AS (SELECT cnt, sum(n) OVER (ORDER BY cnt) AS upto FROM hist), total AS (SELECT sum(n) AS u FROM hist),
+  cuts AS (SELECT CAST(max(u) AS BIGINT) AS n_kmers, min(CASE WHEN upto > floor(CAST(0.90 AS DOUBLE) * u) THEN cnt END) AS low, min(CASE WHEN upto > floor(CAST(0.99 AS DOUBLE) * u) THEN cnt END) AS extend,
+    min(CASE WHEN upto > floor(CAST(0.995 AS DOUBLE) * u) THEN cnt END) AS threshold, min(CASE WHEN upto > floor(CAST(0.998 AS DOUBLE) * u) THEN cnt END) AS high FROM running, total)"""
+_SCORES = f"{_CUTS}, scores AS (SELECT kmer, cnt, CAST(CASE WHEN cnt > high THEN high WHEN cnt <= low THEN low // 2 ELSE cnt END AS INTEGER) AS score FROM counts, cuts)"
+_MEANS = f"""{_SCORES}, placed_scores AS (SELECT read_id, i, score FROM words JOIN scores ON kmer = least(word, {_RC.format('word')})),
+  ahead AS (SELECT read_id, i AS j, sum(score) OVER w5 AS s, count(*) OVER w6 AS n FROM placed_scores WINDOW w5 AS (PARTITION BY read_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING), w6 AS (PARTITION BY read_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING)),
+  means AS (SELECT read_id, j, CAST(s // 5 AS BIGINT) AS mean FROM ahead WHERE n > 5)"""
+_SPANS = f"""{_MEANS}, marked AS (SELECT read_id, j, mean, mean > threshold AS hit, coalesce(sum(CASE WHEN mean > threshold THEN 1 ELSE 0 END) OVER (PARTITION BY read_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM means, cuts),
+  islands AS (SELECT read_id, island, min(j) AS first, max(CASE WHEN hit THEN j END) AS last_hit, min(CASE WHEN NOT hit THEN mean END) AS between_mean FROM marked GROUP BY read_id, island),
+  spans AS (SELECT read_id, CASE WHEN between_mean IS NULL OR between_mean > extend THEN first ELSE last_hit END AS "start", last_hit + k + 4 AS "end" FROM islands, cuts, size WHERE last_hit IS NOT NULL)"""
+
+
+def _once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.drop_clones(V.reads(spark, sf_dir))
+
+
+def _k(once: DataFrame) -> int:
+    return S.kmer_size(R.totals(once).first().total_bases)
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, DataFrame, dict]:
+    once = _once(spark, sf_dir)
+    k = _k(once)
+    counts = kmers.canonical_counts(once, k)
+    return once, k, counts, kmers.cutoffs(counts).first().asDict()
+
+
+@query(f"WITH {V.READS} SELECT count(*) AS n_reads, CAST(coalesce(sum(length(seq)), 0) AS BIGINT) AS total_bases FROM reads")
+def read_stats(spark, sf_dir):
+    return R.totals(V.reads(spark, sf_dir))
+
+
+@query(f"WITH {_DEDUP}, {_SIZE} SELECT k FROM size")
+def kmer_size(spark, sf_dir):
+    """As one plan: the size follows from the total of bases."""
+    total = R.totals(_once(spark, sf_dir))
+    return total.select(F.greatest(F.lit(1), F.ceil(F.log(F.lit(5.0) * F.col("total_bases")) / F.log(F.lit(4.0)))).cast("long").alias("k"))
+
+
+@query(f"WITH {_DEDUP} SELECT run_id, read_id, length(seq) AS n_bases, md5(seq) AS digest FROM once")
+def dedup_reads(spark, sf_dir):
+    return _once(spark, sf_dir).select("run_id", "read_id", F.length("seq").cast("long").alias("n_bases"), F.md5("seq").alias("digest"))
+
+
+@query(f"""WITH {V.READS}, q AS (SELECT ord, translate(seq, 'ACGT', 'BJR^') AS qual_ascii FROM reads), f AS (SELECT qual_ascii FROM q ORDER BY ord LIMIT 100)
+  SELECT CASE WHEN min(ascii(c)) >= 64 THEN 64 WHEN min(ascii(c)) >= 33 THEN 33 END AS quality_offset FROM (SELECT unnest(string_split(qual_ascii, '')) AS c FROM f) WHERE c <> ''""")
+def quality_offset(spark, sf_dir):
+    """Inferred from the first 100 reads, as the format's rule says."""
+    return spark.createDataFrame([(R.quality_offset(V.qualities(spark, sf_dir)),)], "quality_offset int")
+
+
+@query(f"WITH {V.READS} SELECT read_id, {_RC.format('seq')} AS seq FROM reads")
+def revcomp_reads(spark, sf_dir):
+    return V.reads(spark, sf_dir).select("read_id", S.reverse_complement("seq").alias("seq"))
+
+
+@query(f"WITH {V.READS} SELECT read_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(seq, 'A+', 'A', 'g'), 'C+', 'C', 'g'), 'G+', 'G', 'g'), 'T+', 'T', 'g') AS seq FROM reads")
+def homopolymer_compress(spark, sf_dir):
+    return V.reads(spark, sf_dir).select("read_id", S.compress_homopolymers("seq").alias("seq"))
+
+
+@query(f"WITH {V.READS} SELECT read_id, regexp_replace(regexp_replace(seq, '(.{{60}})', '\\1' || chr(10), 'g'), chr(10) || '$', '') AS lines FROM reads")
+def fasta_lines(spark, sf_dir):
+    return V.reads(spark, sf_dir).select("read_id", S.wrap(F.col("seq")).alias("lines"))
+
+
+@query(f"WITH {_COUNTS} SELECT kmer, cnt FROM counts")
+def kmer_counts(spark, sf_dir):
+    once = _once(spark, sf_dir)
+    return kmers.canonical_counts(once, _k(once))
+
+
+@query(f"WITH {_CUTS} SELECT * FROM cuts")
+def kmer_cutoffs(spark, sf_dir):
+    once = _once(spark, sf_dir)
+    return kmers.cutoffs(kmers.canonical_counts(once, _k(once)))
+
+
+@query(f"WITH {_SCORES} SELECT kmer, cnt, score FROM scores")
+def kmer_scores(spark, sf_dir):
+    _, _, counts, cuts = _counted(spark, sf_dir)
+    return kmers.scored(counts, cuts)
+
+
+@query(f"""WITH {_SPLIT}, each AS (SELECT read_id, least(word, {_RC.format('word')}) AS kmer, sum(CASE WHEN word = {_RC.format('word')} THEN 2 ELSE 1 END) AS n FROM words GROUP BY ALL)
+  SELECT read_id, CAST(max(n) AS BIGINT) AS most FROM each GROUP BY read_id""")
+def repeats_within_reads(spark, sf_dir):
+    once = _once(spark, sf_dir)
+    return kmers.repeats_within(once, _k(once))
+
+
+@query(f"WITH {_MEANS} SELECT read_id, j, mean FROM means")
+def window_means(spark, sf_dir):
+    once, k, counts, cuts = _counted(spark, sf_dir)
+    return kmers.window_means(once, kmers.scored(counts, cuts), k)
+
+
+@query(f'WITH {_SPANS} SELECT read_id, "start", "end" FROM spans')
+def mask_intervals(spark, sf_dir):
+    once, k, counts, cuts = _counted(spark, sf_dir)
+    return kmers.mask_intervals(kmers.window_means(once, kmers.scored(counts, cuts), k), k, cuts["extend"], cuts["threshold"])
+
+
+@query()
+def masked_reads(spark, sf_dir):
+    once, k, counts, cuts = _counted(spark, sf_dir)
+    return kmers.masked(once, counts, cuts, k).select("read_id", "seq")
+
+
+@query()
+def update_filter(spark, sf_dir):
+    """Verdict on every masked read: kept, repeat or short."""
+    once, k, counts, cuts = _counted(spark, sf_dir)
+    return R.split_repeats(kmers.masked(once, counts, cuts, k)).select("read_id", "verdict", F.length("seq").alias("n_bases"), S.unmasked_length("seq").alias("n_unmasked"))
+
+
+_RUNS = f"""{V.READS}, once AS (SELECT * FROM reads QUALIFY row_number() OVER (PARTITION BY run_id, seq ORDER BY ord, read_id) = 1),
+  runs AS (SELECT run_id, run_seq, CAST(sum(length(seq)) AS BIGINT) AS bases_added, CAST(sum(CASE WHEN length(seq) >= 100 THEN length(seq) ELSE 0 END) AS BIGINT) AS bases_used FROM once GROUP BY run_id, run_seq)"""
+
+
+@query(f"""WITH {_RUNS} SELECT run_id, run_seq, bases_added, bases_used,
+  CAST(sum(CASE WHEN run_seq > (SELECT min(run_seq) FROM runs) THEN bases_added ELSE 0 END) OVER (ORDER BY run_seq) AS BIGINT) AS total_bases_added,
+  CAST(sum(CASE WHEN run_seq > (SELECT min(run_seq) FROM runs) THEN bases_used ELSE 0 END) OVER (ORDER BY run_seq) AS BIGINT) AS total_bases_used FROM runs""")
+def run_totals(spark, sf_dir):
+    n = F.length("seq")
+    runs = _once(spark, sf_dir).groupBy("run_id", "run_seq").agg(F.sum(n).cast("long").alias("bases_added"), F.sum(F.when(n >= 100, n).otherwise(0)).cast("long").alias("bases_used"))
+    return R.run_totals(runs)
+
+
+@query(f"WITH {V.READS} SELECT run_id, read_id FROM reads WHERE run_id <> 'src0'")
+def remove_run(spark, sf_dir):
+    return R.remove_run(V.reads(spark, sf_dir), "src0").select("run_id", "read_id")
+
+
+@query(f"WITH {V.READS} SELECT DISTINCT individual FROM reads")
+def individuals(spark, sf_dir):
+    return V.reads(spark, sf_dir).select("individual").distinct()
+
+
+_SEEDS = f"""{_DEDUP}, spots AS (SELECT read_id, run_seq, seq, unnest(range(0, length(seq) - 13 + 1)) AS i FROM once WHERE length(seq) >= 13),
+  words AS (SELECT read_id, run_seq, i, substr(seq, i + 1, 13) AS word FROM spots),
+  new_words AS (SELECT * FROM words WHERE run_seq = (SELECT max(run_seq) FROM once)),
+  old_words AS (SELECT * FROM words WHERE run_seq < (SELECT max(run_seq) FROM once)),
+  old_counts AS (SELECT word, count(*) AS n FROM old_words GROUP BY word),
+  word_hist AS (SELECT n, count(*) AS m FROM old_counts GROUP BY n), word_run AS (SELECT n, sum(m) OVER (ORDER BY n) AS upto FROM word_hist),
+  most AS (SELECT min(n) AS most FROM word_run, (SELECT sum(m) AS u FROM word_hist) WHERE upto > floor(CAST(0.90 AS DOUBLE) * u)),
+  usable AS (SELECT word FROM old_counts, most WHERE n <= most),
+  hits AS (SELECT DISTINCT a.read_id AS name1, b.read_id AS name2, a.i - b.i AS diagonal, a.i AS p1 FROM new_words a JOIN usable USING (word) JOIN old_words b USING (word))"""
+
+
+def _newest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The reads of the last run, and those of all before it."""
+    once = _once(spark, sf_dir)
+    last = once.agg(F.max("run_seq").alias("last"))
+    both = once.crossJoin(F.broadcast(last))
+    return both.where("run_seq = last").drop("last"), both.where("run_seq < last").drop("last")
+
+
+@query(f"WITH {_SEEDS} SELECT name1, name2, count(DISTINCT diagonal) AS n_diagonals, count(*) AS n_hits FROM hits GROUP BY name1, name2")
+def seed_pairs(spark, sf_dir):
+    """Pairs of the last run's reads with older ones that share usable words, on the forward strand."""
+    new, old = _newest(spark, sf_dir)
+    hits = overlap.seed_hits(new, old, 13, 0.90, strands=False).distinct()
+    return hits.groupBy("name1", "name2").agg(F.count_distinct("diagonal").alias("n_diagonals"), F.count(F.lit(1)).alias("n_hits"))
+
+
+@query(f"""WITH {_SEEDS}, grouped AS (SELECT *, p1 - row_number() OVER (PARTITION BY name1, name2, diagonal ORDER BY p1) AS island FROM hits)
+  SELECT name1, name2, diagonal, min(p1) AS start1, CAST(count(*) + 12 AS INTEGER) AS length FROM grouped GROUP BY name1, name2, diagonal, island HAVING count(*) + 12 >= 40""")
+def exact_runs(spark, sf_dir):
+    """Exact runs of at least 40 bases of usable words, on the forward strand."""
+    new, old = _newest(spark, sf_dir)
+    runs = overlap.exact_runs(overlap.seed_hits(new, old, 13, 0.90, strands=False), 13)
+    return runs.where(F.col("length") >= 40).drop("strand")
+
+
+@query()
+def overlap_blocks(spark, sf_dir):
+    """Extended blocks of the last run with all older ones on both strands."""
+    from readweave.profiles import TRANSCRIPT_454
+
+    new, old = _newest(spark, sf_dir)
+    return overlap.overlap_blocks(new, old, TRANSCRIPT_454).select("name1", "s1", "o1", "name2", "s2", "o2", "strand2", "score")
+
+
+_VIEWS = f"""{V.BLOCKS}, views AS (SELECT name2 AS cluster, name1 AS read_id, aln2 AS ref, aln1 AS tgt, s2 AS "start", o2 AS n FROM blocks WHERE o1 > 11 AND o2 > 11
+  UNION ALL SELECT name1, name2, aln1, aln2, s1, o1 FROM blocks WHERE o1 > 11 AND o2 > 11)"""
+_BLOCK_DIFFS = f"""{_VIEWS}, cols AS (SELECT cluster, "start", ref, tgt, unnest(range(0, n)) AS i FROM views),
+  each AS (SELECT cluster, CAST("start" + i AS INTEGER) AS position, substr(ref, i + 1, 1) AS reference, substr(tgt, i + 1, 1) AS target FROM cols),
+  block_diffs AS (SELECT cluster, position, reference, target, count(*) AS reads FROM each WHERE reference <> target AND reference <> 'N' AND target <> 'N' AND reference <> '' AND target <> '' GROUP BY ALL)"""
+
+
+def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = V.blocks(spark, sf_dir)
+    names = blocks.select(F.col("name1").alias("read_id")).union(blocks.select("name2")).distinct().withColumn("individual", F.lit("x"))
+    return C.sides(blocks, names, 11)
+
+
+@query(f"WITH {_VIEWS} SELECT DISTINCT cluster, read_id FROM views")
+def cluster_members(spark, sf_dir):
+    return _views(spark, sf_dir).select("cluster", "read_id").distinct()
+
+
+@query(f"WITH {_BLOCK_DIFFS} SELECT cluster, position, reference, target, reads FROM block_diffs")
+def cluster_diffs(spark, sf_dir):
+    return C.block_diffs(_views(spark, sf_dir))
+
+
+@query(f"""WITH {_BLOCK_DIFFS}, seeds AS (SELECT DISTINCT cluster FROM views), m AS (SELECT DISTINCT cluster, read_id FROM views UNION SELECT cluster, cluster FROM seeds),
+  mc AS (SELECT cluster, count(*) AS n FROM m GROUP BY cluster), dc AS (SELECT cluster, count(*) AS d FROM block_diffs GROUP BY cluster),
+  st AS (SELECT seeds.cluster, (n > 26 OR coalesce(d, 0) > 15) AS is_repeat, n, coalesce(d, 0) AS d FROM seeds JOIN mc USING (cluster) LEFT JOIN dc USING (cluster))
+  SELECT cluster, is_repeat, CAST(CASE WHEN is_repeat THEN 1 ELSE n END AS BIGINT) AS n_members, CAST(CASE WHEN is_repeat THEN 0 ELSE d END AS BIGINT) AS n_diffs FROM st""")
+def cluster_state(spark, sf_dir):
+    """Clusters after one update: repeats over 26 members (coverage 10) or 15 differences collapse."""
+    views = _views(spark, sf_dir)
+    names = views.select("cluster").distinct()
+    fresh = C.templates(names.select(F.col("cluster").alias("read_id"), F.lit("").alias("seq"), F.lit("x").alias("individual"), F.lit(0).cast("long").alias("ord")))
+    state = C.updated(fresh, views, S.max_hits(10, 1))
+    m = state.members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_members"))
+    d = state.diffs.groupBy("cluster").agg(F.count(F.lit(1)).alias("d"))
+    return state.clusters.join(m, "cluster").join(d, "cluster", "left").select("cluster", "is_repeat", "n_members", F.coalesce("d", F.lit(0)).cast("long").alias("n_diffs"))
+
+
+_GOOD = f"""{V.MEMBERS}, {V.DIFFS}, gaps AS (SELECT cluster, position - lag(position) OVER (PARTITION BY cluster ORDER BY position) AS apart FROM diffs),
+  subs AS (SELECT cluster FROM gaps GROUP BY cluster HAVING count(*) BETWEEN 1 AND 2 AND coalesce(min(apart), 40) >= 40),
+  backed AS (SELECT DISTINCT cluster FROM diffs WHERE reads > 1), people AS (SELECT cluster, individual, count(*) AS n FROM members GROUP BY ALL),
+  sized AS (SELECT cluster FROM people GROUP BY cluster HAVING sum(n) >= 4 AND sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) >= 2),
+  good AS (SELECT cluster FROM subs WHERE cluster IN (SELECT cluster FROM backed) AND cluster IN (SELECT cluster FROM sized))"""
+
+
+@query(f"WITH {_GOOD} SELECT cluster FROM good")
+def good_clusters(spark, sf_dir):
+    return C.good(V.members(spark, sf_dir), V.diffs(spark, sf_dir), 2)
+
+
+@query(f"WITH {V.MEMBERS}, n AS (SELECT cluster, individual, count(*) AS n FROM members GROUP BY ALL) SELECT cluster FROM n GROUP BY cluster HAVING sum(CASE WHEN n >= 2 THEN 1 ELSE 0 END) >= 2")
+def two_names(spark, sf_dir):
+    n = V.members(spark, sf_dir).groupBy("cluster", "individual").agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy("cluster").agg(F.sum((F.col("n") >= 2).cast("int")).alias("twice")).where("twice >= 2").select("cluster")
+
+
+@query("SELECT o_orderkey AS cluster FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND floor(l.l_quantity) > 45 AND l.l_linenumber * 20 > 45)")
+def remove_repeat_clusters(spark, sf_dir):
+    """Orders as clusters without those that a line, as an alignment, names on both sides over 45."""
+    clusters = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("cluster"))
+    hits = V.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("name1"), F.floor("l_quantity").alias("o1"), (F.col("l_linenumber") * 20).alias("o2"))
+    return C.without_repeats(clusters, hits, 45)
+
+
+@query(f"WITH RECURSIVE {V.EDGES}, {V.COMPONENTS} SELECT node, component FROM labels")
+def components(spark, sf_dir):
+    return graph.connected_components(V.edges(spark, sf_dir))
+
+
+@query(f"WITH RECURSIVE {V.EDGES}, {V.COMPONENTS} SELECT component, count(*) AS n_nodes FROM labels GROUP BY component")
+def component_sizes(spark, sf_dir):
+    return graph.component_sizes(graph.connected_components(V.edges(spark, sf_dir)))
+
+
+@query(f"WITH RECURSIVE {V.EDGES}, {V.COMPONENTS}, s AS (SELECT component FROM labels GROUP BY component HAVING count(*) BETWEEN 4 AND 6) SELECT component, node FROM labels WHERE component IN (SELECT component FROM s)")
+def short_components(spark, sf_dir):
+    return graph.short_components(graph.connected_components(V.edges(spark, sf_dir)))
+
+
+@query(f"""WITH RECURSIVE {V.EDGES.replace('edges AS', 'every_edge AS')}, cut AS (SELECT DISTINCT 'c' || c_custkey AS id FROM customer WHERE c_acctbal < 0), edges AS (SELECT src, dst FROM every_edge WHERE src NOT IN (SELECT id FROM cut)), {V.COMPONENTS},
+  s AS (SELECT component FROM labels GROUP BY component HAVING count(*) >= 4) SELECT component, node FROM labels WHERE component IN (SELECT component FROM s)""")
+def fish_clusters(spark, sf_dir):
+    """Components of four nodes or more once the customers in debt have lost all edges."""
+    cut = V.table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"))
+    edges = V.edges(spark, sf_dir)
+    return culling.fished(edges.select(F.col("src").alias("cluster"), F.col("dst").alias("member")), cut)
+
+
+@query(f"WITH {V.EDGES}, ends AS (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) SELECT id, count(*) AS degree FROM ends GROUP BY id HAVING count(*) > 2")
+def over_degree(spark, sf_dir):
+    return graph.over_degree(V.edges(spark, sf_dir), 2)
+
+
+@query()
+def cull_disjoint(spark, sf_dir):
+    edges = V.edges(spark, sf_dir)
+    w = Window.partitionBy("src").orderBy("dst")
+    rows = edges.select(F.col("src").alias("cluster"), F.expr("cast(substring(src, 2) as long)").alias("ord"), F.col("dst").alias("member"), F.row_number().over(w).alias("place"))
+    return culling.disjoint(rows, 2)
+
+
+@query()
+def cliques(spark, sf_dir):
+    edges = V.edges(spark, sf_dir)
+    return graph.greedy_cliques(graph.connected_components(edges), edges, 3, 1)
+
+
+_COLUMNS = f"""{V.ALLELES}, cols AS (SELECT contig_id, pos, count(*) FILTER (WHERE base = 'A') AS a, count(*) FILTER (WHERE base = 'C') AS c, count(*) FILTER (WHERE base = 'G') AS g, count(*) FILTER (WHERE base = 'T') AS t,
+  count(*) FILTER (WHERE base NOT IN ('A', 'C', 'G', 'T')) AS other FROM alleles GROUP BY contig_id, pos),
+  hot AS (SELECT * FROM cols WHERE CAST(a >= 2 AS INTEGER) + CAST(c >= 2 AS INTEGER) + CAST(g >= 2 AS INTEGER) + CAST(t >= 2 AS INTEGER) >= 2 AND other < 2)"""
+
+
+@query(f"WITH {_COLUMNS} SELECT contig_id, pos, a, c, g, t, other FROM cols")
+def pileup_columns(spark, sf_dir):
+    return pileup.column_counts(V.alleles(spark, sf_dir))
+
+
+@query(f"WITH {_COLUMNS} SELECT contig_id, pos, a, c, g, t, other FROM hot")
+def pileup_snps(spark, sf_dir):
+    return pileup.interesting(pileup.column_counts(V.alleles(spark, sf_dir)))
+
+
+_UNITS = f"""{_COLUMNS}, units AS (SELECT contig_id, pos, individual, base, count(*) AS n, string_agg(CAST(quality AS VARCHAR), ',' ORDER BY quality) AS quals FROM alleles JOIN hot USING (contig_id, pos) GROUP BY contig_id, pos, individual, base HAVING count(*) >= 2)"""
+
+
+@query(f"WITH {_UNITS} SELECT contig_id, pos, individual, base, n, quals FROM units")
+def allele_profile(spark, sf_dir):
+    seen = V.alleles(spark, sf_dir)
+    units = pileup.profiles(seen, pileup.interesting(pileup.column_counts(seen)))
+    return units.withColumn("quals", F.array_join(F.col("quals").cast("array<string>"), ","))
+
+
+@query(f"""WITH {V.ALLELES}, v AS (SELECT contig_id, pos, base, count(*) AS n, sum(quality) AS q FROM alleles GROUP BY ALL),
+  r AS (SELECT *, sum(q) OVER (PARTITION BY contig_id, pos) AS every FROM v QUALIFY row_number() OVER (PARTITION BY contig_id, pos ORDER BY n DESC, q DESC, base) = 1)
+  SELECT contig_id, pos, base, CAST(greatest(0, least(97, 2 * q - every)) AS INTEGER) AS quality FROM r""")
+def consensus_columns(spark, sf_dir):
+    return pileup.consensus(V.alleles(spark, sf_dir))
+
+
+@query(f"""WITH {V.ALLELES}, marked AS (SELECT contig_id, pos, CASE WHEN quality % 3 = 0 THEN '*' ELSE base END AS base FROM alleles)
+  SELECT contig_id, pos, count(*) FILTER (WHERE base = '*') AS n_gaps, count(*) FILTER (WHERE base <> '*') AS n_bases FROM marked GROUP BY contig_id, pos
+  HAVING count(*) FILTER (WHERE base = '*') >= 2 AND count(*) >= 4 AND count(*) FILTER (WHERE base <> '*') >= 2""")
+def gap_columns(spark, sf_dir):
+    return pileup.gap_columns(_gapped(spark, sf_dir))
+
+
+def _gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.alleles(spark, sf_dir).withColumn("base", F.when(F.col("quality") % 3 == 0, "*").otherwise(F.col("base")))
+
+
+@query()
+def gap_snps(spark, sf_dir):
+    # reads are shared between columns by customer-like groups, so that gaps can alternate in the same reads
+    seen = _gapped(spark, sf_dir).withColumn("read_id", F.concat_ws("_", "individual", (F.col("quality") % 7).cast("string")))
+    seen = seen.groupBy("contig_id", "pos", "read_id").agg(F.min("base").alias("base"), F.min("quality").alias("quality"))
+    return snps.gap_snps(seen, pileup.consensus(seen)).withColumn("columns", F.array_join(F.col("columns").cast("array<string>"), ","))
+
+
+_CONTIG = "blocks AS (SELECT p_partkey AS cluster, 1 + p_size % 2 AS n_contigs, p_size AS numreads, length(s) AS length, s AS seq FROM (SELECT p_partkey, p_size, translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s FROM part))"
+
+
+@query(f"""WITH {V.ALLELES}, {_CONTIG}, units AS (SELECT contig_id AS cluster, pos * 4 AS pos, individual, base, count(*) AS n, count(*) FILTER (WHERE quality >= 20) AS ok FROM alleles GROUP BY contig_id, pos, individual, base HAVING count(*) >= 2),
+  by_base AS (SELECT cluster, pos, base, sum(ok) AS ok, count(*) AS units FROM units GROUP BY cluster, pos, base),
+  d AS (SELECT cluster, pos, sum(units) AS units, sum(ok) AS depth, count(*) FILTER (WHERE ok > 0) AS alleles, count(*) FILTER (WHERE ok = 1) AS single FROM by_base GROUP BY cluster, pos),
+  nm AS (SELECT cluster FROM d GROUP BY cluster HAVING count(*) <= 6),
+  g AS (SELECT cluster, d.pos FROM d JOIN blocks USING (cluster) WHERE n_contigs = 1 AND numreads <= 40 AND cluster IN (SELECT cluster FROM nm) AND d.pos >= 4 AND d.pos <= length - 4 AND units <= 4 AND depth <= 100 AND alleles = 2 AND single = 0
+    AND NOT regexp_matches(substr(seq, CAST(greatest(d.pos - 6, 0) AS BIGINT) + 1, CAST(d.pos + 6 - greatest(d.pos - 6, 0) + 1 AS BIGINT)), 'AAAAA|CCCCC|GGGGG|TTTTT'))
+  SELECT cluster, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS good FROM g GROUP BY cluster""")
+def snp_filter(spark, sf_dir):
+    part = V.table(spark, sf_dir, "part")
+    seq = F.translate(F.md5("p_name"), "0123456789abcdef", "ACGTACGTACGTACGT")
+    blocks = part.select(F.col("p_partkey").alias("cluster"), (1 + F.col("p_size") % 2).alias("n_contigs"), F.col("p_size").alias("numreads"), F.length(seq).alias("length"), seq.alias("seq"))
+    seen = V.alleles(spark, sf_dir)
+    units = pileup.profiles(seen, seen).select(F.col("contig_id").alias("cluster"), (F.col("pos") * 4).alias("pos"), "individual", "base", "quals")
+    rules = snps.Rules(most_reads=40, most_diffs=6, min_side=4, most_units=4, most_depth=100)
+    return snps.accepted(blocks, units, rules).select("cluster", F.array_join(F.col("good").cast("array<string>"), ",").alias("good"))
