@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from readweave.functions import sequence as S
 from readweave.operators import clusters as C
 from readweave.operators import culling, kmers, overlap, pileup, reads, snps
-from readweave.operators.graph import greedy_cliques, components_of, short_components
+from readweave.operators.graph import components_of, greedy_cliques, short_components
 from readweave.profiles import GENOME_454, PROFILES, Profile
+from readweave.session import materialize
 
 TABLES = {
     "runs": "run_id string, individual string, run_seq long, bases_added long, bases_used long",
@@ -87,14 +88,16 @@ class Project:
         runs = self.table("runs")
         number = (runs.agg(F.max("run_seq")).first()[0] or 0) + 1
         named = run.select(F.lit(run_id).alias("run_id"), "read_id", F.lit(individual).alias("individual"), "seq", "qual", F.col("ord").cast("long").alias("ord"), F.lit(number).cast("long").alias("run_seq"))
+        named = materialize(named, "run")
         kept, repeats = self.prepared(named)
-        kept = kept.select([c.split(" ")[0] for c in TABLES["reads"].split(", ")])
+        # written once: every table below is made from the kept reads and the blocks
+        kept = materialize(kept.select([c.split(" ")[0] for c in TABLES["reads"].split(", ")]), "kept")
         added, used = reads.totals(named).first().total_bases, reads.totals(kept).first().total_bases
         runs = runs.unionByName(self.spark.createDataFrame([(run_id, individual, number, added, used)], TABLES["runs"]))
         every = self.table("reads").unionByName(kept)
         fresh = C.templates(kept)
         state = C.State(*(self.table(t).unionByName(f) for t, f in (("clusters", fresh.clusters), ("members", fresh.members), ("diffs", fresh.diffs))))
-        blocks = overlap.overlap_blocks(kept, self.table("reads"), self.profile)
+        blocks = materialize(overlap.overlap_blocks(kept, self.table("reads"), self.profile), "blocks")
         counted = reads.run_totals(runs, self.count_first_run).orderBy(F.desc("run_seq")).first().total_bases_added
         most = S.max_hits(counted, self.genome_size, not self.profile.capped)
         state = C.updated(state, C.sides(blocks, every, self.profile.overlap), most)
@@ -149,7 +152,8 @@ class Project:
         """(cluster, length, numreads, seq, good, units): clusters with accepted differences, and their profiles."""
         people = self.table("runs").select("individual").distinct().count()
         rules = rules or snps.Rules(min_side=self.profile.min_side, two_names=people > 1)
-        placement, seen = self.observations(self.selected(mode))
+        placement, seen = self.observations(materialize(self.selected(mode), "selected"))
+        seen = materialize(seen, "observations")
         columns = pileup.consensus(seen)
         places = pileup.ungapped(columns).select("contig_id", "pos", "at")
         profiles = pileup.profiles(seen, pileup.interesting(pileup.column_counts(seen)))

@@ -220,7 +220,8 @@ def read_status(spark: SparkSession, path: str) -> tuple[dict[str, str], DataFra
 
 
 def split_at_dashes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The lines before and after the first line of dashes."""
-    halves = spark.read.option("wholetext", "true").text(path).select(F.split("value", r"(?m)^-{5,}\s*$\n?", 2).alias("h"))
-    side = lambda k: halves.select(F.explode(F.split(F.get("h", F.lit(k)), r"\n")).alias("line")).where("line <> ''")
-    return side(0), side(1)
+    """(file, number, line) before and after the first line of dashes of each file; without one all are before."""
+    lines = numbered_lines(spark, path)
+    cut = lines.where(F.col("value").rlike(r"^-{5,}\s*$")).groupBy("file").agg(F.min("number").alias("cut"))
+    marked = lines.join(cut, "file", "left").select("file", "number", F.col("value").alias("line"), "cut")
+    return marked.where("cut is null or number < cut").drop("cut"), marked.where("number > cut").drop("cut")
