@@ -97,7 +97,7 @@ def weighted(counts: np.ndarray, beside: np.ndarray, weights: np.ndarray) -> np.
     x = np.log1p(counts) * weights
     length = np.linalg.norm(x, axis=1, keepdims=True)
     at = np.abs(beside[:, :, None] * (SHARE_BINS - 1) - np.arange(SHARE_BINS))
-    slots = np.maximum(1 - at, 0).reshape(len(x), -1).astype(np.float32) * SHARE_WEIGHT * (length > 0)
+    slots = np.maximum(1 - at, 0).reshape(len(x), SHARES * SHARE_BINS).astype(np.float32) * SHARE_WEIGHT * (length > 0)
     return np.concatenate([x / np.where(length > 0, length, 1), slots], axis=1)
 
 

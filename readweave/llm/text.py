@@ -5,6 +5,8 @@ Texts are handled whole, as UTF-8 bytes. A null text counts as an empty one ever
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -81,6 +83,14 @@ def gathered(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int
         size += n
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system, so that a worker between tasks holds little."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
