@@ -6,35 +6,42 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readweave.functions import sequence as S
+from readweave.session import shuffle_partitions
 
-#: Bases that one row is cut from: keeps arrays bounded and positions cheap for reads of any length.
-PIECE = 1024
+#: k-mers that one row is cut from: keeps arrays bounded and positions cheap for reads of any length.
+PIECE = 256
 #: The share of distinct k-mers at which each cutoff is read.
 SHARES = {"low": 0.90, "extend": 0.99, "threshold": 0.995, "high": 0.998}
 SPAN = 5
 
 
 def words(reads: DataFrame, k: int, keep: list[str] | None = None, upper: bool = True) -> DataFrame:
-    """(*keep, i, word): every k-mer of every read, i from 0; upper counts letters in either case.
+    """(*keep, i, word, other): every k-mer of every read, i from 0, and its reverse complement.
 
-    Windows with anything but A, C, G, T are left out (masked bases too unless upper).
+    upper counts letters in either case. Windows with anything but A, C, G, T are left out (masked bases too
+    unless upper). Reads are dealt out by id first: they are a tenth of the size of their k-mers, and few
+    input splits would otherwise hold up the explosion.
     """
     keep = keep or ["read_id"]
-    seq = F.upper("seq") if upper else F.col("seq")
-    cut = reads.where(F.length("seq") >= k).select(
-        *keep,
-        F.posexplode(F.transform(F.expr(f"sequence(0, length(seq) - {k}, {PIECE})"), lambda a: F.substring(seq, a + 1, F.lit(PIECE + k - 1)))).alias("piece", "part"),
-    )
-    each = cut.select(*keep, "piece", F.posexplode(F.expr(f"transform(sequence(0, length(part) - {k}), j -> substring(part, j + 1, {k}))")).alias("j", "word"))
-    return each.select(*keep, (F.col("piece") * PIECE + F.col("j")).alias("i"), "word").where(~F.col("word").rlike("[^ACGT]"))
+    n = shuffle_partitions(reads.sparkSession)
+    spread = reads.where(F.length("seq") >= k).select(*keep, (F.upper("seq") if upper else F.col("seq")).alias("seq")).repartition(n, "read_id")
+    cut = spread.select(*keep, F.posexplode(F.expr(f"transform(sequence(0, length(seq) - {k}, {PIECE}), a -> substring(seq, a + 1, {PIECE + k - 1}))")).alias("piece", "part"))
+    # complemented once for each piece; a k-mer's complement is a stretch of the piece's
+    turned = cut.withColumn("turned", F.reverse(F.translate("part", "ACGT", "TGCA"))).withColumn("odd", F.col("part").rlike("[^ACGT]"))
+    pair = f"transform(sequence(0, length(part) - {k}), j -> struct(substring(part, j + 1, {k}) as word, substring(turned, length(part) - {k} - j + 1, {k}) as other))"
+    each = turned.select(*keep, "piece", "odd", F.posexplode(F.expr(pair)).alias("j", "w"))
+    plain = each.where(~F.col("odd") | ~F.col("w.word").rlike("[^ACGT]"))
+    return plain.select(*keep, (F.col("piece") * PIECE + F.col("j")).alias("i"), "w.word", "w.other")
+
+
+def _canonical(reads: DataFrame, k: int, keep: list[str]) -> DataFrame:
+    each = words(reads, k)
+    return each.select(*keep, F.least("word", "other").alias("kmer"), F.when(F.col("word") == F.col("other"), 2).otherwise(1).alias("n"))
 
 
 def canonical_counts(reads: DataFrame, k: int) -> DataFrame:
     """(kmer, cnt): canonical k-mers over all reads; one that is its own reverse complement counts twice."""
-    other = S.reverse_complement("word")
-    each = words(reads, k).select(F.least("word", other).alias("kmer"), F.when(F.col("word") == other, 2).otherwise(1).alias("n"))
-    return each.groupBy("kmer").agg(F.sum("n").cast("long").alias("cnt"))
+    return _canonical(reads, k, []).groupBy("kmer").agg(F.sum("n").cast("long").alias("cnt"))
 
 
 def cutoffs(counts: DataFrame) -> DataFrame:
@@ -55,16 +62,15 @@ def scored(counts: DataFrame, cuts: dict) -> DataFrame:
     return counts.withColumn("score", score(F.col("cnt"), cuts["low"], cuts["high"]))
 
 
-def repeats_within(reads: DataFrame, k: int, keep: list[str] | None = None) -> DataFrame:
+def repeats_within(reads: DataFrame, k: int) -> DataFrame:
     """(read_id, most): how often a read's commonest canonical k-mer occurs in it."""
-    other = S.reverse_complement("word")
-    each = words(reads, k).select("read_id", F.least("word", other).alias("kmer"), F.when(F.col("word") == other, 2).otherwise(1).alias("n"))
+    each = _canonical(reads, k, ["read_id"])
     return each.groupBy("read_id", "kmer").agg(F.sum("n").alias("n")).groupBy("read_id").agg(F.max("n").cast("long").alias("most"))
 
 
 def window_means(reads: DataFrame, scores: DataFrame, k: int, span: int = SPAN) -> DataFrame:
     """(read_id, j, mean): integer means of span k-mer scores; the last full window of a read is not made."""
-    each = words(reads, k).select("read_id", "i", S.canonical("word").alias("kmer")).join(scores.select("kmer", "score"), "kmer")
+    each = words(reads, k).select("read_id", "i", F.least("word", "other").alias("kmer")).join(scores.select("kmer", "score"), "kmer")
     w = Window.partitionBy("read_id").orderBy("i")
     ahead = each.select("read_id", F.col("i").cast("long").alias("j"), F.sum("score").over(w.rowsBetween(0, span - 1)).alias("sum"), F.count("score").over(w.rowsBetween(0, span)).alias("n"))
     return ahead.where(F.col("n") > span).select("read_id", "j", F.expr(f"sum div {span}").alias("mean"))
