@@ -1,47 +1,140 @@
-"""k-mers: extraction, canonical counts, order-statistic cutoffs, scores, window means, masked intervals."""
+"""k-mers: places, canonical counts, order-statistic cutoffs, scores, window means, masked intervals.
+
+k-mers travel as numbers of two bits a base, in which order and equality are those of the words. They are made
+from whole batches of reads at once in numpy; counts are added up for each batch before the shuffle.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from readweave.functions import sequence as S
 from readweave.session import shuffle_partitions
 
-#: k-mers that one row is cut from: keeps arrays bounded and positions cheap for reads of any length.
-PIECE = 256
+#: Bases that one numpy step takes at once (or one read, if that is longer).
+STEP = 2 << 20
 #: The share of distinct k-mers at which each cutoff is read.
 SHARES = {"low": 0.90, "extend": 0.99, "threshold": 0.995, "high": 0.998}
 SPAN = 5
 
-
-def words(reads: DataFrame, k: int, keep: list[str] | None = None, upper: bool = True) -> DataFrame:
-    """(*keep, i, word, other): every k-mer of every read, i from 0, and its reverse complement.
-
-    upper counts letters in either case. Windows with anything but A, C, G, T are left out (masked bases too
-    unless upper). Reads are dealt out by id first: they are a tenth of the size of their k-mers, and few
-    input splits would otherwise hold up the explosion.
+_EITHER = np.full(256, 4, np.uint8)
+_UPPER = np.full(256, 4, np.uint8)
+for _k, _b in enumerate(b"ACGT"):
+    _EITHER[_b] = _EITHER[_b + 32] = _UPPER[_b] = _k
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    column = pc.fill_null(column, "").cast(pa.large_string())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    held = column.buffers()[2]
+    return (np.frombuffer(held, np.uint8)[at[0] : at[-1]] if held is not None else np.zeros(0, np.uint8)), at - at[0]
+
+
+def _sums(values: np.ndarray, k: int, forward: bool) -> np.ndarray:
+    """Codes of all stretches of k values, by doubling; the first value is the highest place, or the lowest."""
+    out, done, power, width = None, 0, values.astype(np.int64), 1
+    rest = k
+    while rest:
+        if rest & 1:
+            if out is None:
+                out = power
+            else:
+                n = len(power) - done
+                if n <= 0:
+                    return np.zeros(0, np.int64)
+                out = (out[:n] << (2 * width)) | power[done : done + n] if forward else out[:n] | (power[done : done + n] << (2 * done))
+            done += width
+        rest >>= 1
+        if rest:
+            if len(power) <= width:
+                return np.zeros(0, np.int64)
+            low = power[width:]
+            power = (power[:-width] << (2 * width)) | low if forward else power[:-width] | (low << (2 * width))
+            width *= 2
+    return out
+
+
+def codes(column: pa.Array, k: int, upper: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(read, place, code, code of the reverse complement) of every k-mer of a column of reads, k at most 31.
+
+    Windows with anything but A, C, G, T are left out; upper counts lower case like upper, else it is left out too.
     """
+    if not 1 <= k <= 31:
+        raise ValueError("k has to be 1 to 31")
+    data, at = _bytes(column)
+    base = (_EITHER if upper else _UPPER)[data]
+    code, back = _sums(base & 3, k, True), _sums(3 - (base & 3), k, False)
+    odd = np.concatenate([[0], np.cumsum(base == 4)])
+    size = np.maximum(np.diff(at) - k + 1, 0)
+    read = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(read)) - np.repeat(np.cumsum(size) - size, size)
+    begin = at[read] + place
+    plain = odd[begin + k] == odd[begin]
+    if not plain.all():
+        read, place, begin = read[plain], place[plain], begin[plain]
+    return read, place, code[begin], back[begin]
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            total = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column("seq")), 0), np.int64))
+            first = 0
+            while first < len(total):
+                done = total[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(total, done + STEP, "right")))
+                yield batch.slice(first, last - first)
+                first = last
+
+
+def _dealt(reads: DataFrame, k: int, keep: list[str]) -> DataFrame:
+    """Reads of k bases or more by id over all partitions: few input splits would hold up the work otherwise."""
+    long = reads.where(F.length("seq") >= k).select(*dict.fromkeys([*keep, "seq"]))
+    return long.repartition(shuffle_partitions(reads.sparkSession), "read_id") if "read_id" in keep else long.repartition(shuffle_partitions(reads.sparkSession))
+
+
+def places(reads: DataFrame, k: int, keep: list[str] | None = None, upper: bool = True, canonical: bool = False) -> DataFrame:
+    """(*keep, i, code): every k-mer of every read, i from 0; canonical takes the lesser of it and its complement."""
     keep = keep or ["read_id"]
-    n = shuffle_partitions(reads.sparkSession)
-    spread = reads.where(F.length("seq") >= k).select(*keep, (F.upper("seq") if upper else F.col("seq")).alias("seq")).repartition(n, "read_id")
-    cut = spread.select(*keep, F.posexplode(F.expr(f"transform(sequence(0, length(seq) - {k}, {PIECE}), a -> substring(seq, a + 1, {PIECE + k - 1}))")).alias("piece", "part"))
-    # complemented once for each piece; a k-mer's complement is a stretch of the piece's
-    turned = cut.withColumn("turned", F.reverse(F.translate("part", "ACGT", "TGCA"))).withColumn("odd", F.col("part").rlike("[^ACGT]"))
-    pair = f"transform(sequence(0, length(part) - {k}), j -> struct(substring(part, j + 1, {k}) as word, substring(turned, length(part) - {k} - j + 1, {k}) as other))"
-    each = turned.select(*keep, "piece", "odd", F.posexplode(F.expr(pair)).alias("j", "w"))
-    plain = each.where(~F.col("odd") | ~F.col("w.word").rlike("[^ACGT]"))
-    return plain.select(*keep, (F.col("piece") * PIECE + F.col("j")).alias("i"), "w.word", "w.other")
+    dealt = _dealt(reads, k, keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _steps(batches):
+            read, place, code, back = codes(part.column("seq"), k, upper)
+            at = pa.array(read)
+            yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in keep), pa.array(place), pa.array(np.minimum(code, back) if canonical else code)], [*keep, "i", "code"])
+
+    schema = StructType([dealt.schema[c] for c in keep]).add("i", "long").add("code", "long")
+    return dealt.mapInArrow(run, schema)
 
 
-def _canonical(reads: DataFrame, k: int, keep: list[str]) -> DataFrame:
-    each = words(reads, k)
-    return each.select(*keep, F.least("word", "other").alias("kmer"), F.when(F.col("word") == F.col("other"), 2).otherwise(1).alias("n"))
+def code_counts(reads: DataFrame, k: int) -> DataFrame:
+    """(code, cnt): canonical k-mers over all reads; one that is its own reverse complement counts twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _steps(batches):
+            _, _, code, back = codes(part.column("seq"), k)
+            twice = code == back
+            kept = np.concatenate([np.minimum(code, back), code[twice]])
+            own, n = np.unique(kept, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n.astype(np.int64))], ["code", "n"])
+
+    return _dealt(reads, k, ["read_id"]).select("seq").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").cast("long").alias("cnt"))
 
 
 def canonical_counts(reads: DataFrame, k: int) -> DataFrame:
-    """(kmer, cnt): canonical k-mers over all reads; one that is its own reverse complement counts twice."""
-    return _canonical(reads, k, []).groupBy("kmer").agg(F.sum("n").cast("long").alias("cnt"))
+    """(kmer, cnt) as code_counts, in letters."""
+    return code_counts(reads, k).select(S.kmer_decode("code", k).alias("kmer"), "cnt")
 
 
 def cutoffs(counts: DataFrame) -> DataFrame:
@@ -63,16 +156,33 @@ def scored(counts: DataFrame, cuts: dict) -> DataFrame:
 
 
 def repeats_within(reads: DataFrame, k: int) -> DataFrame:
-    """(read_id, most): how often a read's commonest canonical k-mer occurs in it."""
-    each = _canonical(reads, k, ["read_id"])
-    return each.groupBy("read_id", "kmer").agg(F.sum("n").alias("n")).groupBy("read_id").agg(F.max("n").cast("long").alias("most"))
+    """(read_id, most): how often a read's commonest canonical k-mer occurs in it. Needs no shuffle of k-mers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _steps(batches):
+            read, _, code, back = codes(part.column("seq"), k)
+            weight, least = 1 + (code == back), np.minimum(code, back)
+            order = np.lexsort((least, read))
+            read, least, weight = read[order], least[order], weight[order]
+            if not len(read):
+                continue
+            heads = np.flatnonzero(np.concatenate([[True], (read[1:] != read[:-1]) | (least[1:] != least[:-1])]))
+            most = np.zeros(part.num_rows, np.int64)
+            np.maximum.at(most, read[heads], np.add.reduceat(weight, heads))
+            some = np.flatnonzero(most)
+            yield pa.RecordBatch.from_arrays([part.column("read_id").take(pa.array(some)), pa.array(most[some])], ["read_id", "most"])
+
+    return _dealt(reads, k, ["read_id"]).mapInArrow(run, "read_id string, most long")
 
 
 def window_means(reads: DataFrame, scores: DataFrame, k: int, span: int = SPAN) -> DataFrame:
-    """(read_id, j, mean): integer means of span k-mer scores; the last full window of a read is not made."""
-    each = words(reads, k).select("read_id", "i", F.least("word", "other").alias("kmer")).join(scores.select("kmer", "score"), "kmer")
+    """(read_id, j, mean): integer means of span k-mer scores; the last full window of a read is not made.
+
+    scores(code, score) of canonical k-mers.
+    """
+    each = places(reads, k, canonical=True).join(scores.select("code", "score"), "code")
     w = Window.partitionBy("read_id").orderBy("i")
-    ahead = each.select("read_id", F.col("i").cast("long").alias("j"), F.sum("score").over(w.rowsBetween(0, span - 1)).alias("sum"), F.count("score").over(w.rowsBetween(0, span)).alias("n"))
+    ahead = each.select("read_id", F.col("i").alias("j"), F.sum("score").over(w.rowsBetween(0, span - 1)).alias("sum"), F.count("score").over(w.rowsBetween(0, span)).alias("n"))
     return ahead.where(F.col("n") > span).select("read_id", "j", F.expr(f"sum div {span}").alias("mean"))
 
 

@@ -75,7 +75,7 @@ class Project:
             return once, once.limit(0)
         total = reads.totals(once).first().total_bases
         k = S.kmer_size(total)
-        counts = kmers.canonical_counts(once, k)
+        counts = kmers.code_counts(once, k)
         cuts = kmers.cutoffs(counts).first().asDict()
         if not cuts["n_kmers"]:
             return once.where(F.length("seq") >= self.profile.min_length), once.limit(0)

@@ -57,7 +57,7 @@ def _k(once: DataFrame) -> int:
 def _counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, DataFrame, dict]:
     once = _once(spark, sf_dir)
     k = _k(once)
-    counts = kmers.canonical_counts(once, k)
+    counts = kmers.code_counts(once, k)
     return once, k, counts, kmers.cutoffs(counts).first().asDict()
 
 
@@ -109,13 +109,13 @@ def kmer_counts(spark, sf_dir):
 @query(f"WITH {_CUTS} SELECT * FROM cuts")
 def kmer_cutoffs(spark, sf_dir):
     once = _once(spark, sf_dir)
-    return kmers.cutoffs(kmers.canonical_counts(once, _k(once)))
+    return kmers.cutoffs(kmers.code_counts(once, _k(once)))
 
 
 @query(f"WITH {_SCORES} SELECT kmer, cnt, score FROM scores")
 def kmer_scores(spark, sf_dir):
-    _, _, counts, cuts = _counted(spark, sf_dir)
-    return kmers.scored(counts, cuts)
+    _, k, counts, cuts = _counted(spark, sf_dir)
+    return kmers.scored(counts, cuts).select(S.kmer_decode("code", k).alias("kmer"), "cnt", "score")
 
 
 @query(f"""WITH {_SPLIT}, each AS (SELECT read_id, least(word, {_RC.format('word')}) AS kmer, sum(CASE WHEN word = {_RC.format('word')} THEN 2 ELSE 1 END) AS n FROM words GROUP BY ALL)

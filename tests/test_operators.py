@@ -59,12 +59,24 @@ def test_palindromic_kmer_counts_twice(spark):
     assert rows(kmers.canonical_counts(df, 4)) == [("ACGT", 2)]
 
 
-def test_kmers_of_long_reads_cross_pieces(spark):
-    rng = random.Random(3)
-    seq = "".join(rng.choice("ACGT") for _ in range(3 * kmers.PIECE + 17))
-    df = spark.createDataFrame([("r", "a", seq, 1), ("r", "n", "ACNGT", 2), ("r", "s", "AC", 3)], READ)
-    assert rows(kmers.words(df.where("read_id = 'a'"), 9).select("i", "word")) == sorted(((i, seq[i : i + 9]) for i in range(len(seq) - 8)), key=str)
-    assert kmers.words(df.where("read_id <> 'a'"), 3).count() == 0
+@pytest.mark.parametrize("k", [1, 5, 13, 16, 31])
+def test_kmers_of_long_and_short_reads(spark, monkeypatch, k):
+    monkeypatch.setattr(kmers, "STEP", 500)
+    rng = random.Random(k)
+    reads = [("r", f"x{n}", "".join(rng.choice("ACGTacgtN" if n % 2 else "ACGT") for _ in range(n * 37 % 400)), n) for n in range(40)] + [("r", "empty", "", 99), ("r", "none", None, 100)]
+    df = spark.createDataFrame(reads, READ)
+    code = lambda w: sum("ACGT".index(c) << 2 * (len(w) - 1 - i) for i, c in enumerate(w))
+    rc = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    want, least = [], []
+    for _, name, seq, _ in reads:
+        for i in range(len(seq or "") - k + 1):
+            w = seq[i : i + k]
+            if not set(w) - set("ACGT"):
+                want.append((name, i, code(w)))
+            if not set(w.upper()) - set("ACGT"):
+                least.append((name, i, min(code(w.upper()), code(rc(w.upper())))))
+    assert rows(kmers.places(df, k, upper=False)) == sorted(want, key=str)
+    assert rows(kmers.places(df, k, canonical=True)) == sorted(least, key=str)
 
 
 def test_cutoffs_are_exact_order_statistics(spark):
@@ -100,7 +112,7 @@ def test_masking_equals_the_sequential_model(spark):
     cuts = {"low": 1, "extend": 6, "threshold": 7, "high": 30, "n_kmers": len(counts)}
     rc = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
     score = lambda w: (lambda c: 30 if c > 30 else 0 if c <= 1 else c)(counts[min(w, rc(w))])
-    got = {r.read_id: r.seq for r in kmers.masked(df, kmers.canonical_counts(df, k), cuts, k).collect()}
+    got = {r.read_id: r.seq for r in kmers.masked(df, kmers.code_counts(df, k), cuts, k).collect()}
     whole = {r.read_id for r in kmers.repeats_within(df, k).where("most >= 6").collect()}
     for _, name, seq, _ in reads:
         want = seq.lower() if len(seq) < k or name in whole else masked_model(seq, [score(seq[i : i + k]) for i in range(len(seq) - k + 1)], k, 6, 7)
