@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from readweave.functions import sequence as S
@@ -67,3 +67,9 @@ def quality_offset(reads: DataFrame, first: int = 100) -> int:
 
 def remove_run(reads: DataFrame, run_id: str) -> DataFrame:
     return reads.where(F.col("run_id") != run_id)
+
+
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """df with counters that are filled as it runs: rows, and any other aggregates. Read them with .get."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(k) for k, m in metrics.items())), seen

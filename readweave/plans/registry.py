@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +13,8 @@ from readweave.operators import clusters as C
 from readweave.operators import culling, graph, kmers, overlap, pileup, snps
 from readweave.operators import reads as R
 from readweave.plans import views as V
+from readweave.session import materialize, scratch_dir
+from readweave.sources import text as sources
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,7 +50,8 @@ _SPANS = f"""{_MEANS}, marked AS (SELECT read_id, j, mean, mean > threshold AS h
 
 
 def _once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.drop_clones(V.reads(spark, sf_dir))
+    """Reads without clones, written once: most queries below go over them several times."""
+    return materialize(R.drop_clones(V.reads(spark, sf_dir)), "once")
 
 
 def _k(once: DataFrame) -> int:
@@ -57,7 +61,7 @@ def _k(once: DataFrame) -> int:
 def _counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, DataFrame, dict]:
     once = _once(spark, sf_dir)
     k = _k(once)
-    counts = kmers.code_counts(once, k)
+    counts = materialize(kmers.code_counts(once, k), "counts")
     return once, k, counts, kmers.cutoffs(counts).first().asDict()
 
 
@@ -69,13 +73,13 @@ def read_stats(spark, sf_dir):
 @query(f"WITH {_DEDUP}, {_SIZE} SELECT k FROM size")
 def kmer_size(spark, sf_dir):
     """As one plan: the size follows from the total of bases."""
-    total = R.totals(_once(spark, sf_dir))
+    total = R.totals(R.drop_clones(V.reads(spark, sf_dir)))
     return total.select(F.greatest(F.lit(1), F.ceil(F.log(F.lit(5.0) * F.col("total_bases")) / F.log(F.lit(4.0)))).cast("long").alias("k"))
 
 
 @query(f"WITH {_DEDUP} SELECT run_id, read_id, length(seq) AS n_bases, md5(seq) AS digest FROM once")
 def dedup_reads(spark, sf_dir):
-    return _once(spark, sf_dir).select("run_id", "read_id", F.length("seq").cast("long").alias("n_bases"), F.md5("seq").alias("digest"))
+    return R.drop_clones(V.reads(spark, sf_dir)).select("run_id", "read_id", F.length("seq").cast("long").alias("n_bases"), F.md5("seq").alias("digest"))
 
 
 @query(f"""WITH {V.READS}, q AS (SELECT ord, translate(seq, 'ACGT', 'BJR^') AS qual_ascii FROM reads), f AS (SELECT qual_ascii FROM q ORDER BY ord LIMIT 100)
@@ -159,7 +163,7 @@ _RUNS = f"""{V.READS}, once AS (SELECT * FROM reads QUALIFY row_number() OVER (P
   CAST(sum(CASE WHEN run_seq > (SELECT min(run_seq) FROM runs) THEN bases_used ELSE 0 END) OVER (ORDER BY run_seq) AS BIGINT) AS total_bases_used FROM runs""")
 def run_totals(spark, sf_dir):
     n = F.length("seq")
-    runs = _once(spark, sf_dir).groupBy("run_id", "run_seq").agg(F.sum(n).cast("long").alias("bases_added"), F.sum(F.when(n >= 100, n).otherwise(0)).cast("long").alias("bases_used"))
+    runs = R.drop_clones(V.reads(spark, sf_dir)).groupBy("run_id", "run_seq").agg(F.sum(n).cast("long").alias("bases_added"), F.sum(F.when(n >= 100, n).otherwise(0)).cast("long").alias("bases_used"))
     return R.run_totals(runs)
 
 
@@ -394,3 +398,103 @@ def snp_filter(spark, sf_dir):
     units = pileup.profiles(seen, seen).select(F.col("contig_id").alias("cluster"), (F.col("pos") * 4).alias("pos"), "individual", "base", "quals")
     rules = snps.Rules(most_reads=40, most_diffs=6, min_side=4, most_units=4, most_depth=100)
     return snps.accepted(blocks, units, rules).select("cluster", F.array_join(F.col("good").cast("array<string>"), ",").alias("good"))
+
+
+def _spot(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"WITH {V.READS} SELECT read_id, seq FROM reads")
+def fasta_source(spark, sf_dir):
+    """Reads written as wrapped FASTA and read again."""
+    path = _spot(spark, "fasta")
+    sources.write_fasta(V.reads(spark, sf_dir), path)
+    return sources.read_fasta(spark, path).select("read_id", "seq")
+
+
+@query(f"WITH {V.READS} SELECT read_id, seq, translate(seq, 'ACGT', 'BJR^') AS qual_ascii FROM reads")
+def fastq_source(spark, sf_dir):
+    path = _spot(spark, "fastq")
+    reads = V.reads(spark, sf_dir).withColumn("qual", S.phred_decode(F.translate("seq", "ACGT", "BJR^"), 33))
+    sources.write_fastq(reads, path)
+    return sources.read_fastq(spark, path).select("read_id", "seq", "qual_ascii")
+
+
+_LESS = "(length(seq) - length(replace(seq, '{0}', '')))"
+
+
+@query(f"WITH {V.READS} SELECT read_id, length(seq) AS n, {_LESS.format('A')} * 33 + {_LESS.format('C')} * 41 + {_LESS.format('G')} * 49 + {_LESS.format('T')} * 61 AS total FROM reads")
+def quality_source(spark, sf_dir):
+    path = _spot(spark, "qual")
+    reads = V.reads(spark, sf_dir).withColumn("qual", F.when(F.col("seq") == "", F.expr("cast(array() as array<int>)")).otherwise(S.phred_decode(F.translate("seq", "ACGT", "BJR^"), 33)))
+    sources.write_quality_text(reads, path)
+    return sources.read_quality_text(spark, path).select("read_id", F.size("qual").cast("long").alias("n"), F.aggregate("qual", F.lit(0).cast("long"), lambda a, q: a + q).alias("total"))
+
+
+@query(f"WITH {V.BLOCKS} SELECT name1, s1, o1, aln1, name2, s2, o2, aln2 FROM blocks")
+def maf_source(spark, sf_dir):
+    path = _spot(spark, "maf")
+    blocks = V.blocks(spark, sf_dir)
+    for c, v in (("score", 0), ("strand1", "+"), ("strand2", "+"), ("len1", 12), ("len2", 12)):
+        blocks = blocks.withColumn(c, F.lit(v))
+    sources.maf_text(blocks).write.text(path)
+    return sources.read_maf(spark, path).select("name1", "s1", "o1", "aln1", "name2", "s2", "o2", "aln2")
+
+
+@query(f"""WITH {V.MEMBERS}, {V.DIFFS}, m AS (SELECT cluster, count(*) AS n_members FROM members GROUP BY cluster), d AS (SELECT cluster, count(*) AS n_diffs, CAST(sum(reads) AS BIGINT) AS n_reads FROM diffs GROUP BY cluster)
+  SELECT CAST(cluster AS VARCHAR) AS cluster, n_members, n_diffs, n_reads FROM m JOIN d USING (cluster)""")
+def cluster_source(spark, sf_dir):
+    path = _spot(spark, "clusters")
+    m = V.members(spark, sf_dir).groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct(F.col("read_id").cast("string").alias("read_id"), "individual"))).alias("members"))
+    d = V.diffs(spark, sf_dir).groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("position", "reference", "target", F.col("reads").cast("int").alias("reads")))).alias("diffs"))
+    sources.write_clusters(m.join(d, "cluster").select(F.col("cluster").cast("string").alias("cluster"), F.lit("ACGT").alias("seq"), F.lit(False).alias("is_repeat"), "members", "diffs"), path)
+    back = sources.read_clusters(spark, path)
+    return back.select("cluster", F.size("members").cast("long").alias("n_members"), F.size("diffs").cast("long").alias("n_diffs"), F.aggregate("diffs", F.lit(0).cast("long"), lambda a, x: a + x["reads"]).alias("n_reads"))
+
+
+_CONSENSUS = f"""{V.ALLELES}, gapped AS (SELECT contig_id, pos, CASE WHEN quality % 3 = 0 THEN '*' ELSE base END AS base, quality FROM alleles), v AS (SELECT contig_id, pos, base, count(*) AS n, sum(quality) AS q FROM gapped GROUP BY ALL),
+  r AS (SELECT *, sum(q) OVER (PARTITION BY contig_id, pos) AS every FROM v QUALIFY row_number() OVER (PARTITION BY contig_id, pos ORDER BY n DESC, q DESC, base) = 1),
+  cons AS (SELECT contig_id, pos, base, CAST(greatest(0, least(97, 2 * q - every)) AS INTEGER) AS quality FROM r)"""
+
+
+@query(f"WITH {_CONSENSUS} SELECT contig_id, string_agg(CASE WHEN quality <= 20 THEN lower(base) ELSE base END, '' ORDER BY pos) AS seq, CAST(count(*) AS INTEGER) AS length FROM cons WHERE base <> '*' GROUP BY contig_id")
+def contig_sequences(spark, sf_dir):
+    return pileup.contigs(pileup.consensus(_gapped(spark, sf_dir)))
+
+
+@query(f"WITH {_CONSENSUS} SELECT contig_id, pos, CAST(greatest(sum(CASE WHEN base <> '*' THEN 1 ELSE 0 END) OVER (PARTITION BY contig_id ORDER BY pos) - 1, 0) AS INTEGER) AS at_place FROM cons")
+def ungapped_places(spark, sf_dir):
+    return pileup.ungapped(pileup.consensus(_gapped(spark, sf_dir))).select("contig_id", "pos", F.col("at").alias("at_place"))
+
+
+@query("""SELECT l_orderkey AS cluster, l_suppkey AS read_id FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
+  WHERE NOT EXISTS (SELECT 1 FROM orders JOIN customer ON o_custkey = c_custkey JOIN supplier ON s_nationkey = c_nationkey WHERE o_orderkey = l_orderkey AND s_suppkey = l_suppkey)""")
+def singleton_members(spark, sf_dir):
+    """Members that no contig holds; an order places the suppliers of its customer's nation."""
+    members = V.members(spark, sf_dir).select("cluster", "read_id").distinct()
+    homes = V.table(spark, sf_dir, "orders").join(V.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("contig_id"), "c_nationkey")
+    near = V.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("read_id"), "s_nationkey")
+    placed = members.join(homes, F.col("cluster") == F.col("contig_id")).join(near, "read_id").where("s_nationkey = c_nationkey").select("contig_id", "read_id")
+    return pileup.singletons(members, placed)
+
+
+@query(f"WITH {V.EDGES} SELECT DISTINCT greatest(src, dst) AS u, least(src, dst) AS v FROM edges WHERE src <> dst")
+def graph_edges(spark, sf_dir):
+    return graph.canonical_edges(V.edges(spark, sf_dir))
+
+
+@query(f"WITH {V.EDGES}, cut AS (SELECT 'p' || p_partkey AS id FROM part WHERE p_size < 10) SELECT src, dst FROM edges WHERE dst NOT IN (SELECT id FROM cut) AND src NOT IN (SELECT id FROM cut)")
+def condemned_edges(spark, sf_dir):
+    cut = V.table(spark, sf_dir, "part").where("p_size < 10").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"))
+    return graph.condemn(V.edges(spark, sf_dir), cut)
+
+
+@query(f"""WITH {V.READS}, parts AS (SELECT read_id, seq, length(seq) AS n, CAST(floor(length(seq) / 3.0) AS BIGINT) AS a FROM reads), soft AS (SELECT read_id, n, a, least(a + ord_mod, n) AS b FROM (SELECT parts.*, n % 80 AS ord_mod FROM parts))
+  SELECT read_id, CASE WHEN n < 100 THEN 'short' WHEN n - (CASE WHEN b - a >= 40 THEN b - a ELSE 0 END) < 100 THEN 'repeat' ELSE 'kept' END AS verdict, n AS n_bases, n - (CASE WHEN b - a >= 40 THEN b - a ELSE 0 END) AS n_unmasked FROM soft""")
+def mask_repair(spark, sf_dir):
+    """Reads with one masked stretch of up to 79 bases: stretches under 40 are undone, then length rules decide."""
+    n = F.length("seq")
+    a = F.floor(n / F.lit(3.0))
+    soft = F.concat(F.substring("seq", F.lit(1), a), F.lower(F.substring("seq", a + 1, n % 80)), F.expr("substring(seq, floor(length(seq) / 3.0) + length(seq) % 80 + 1)"))
+    marked = V.reads(spark, sf_dir).withColumn("seq", soft)
+    return R.split_repeats(marked).select("read_id", "verdict", n.cast("long").alias("n_bases"), S.unmasked_length("seq").cast("long").alias("n_unmasked"))
