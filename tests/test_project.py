@@ -2,6 +2,10 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
+from readweave import profiles
 from readweave.operators.snps import Rules
 from readweave.plans.project import Project
 from readweave.profiles import Profile
@@ -26,13 +30,20 @@ def planted(base, at):
     return base[:at] + other + base[at + 1 :]
 
 
-def make(spark, tmp_path, monkeypatch):
-    from readweave import profiles
+@pytest.fixture(scope="module", autouse=True)
+def small_profile():
+    kept = profiles.PROFILES[SMALL.name]
+    profiles.PROFILES[SMALL.name] = SMALL
+    yield
+    profiles.PROFILES[SMALL.name] = kept
+
 
-    monkeypatch.setitem(profiles.PROFILES, SMALL.name, SMALL)
+@pytest.fixture(scope="module")
+def made(spark, small_profile, tmp_path_factory):
+    """A project of two individuals with two runs each, its genome and the other allele's."""
     base = genome(800)
     other = planted(base, 400)
-    project = Project.create(spark, str(tmp_path / "p"), SMALL, genome_size=800)
+    project = Project.create(spark, str(tmp_path_factory.mktemp("made") / "p"), SMALL, genome_size=800)
     project.add(run_of(spark, base, "a1", [340, 350, 100]), "a1", "ann")
     project.add(run_of(spark, base, "a2", [345, 360, 600]), "a2", "ann")
     project.add(run_of(spark, other, "b1", [342, 355]), "b1", "bob")
@@ -40,8 +51,8 @@ def make(spark, tmp_path, monkeypatch):
     return project, base, other
 
 
-def test_planted_difference_is_found(spark, tmp_path, monkeypatch):
-    project, base, other = make(spark, tmp_path, monkeypatch)
+def test_planted_difference_is_found(made):
+    project, base, other = made
     assert project.totals()["bases_added"] == 120 * 7
     members = project.table("members").where("cluster = 'a1_340'").select("read_id").collect()
     assert {r.read_id for r in members} == {"a1_340", "a2_345", "a2_360", "b1_342", "b1_355", "b2_348", "b2_338"}
@@ -53,23 +64,18 @@ def test_planted_difference_is_found(spark, tmp_path, monkeypatch):
     assert {(u.individual, u.base) for s in row.snps for u in s.units} == {("ann", base[400]), ("bob", other[400])}
 
 
-def test_removing_a_run(spark, tmp_path, monkeypatch):
-    project, _, _ = make(spark, tmp_path, monkeypatch)
+def test_removing_a_run(made):
+    project, _, _ = made
     project.remove("b2")
     assert {r.run_id for r in project.table("runs").collect()} == {"a1", "a2", "b1"}
     assert project.table("members").where("read_id like 'b2%'").count() == 0
     assert project.table("clusters").where("cluster like 'b2%'").count() == 0
 
 
-def test_runs_from_a_stream(spark, tmp_path, monkeypatch):
-    from readweave import profiles
-
-    monkeypatch.setitem(profiles.PROFILES, SMALL.name, SMALL)
+def test_runs_from_a_stream(spark, tmp_path):
     base = genome(400)
     project = Project.create(spark, str(tmp_path / "p"), SMALL, genome_size=400)
     kind = "run_id string, individual string, " + READS
-    from pyspark.sql import functions as F
-
     for k, (name, person) in enumerate((("r1", "ann"), ("r2", "bob"))):
         run_of(spark, base, name, [10 + k, 200]).select(F.lit(name).alias("run_id"), F.lit(person).alias("individual"), "read_id", "seq", "qual", "ord").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
