@@ -1,15 +1,17 @@
-"""A small causal self-attention language model in numpy, with bounded count tables beside it.
+"""A small causal self-attention language model in numpy, with count tables beside it.
 
 The vocabulary's SLOTS most frequent subwords have a slot each, all others share the last one. A slot belongs
 to one of CLASSES classes. One attention layer reads a window of subwords. Its output tilts the class
 distribution that bigram counts give; inside a class the bigram counts decide; a gate, also from the
 attention's output, mixes that with a memory of longer counts. All three are proper distributions, so
-the mixture is one. Sizes are fixed by the parameters, however large the corpus that is counted.
+the mixture is one. The layer and the bigrams have sizes fixed by the parameters; the memory has every pair of
+the corpus, of which a block of texts is handed those that it needs.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from copy import copy
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -21,9 +23,6 @@ WIDTH = 16
 WINDOW = 32
 CONTEXT = 8
 STEP = WINDOW - CONTEXT
-#: Bound on the remembered pairs of context and slot: those of highest count, in a table of so many places.
-REMEMBERED = 1 << 19
-PLACES = 1 << 20
 #: Subwords of the present word that make up a context at most, and the weight of distinct followers.
 PREFIX = 12
 DISTINCT = 2
@@ -57,17 +56,16 @@ class Tables:
     """What counts of the training tokens give: bigrams of slots, and a memory of (context, slot) pairs.
 
     A context is a number that stands for what comes before: inside a word its subwords so far, else the last
-    two. A pair's key is context * SLOTS + slot. The memory backs off to the bigrams with the weight of what
-    is not remembered and DISTINCT times the number of different slots that followed the context.
+    two. A pair's key is context * SLOTS + slot. The memory backs off to the bigrams with the weight of
+    DISTINCT times the number of different slots that followed the context.
     """
 
     kind: np.ndarray
     bigrams: np.ndarray  # SLOTS x SLOTS counts of (before, next)
-    keys: np.ndarray  # remembered pairs, by descending count
+    keys: np.ndarray  # pairs
     counts: np.ndarray
     seen: np.ndarray  # of each pair's context: how often it occurred
     followers: np.ndarray  # and how many slots followed it
-    place: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         pair = self.bigrams.astype(np.float64)
@@ -79,42 +77,40 @@ class Tables:
         self.chance = chance.astype(np.float32)
         self.class_log = np.log(np.maximum(by_class, 1e-30)).astype(np.float32)
         self.inside = (chance / by_class[:, self.kind]).astype(np.float32)
-        # two tables of a fixed number of places; where two meet the more frequent pair stays
-        context = self.keys // SLOTS
-        last = slice(None, None, -1)
-        where = self._where(context)
-        self.known = np.full(PLACES, -1, np.int64)
-        self.known[where[last]] = context[last]
-        stays = self.known[where] == context
-        self.total = np.zeros(PLACES, np.float32)
-        self.total[where[stays]] = self.seen[stays] + DISTINCT * self.followers[stays]
-        keys, counts, owner = self.keys[stays], self.counts[stays], where[stays]
-        where = self._where(keys)
-        self.place = np.full(PLACES, -1, np.int64)
-        self.held = np.zeros(PLACES, np.float32)
-        self.place[where[last]], self.held[where[last]] = keys[last], counts[last]
-        stays = self.place[where] == keys
-        self.back = self.total - np.bincount(owner[stays], counts[stays], PLACES).astype(np.float32)
-
-    @staticmethod
-    def _where(keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int64)
+        self._remember(self.keys, self.counts, self.seen, self.followers)
+
+    def _remember(self, keys: np.ndarray, counts: np.ndarray, seen: np.ndarray, followers: np.ndarray) -> None:
+        if not len(keys):
+            keys, counts, seen, followers = np.full(1, -1, np.int64), *(np.zeros(1, np.float32) for _ in range(3))
+        if (keys[1:] < keys[:-1]).any():
+            order = np.argsort(keys)
+            keys, counts, seen, followers = keys[order], counts[order], seen[order], followers[order]
+        self.keys, self.counts, self.seen, self.followers = keys, counts.astype(np.float32), seen.astype(np.float32), followers.astype(np.float32)
+        self.known = np.where(self.seen > 0, keys // SLOTS, -1)
+
+    def holding(self, keys: np.ndarray, counts: np.ndarray, seen: np.ndarray, followers: np.ndarray) -> Tables:
+        """The same bigrams with another memory: the whole corpus's counts of the pairs that some texts need."""
+        other = copy(self)
+        other._remember(keys, counts, seen, followers)
+        return other
 
     def memory(self, context: np.ndarray, before: np.ndarray, target: np.ndarray, left_out: bool = False) -> np.ndarray:
         """Chance of the targets by the memory; left_out: as if each training token itself had not been counted."""
         plain = self.chance[before, target]
-        at = self._where(context)
-        known = self.known[at] == context
         keys = context * SLOTS + target
-        where = self._where(keys)
-        held = self.place[where] == keys
-        count, total, back = self.held[where] * held, self.total[at], self.back[at]
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        held = self.keys[at] == keys
+        # a context's pairs lie side by side, so one of the two around a pair's place tells about its context
+        near = at - ((self.known[at] != context) & (at > 0))
+        known = self.known[near] == context
+        count, back = self.counts[at] * held, DISTINCT * self.followers[near]
+        total = self.seen[near] + back
         if left_out:
-            once = ~held | (count == 1)
+            once = count <= 1
             total = np.maximum(total - 1 - DISTINCT * once, DISTINCT)
-            back = np.maximum(back - DISTINCT * once - ~held, DISTINCT)
+            back = np.maximum(back - DISTINCT * once, DISTINCT)
             count = np.maximum(count - 1, 0)
-        # a place that is not this context's counts as none: the bigrams alone
+        # a context that was not seen counts as none: the bigrams alone
         return plain + known * ((count + back * plain) / (total + ~known) - plain)
 
 

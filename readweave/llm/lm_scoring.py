@@ -4,7 +4,7 @@ Words are cut into subwords by a public byte-level vocabulary, one word at a tim
 stand for its words in a row and nothing else. Texts are cut up once, into blocks whose distinct words and
 subwords are stored; everything after that reads the blocks. Counts of words and of subwords in
 their context cover all training texts: blocks hand over one entry for each distinct one, packed by
-bucket, and buckets add them up. The attention layer is trained by local steps of every task over its own
+bucket, buckets add them up, and each block gets back the counts of its own. The attention layer is trained by local steps of every task over its own
 training texts, averaged after each round.
 """
 
@@ -33,6 +33,8 @@ EVERY = 32
 LEAST_WINDOWS = 40_000
 END = 50256
 IDS = 50257
+#: Blocks that add a bucket of pairs each time, so that a bucket's size stays bounded.
+BUCKET_BLOCKS = 16
 #: Words that a worker remembers the subwords of, and characters of a word that are cut up at once.
 REMEMBERED = 200_000
 LONG_WORD = 512
@@ -191,105 +193,111 @@ def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[heads], np.add.reduceat(c, heads) if len(heads) else c
 
 
-def _gram_counts(blocks: DataFrame, slot: np.ndarray) -> DataFrame:
-    """(keys, counts) packed by bucket, all pairs of a context in one: (context, slot) pairs and bigrams of training texts."""
-    n = shuffle_partitions(blocks.sparkSession)
+def _gram_counts(blocks: DataFrame, slot: np.ndarray, n_blocks: int) -> DataFrame:
+    """(block, keys, counts, seen, followers): for every (context, slot) pair of a block, in training texts or not, the counts over all training texts, packed by bucket.
+
+    Pairs of a context meet in one bucket, and buckets grow in number with the blocks. Bigrams of training
+    texts have keys from _BIGRAM on and belong to block -1.
+    """
+    n = max(shuffle_partitions(blocks.sparkSession), n_blocks // BUCKET_BLOCKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            k, c = _added(keys, counts)
+        def out(block: int, k: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
             bucket = (((k // A.SLOTS).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % n
             order = np.argsort(bucket, kind="stable")
             edge = np.searchsorted(bucket[order], np.arange(n + 1))
             some = np.flatnonzero(np.diff(edge))
             parts = [order[edge[b] : edge[b + 1]] for b in some]
-            return pa.RecordBatch.from_arrays([pa.array(some), pa.array([pack(k[p]) for p in parts], pa.binary()), pa.array([pack(c[p]) for p in parts], pa.binary())], ["bucket", "keys", "counts"])
+            return pa.RecordBatch.from_arrays([pa.array(some), pa.array([block] * len(some)), pa.array([pack(k[p]) for p in parts], pa.binary()), pa.array([pack(c[p]) for p in parts], pa.binary())], ["bucket", "block", "keys", "counts"])
 
-        keys, counts, pairs = [], [], np.zeros(A.SLOTS**2, np.int64)
+        pairs = np.zeros(A.SLOTS**2, np.int64)
         for row in _rows(batches):
-            block = Block(row, slot)
-            for docs in block.chunks(np.flatnonzero(~block.held)):
-                s, context, first = block.sequence(docs)
-                one = np.concatenate([[0], s[:-1]]).astype(np.int64)
-                one[first[:-1]] = block.end_slot
-                pairs += np.bincount(one * A.SLOTS + s, minlength=A.SLOTS**2)
-                k = np.sort(context * A.SLOTS + s)
-                heads = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-                keys.append(k[heads])
-                counts.append(np.diff(np.concatenate([heads, [len(k)]])))
-            if sum(map(len, keys)) > 6_000_000:
-                k, c = _added(keys, counts)
-                keys, counts = [k], [c]
-                if len(k) > 4_000_000:
-                    yield out()
-                    keys, counts = [], []
+            block, keys, counts = Block(row, slot), [], []
+            for held in (False, True):
+                for docs in block.chunks(np.flatnonzero(block.held == held)):
+                    s, context, first = block.sequence(docs)
+                    if not held:
+                        one = np.concatenate([[0], s[:-1]]).astype(np.int64)
+                        one[first[:-1]] = block.end_slot
+                        pairs += np.bincount(one * A.SLOTS + s, minlength=A.SLOTS**2)
+                    k = np.sort(context * A.SLOTS + s)
+                    heads = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+                    keys.append(k[heads])
+                    # held-out texts ask for counts and add none
+                    counts.append(np.diff(np.concatenate([heads, [len(k)]])) * (not held))
+            if keys:
+                yield out(row["block"], *_added(keys, counts))
         some = np.flatnonzero(pairs)
-        keys.append(_BIGRAM + some)
-        counts.append(pairs[some])
-        if any(map(len, keys)):
-            yield out()
+        if len(some):
+            yield out(-1, _BIGRAM + some, pairs[some])
 
     def add(held: pa.Table) -> pa.Table:
-        k, c = _added([unpack(x, np.int64) for x in held.column("keys").to_pylist()], [unpack(x, np.int64) for x in held.column("counts").to_pylist()])
-        return pa.table({"keys": pa.array([pack(k)], pa.binary()), "counts": pa.array([pack(c)], pa.binary())})
-
-    needed = blocks.select("held", "first", "codes", "subs", "sub_sizes")
-    return needed.mapInArrow(run, "bucket long, keys binary, counts binary").groupBy("bucket").applyInArrow(add, "keys binary, counts binary")
-
-
-def _tables(blocks: DataFrame, slot: np.ndarray, kind: np.ndarray) -> A.Tables:
-    """Bounded tables for the driver: all bigrams of slots, the most frequent pairs of context and slot."""
-    grams = materialize(_gram_counts(blocks, slot), "grams")
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, np.int64)
-        for row in _rows(batches):
-            k, c = unpack(row["keys"], np.int64), unpack(row["counts"], np.int64)
-            total += np.bincount(np.minimum(c[k < _BIGRAM], len(total) - 1), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["c", "n"])
-
-    seen = grams.mapInArrow(spread, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("c")).collect()
-    least, kept = 1 << 16, 0
-    for r in seen:  # at most 65,536 rows
-        kept += r.n
-        if kept > A.REMEMBERED:
-            break
-        least = r.c
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            k, c = unpack(row["keys"], np.int64), unpack(row["counts"], np.int64)
-            context = k // A.SLOTS
-            heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            size = np.diff(np.concatenate([heads, [len(k)]]))
-            ok = (k >= _BIGRAM) | (c >= least)
-            columns = [k[ok], c[ok], np.repeat(np.add.reduceat(c, heads), size)[ok], np.repeat(size, size)[ok]]
-            yield pa.RecordBatch.from_arrays([pa.array([pack(x)], pa.binary()) for x in columns], ["keys", "counts", "seen", "followers"])
-
-    # bounded by REMEMBERED and SLOTS^2 entries
-    rows = grams.mapInArrow(chosen, "keys binary, counts binary, seen binary, followers binary").collect()
-    k, c, seen, followers = (np.concatenate([np.zeros(0, np.int64), *(unpack(r[x], np.int64) for r in rows)]) for x in ("keys", "counts", "seen", "followers"))
-    bigrams = np.zeros(A.SLOTS**2, np.int64)
-    own = k >= _BIGRAM
-    bigrams[k[own] - _BIGRAM] = c[own]
-    own = np.flatnonzero(~own)
-    order = own[np.lexsort((k[own], -c[own]))]
-    return A.Tables(kind, bigrams.reshape(A.SLOTS, A.SLOTS).astype(np.int32), k[order], *(x[order].astype(np.float32) for x in (c, seen, followers)))
+        owner, packed = np.asarray(held.column("block")), held.column("keys").to_pylist()
+        keys = [unpack(x, np.int64) for x in packed]
+        k, c = _added(keys, [unpack(x, np.int64) for x in held.column("counts").to_pylist()])
+        context = k // A.SLOTS
+        heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        size = np.diff(np.concatenate([heads, [len(k)]]))
+        seen, followers = (np.repeat(np.add.reduceat(x, heads), size) for x in (c, (c > 0).astype(np.int64)))
+        mine = np.flatnonzero(owner >= 0)
+        rows = [(int(owner[i]), packed[i], at) for i in mine for at in [np.searchsorted(k, keys[i])]]
+        own = np.flatnonzero(k >= _BIGRAM)
+        if len(own):
+            rows.append((-1, pack(k[own]), own))
+        columns = [[pack(x[at]) for _, _, at in rows] for x in (c, seen, followers)]
+        return pa.table([pa.array([r[0] for r in rows], pa.int64()), *(pa.array(x, pa.binary()) for x in ([r[1] for r in rows], *columns))], ["block", "keys", "counts", "seen", "followers"])
+
+    needed = blocks.select("block", "held", "first", "codes", "subs", "sub_sizes")
+    return needed.mapInArrow(run, "bucket long, block long, keys binary, counts binary").groupBy("bucket").applyInArrow(add, "block long, keys binary, counts binary, seen binary, followers binary")
+
+
+GRAMS = ("keys", "counts", "seen", "followers")
+NEEDED = ("block", "held", "first", "codes", "subs", "sub_sizes")
+
+
+def _with_counts(blocks: DataFrame, words: DataFrame, grams: DataFrame) -> DataFrame:
+    """Blocks with the whole corpus's counts of their words and pairs; block -1 has the bigrams and no texts."""
+    texts = blocks.select("doc_id", *NEEDED)
+    sides = words.select("block", "at", F.col("counts").alias("word_counts"), "known").unionByName(grams, allowMissingColumns=True)
+    schema = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), *((c, pa.binary()) for c in (*NEEDED[1:], "word_counts", *GRAMS)), ("known", pa.int64())])
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0] if left.num_rows else dict.fromkeys(("doc_id", *NEEDED[1:]))
+        row |= {"block": key[0].as_py(), "known": 0, "word_counts": None}
+        c = np.zeros(unpack(row["sub_sizes"], np.int32).size if row["sub_sizes"] else 0, np.int64)
+        held = []
+        for r in right.to_pylist():
+            if r["at"] is None:
+                held.append([unpack(r[x], np.int64) for x in GRAMS])
+            else:
+                c[unpack(r["at"], np.int32)] = unpack(r["word_counts"], np.int64)
+                row["known"] += r["known"]
+        columns = [np.concatenate(x) for x in zip(*held, strict=True)] or [np.zeros(0, np.int64)] * len(GRAMS)
+        order = np.argsort(columns[0])
+        row |= {"word_counts": pack(c), **{x: pack(v[order]) for x, v in zip(GRAMS, columns, strict=True)}}
+        return pa.Table.from_pylist([row], schema=schema)
+
+    kinds = ", ".join(f"{c} binary" for c in (*NEEDED[1:], "word_counts", *GRAMS))
+    return texts.groupBy("block").cogroup(sides.groupBy("block")).applyInArrow(run, f"block long, doc_id array<long>, {kinds}, known long")
 
 
 _built: dict[str, tuple] = {}
 
 
 def _model(token: str, sent) -> tuple:
-    """The model of a broadcast, tables built once in each worker."""
+    """The model of a broadcast, its bigram tables built once in each worker."""
     if token not in _built:
         _built.clear()
-        slot, *held = sent.value
-        _built[token] = (slot, A.Tables(*held))
+        slot, kind, bigrams = sent.value
+        none = np.zeros(0, np.int64)
+        _built[token] = (slot, A.Tables(kind, bigrams, none, none, none, none))
     return _built[token]
 
 
+def _recalled(row: dict, tables: A.Tables) -> A.Tables:
+    return tables.holding(*(unpack(row[x], np.int64) for x in GRAMS))
+
+
 def _trained(blocks: DataFrame, token: str, sent, every: int) -> dict[str, np.ndarray]:
     p = A.initial()
     shapes = {k: v.shape for k, v in p.items()}
@@ -316,16 +324,16 @@ def _trained(blocks: DataFrame, token: str, sent, every: int) -> dict[str, np.nd
             slot, tables = _model(token, sent)
             own, steps = full(now), 0
             for row in _rows(batches):
-                block = Block(row, slot)
+                block, own_tables = Block(row, slot), _recalled(row, tables)
                 docs = np.flatnonzero(~block.held)
                 docs = docs[(docs + turn + row["block"]) % every == 0]
                 for some in block.chunks(docs):
-                    own, n = A.train(own, tables, *block.sequence(some), turn, block.end_slot)
+                    own, n = A.train(own, own_tables, *block.sequence(some), turn, block.end_slot)
                     steps += n
             if steps:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 64]), pa.array([(flat(own).astype(np.float64) * steps).tobytes()], pa.binary()), pa.array([steps])], ["slot", "sums", "steps"])
 
-        got = blocks.select("block", "held", "first", "codes", "subs", "sub_sizes").mapInArrow(run, "slot long, sums binary, steps long").groupBy("slot").applyInArrow(add, "sums binary, steps long").collect()
+        got = blocks.select(*NEEDED, *GRAMS).mapInArrow(run, "slot long, sums binary, steps long").groupBy("slot").applyInArrow(add, "sums binary, steps long").collect()
         steps = sum(r.steps for r in got)  # at most 64 rows
         if steps:
             p = full(sum(np.frombuffer(r.sums, np.float64) for r in got) / steps)
@@ -399,38 +407,38 @@ def score(docs: DataFrame, held_out: Column, path: str | None = None) -> DataFra
     slot, kind = A.slots_of(counts, END)
     inside = np.log10((counts + 1) / np.bincount(slot, counts + 1.0, A.SLOTS)[slot])
 
-    t = _tables(blocks, slot, kind)
-    sent = spark.sparkContext.broadcast((slot, kind, t.bigrams, t.keys, t.counts, t.seen, t.followers))
-    token = uuid.uuid4().hex
-    sums = blocks.agg(F.sum("train_tokens"), F.sum("windows")).first()
+    sums = blocks.agg(F.sum("train_tokens"), F.sum("windows"), F.count("block")).first()
     n, windows = sums[0] or 0, sums[1] or 0
-    p = _trained(blocks, token, sent, int(np.clip(windows // LEAST_WINDOWS, 1, EVERY)))
+    counted = materialize(_with_counts(blocks, _word_counts(blocks), _gram_counts(blocks, slot, sums[2])), "lm-counted")
+    bigrams = np.zeros(A.SLOTS**2, np.int64)
+    for r in counted.where("block = -1").select("keys", "counts").collect():  # one row of SLOTS^2 entries at most
+        bigrams[unpack(r["keys"], np.int64) - _BIGRAM] = unpack(r["counts"], np.int64)
+    texts = counted.where("block >= 0")
+    sent = spark.sparkContext.broadcast((slot, kind, bigrams.reshape(A.SLOTS, A.SLOTS)))
+    token = uuid.uuid4().hex
+    p = _trained(texts, token, sent, int(np.clip(windows // LEAST_WINDOWS, 1, EVERY)))
 
-    words = materialize(_word_counts(blocks), "lm-words")
     ends = int(counts[END])
-    v = int(words.agg(F.sum("known")).first()[0] or 0) + (ends > 0)
+    v = int(texts.agg(F.sum("known")).first()[0] or 0) + (ends > 0)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, tables = _model(token, sent)
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        if not left.num_rows:
-            return pa.table([pa.array([], k) for k in kinds], names)
-        block = Block(left.to_pylist()[0], slot)
-        c = np.zeros(len(block.size), np.int64)
-        for at, own in zip(right.column("at").to_pylist(), right.column("counts").to_pylist(), strict=True):
-            c[unpack(at, np.int32)] = unpack(own, np.int64)
-        size = np.diff(block.first)
-        doc = np.repeat(np.arange(len(size)), size)
-        base = np.bincount(doc, np.log10((c + 1) / (n + v + 1))[block.codes], len(size)) + np.log10((ends + 1) / (n + v + 1))
-        known = np.bincount(doc, (c > 0)[block.codes], len(size)).astype(np.int64) + (ends > 0)
-        # what a subword costs inside its slot, added up by word
-        held = np.concatenate([[0], np.cumsum(inside[block.ids])])
-        last = np.cumsum(block.size)
-        own = np.bincount(doc, (held[last] - held[last - block.size])[block.codes], len(size)) + inside[END]
-        for docs in block.chunks(np.arange(len(size))):
-            own[docs] += A.score(p, tables, *block.sequence(docs), block.end_slot) / np.log(10)
-        columns = [block.row["doc_id"], block.held, size + 1, known, np.full(len(size), n), base, own]
-        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
-
-    return blocks.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        for row in _rows(batches):
+            block, own_tables = Block(row, slot), _recalled(row, tables)
+            c = unpack(row["word_counts"], np.int64)
+            size = np.diff(block.first)
+            doc = np.repeat(np.arange(len(size)), size)
+            base = np.bincount(doc, np.log10((c + 1) / (n + v + 1))[block.codes], len(size)) + np.log10((ends + 1) / (n + v + 1))
+            known = np.bincount(doc, (c > 0)[block.codes], len(size)).astype(np.int64) + (ends > 0)
+            # what a subword costs inside its slot, added up by word
+            held = np.concatenate([[0], np.cumsum(inside[block.ids])])
+            last = np.cumsum(block.size)
+            own = np.bincount(doc, (held[last] - held[last - block.size])[block.codes], len(size)) + inside[END]
+            for docs in block.chunks(np.arange(len(size))):
+                own[docs] += A.score(p, own_tables, *block.sequence(docs), block.end_slot) / np.log(10)
+            columns = [row["doc_id"], block.held, size + 1, known, np.full(len(size), n), base, own]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
+
+    return texts.mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

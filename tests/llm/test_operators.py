@@ -430,6 +430,40 @@ def test_lm_scores(spark, docs, texts, empty):
     assert {r.train_tokens for r in untrained} == {0} and all(math.isfinite(r.score) for r in untrained)
 
 
+def test_lm_keeps_every_pair(spark):
+    """More than 2^19 pairs of context and slot, most of them seen once: all are counted and all are remembered."""
+    path = lm_scoring.default_vocabulary()
+    ranks = lm_scoring._encoder(path)._mergeable_ranks
+    words = [(w[1:].decode(), r) for w, r in sorted(ranks.items(), key=lambda x: x[1]) if re.fullmatch(rb" [a-z]{3,}", w)][:900]
+    drawn = np.random.default_rng(5).integers(0, len(words), (1200, 600))
+    docs = spark.createDataFrame([(k, " ".join(words[i][0] for i in d), k % 6 == 0) for k, d in enumerate(drawn.tolist())], "doc_id long, text string, held boolean").repartition(3)
+    blocks = lm_scoring.materialize(lm_scoring.blocks_of(docs, path), "test")
+    ids = np.array([r for _, r in words])[drawn]
+    learnt = np.arange(len(ids)) % 6 != 0
+    counts = np.bincount(ids[learnt].reshape(-1), minlength=lm_scoring.IDS)
+    counts[lm_scoring.END] = learnt.sum()
+    slot, _ = attention.slots_of(counts, lm_scoring.END)
+    end = np.full((len(ids), 2), slot[lm_scoring.END])
+    wide = np.hstack([end, slot[ids], end[:, :1]])
+    pairs = ((wide[:, :-2] * attention.SLOTS + wide[:, 1:-1]) * attention.SLOTS + wide[:, 2:]).astype(np.int64)
+    keys, c = np.unique(pairs[learnt].reshape(-1), return_counts=True)
+    assert len(keys) > 1 << 19
+    whole = dict(zip(keys.tolist(), c.tolist(), strict=True))
+    context, at = np.unique(keys // attention.SLOTS, return_inverse=True)
+    seen, many = dict(zip(context.tolist(), np.bincount(at, c).tolist(), strict=True)), dict(zip(context.tolist(), np.bincount(at).tolist(), strict=True))
+    got = set()
+    for r in lm_scoring._with_counts(blocks, lm_scoring._word_counts(blocks), lm_scoring._gram_counts(blocks, slot, 3)).where("block >= 0").collect():
+        columns = [lm_scoring.unpack(r[x], np.int64).tolist() for x in lm_scoring.GRAMS]
+        for k, *told in zip(*columns, strict=True):
+            assert told == [whole.get(k, 0), seen.get(k // attention.SLOTS, 0), many.get(k // attention.SLOTS, 0)]
+        got.update(columns[0])
+    assert got == set(pairs.reshape(-1).tolist())
+    kind, none = np.zeros(attention.SLOTS, np.int64), np.ones(len(keys), np.float32)
+    tables = attention.Tables(kind, np.zeros((attention.SLOTS, attention.SLOTS)), keys, c.astype(np.float32), none * 1000, none)
+    told = tables.memory(keys // attention.SLOTS, np.zeros(len(keys), np.int64), keys % attention.SLOTS)
+    assert (told > c / 1003).all()
+
+
 def toy(seed=0, n=400):
     rng = np.random.default_rng(seed)
     counts = rng.integers(1, 50, 3000)
