@@ -244,8 +244,8 @@ def gradient(p: dict[str, np.ndarray], s: dict) -> dict[str, np.ndarray]:
         g[name] = flat.T @ d
         d_flat += d @ p[name].T
     g["place"] = d_x.sum(axis=0)
-    g["embed"] = np.zeros((SLOTS, WIDTH), np.float32)
-    np.add.at(g["embed"], s["before"].reshape(-1), d_flat)
+    cell = s["before"].reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+    g["embed"] = np.bincount(cell.reshape(-1), d_flat.reshape(-1), SLOTS * WIDTH).reshape(SLOTS, WIDTH).astype(np.float32)
     return g
 
 

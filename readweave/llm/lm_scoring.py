@@ -4,8 +4,8 @@ Words are cut into subwords by a public byte-level vocabulary, one word at a tim
 stand for its words in a row and nothing else. Texts are cut up once, into blocks whose distinct words and
 subwords are stored; everything after that reads the blocks. Counts of words and of subwords in
 their context cover all training texts: blocks hand over one entry for each distinct one, packed by
-bucket, buckets add them up, and each block gets back the counts of its own. The attention layer is trained by local steps of every task over its own
-training texts, averaged after each round.
+bucket, buckets add them up, and each block gets back the counts of its own. The attention layer is trained by local steps of every task over all of
+its own training texts, each text in one of the rounds, averaged after each round.
 """
 
 from __future__ import annotations
@@ -27,10 +27,8 @@ from readweave.llm import text as T
 from readweave.session import materialize, shuffle_partitions
 
 BLOCK_TEXT = 6 << 20
+#: Each training text is trained on in one of so many rounds.
 ROUNDS = 2
-#: Each round trains on every EVERY-th text of a block, more of them only while there are too few for LEAST_WINDOWS.
-EVERY = 32
-LEAST_WINDOWS = 40_000
 END = 50256
 IDS = 50257
 #: Blocks that add a bucket of pairs each time, so that a bucket's size stays bounded.
@@ -102,7 +100,7 @@ def unpack(held: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).reshape(-1)
 
 
-BLOCK = "block long, doc_id array<long>, held binary, first binary, codes binary, words binary, sizes binary, train binary, subs binary, sub_sizes binary, sub_counts binary, train_tokens long, windows long"
+BLOCK = "block long, doc_id array<long>, held binary, first binary, codes binary, words binary, sizes binary, train binary, subs binary, sub_sizes binary, sub_counts binary, train_tokens long"
 
 
 def blocks_of(docs: DataFrame, path: str) -> DataFrame:
@@ -125,15 +123,14 @@ def blocks_of(docs: DataFrame, path: str) -> DataFrame:
             flat_subs = np.frombuffer(b"".join(subs), np.uint16)
             counts = np.bincount(flat_subs, np.repeat(train, size), IDS).astype(np.int64)
             counts[END] += int((~held).sum())
-            total = np.bincount(np.repeat(np.arange(len(held)), np.diff(first)), size[codes], len(held)) + 1
             row = {
                 "block": base + k, "doc_id": part.column("doc_id").to_pylist(), "held": pack(held.astype(np.uint8)), "first": pack(first.astype(np.int32)), "codes": pack(codes),
                 "words": pack(kept), "sizes": pack(np.diff(at).astype(np.int32)), "train": pack(train), "subs": pack(flat_subs), "sub_sizes": pack(size.astype(np.int32)), "sub_counts": pack(counts.astype(np.int32)),
-                "train_tokens": int(train.sum() + (~held).sum()), "windows": int((-(-total[~held] // A.STEP)).sum()),
+                "train_tokens": int(train.sum() + (~held).sum()),
             }
             yield pa.RecordBatch.from_pylist([row], schema=_schema)
 
-    _schema = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64()))] + [(c, pa.binary()) for c in ("held", "first", "codes", "words", "sizes", "train", "subs", "sub_sizes", "sub_counts")] + [("train_tokens", pa.int64()), ("windows", pa.int64())])
+    _schema = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64()))] + [(c, pa.binary()) for c in ("held", "first", "codes", "words", "sizes", "train", "subs", "sub_sizes", "sub_counts")] + [("train_tokens", pa.int64())])
     return docs.mapInArrow(run, BLOCK)
 
 
@@ -298,7 +295,14 @@ def _recalled(row: dict, tables: A.Tables) -> A.Tables:
     return tables.holding(*(unpack(row[x], np.int64) for x in GRAMS))
 
 
-def _trained(blocks: DataFrame, token: str, sent, every: int) -> dict[str, np.ndarray]:
+def _learnt(held: np.ndarray, block: int, turn: int) -> np.ndarray:
+    """The training texts of a block that a round trains on: all of them, each in one of the rounds."""
+    docs = np.flatnonzero(~held)
+    return docs[(docs + block) % ROUNDS == turn]
+
+
+def _trained(blocks: DataFrame, token: str, sent) -> dict[str, np.ndarray]:
+    """Parameters after one pass over all training texts, averaged after each of its rounds."""
     p = A.initial()
     shapes = {k: v.shape for k, v in p.items()}
 
@@ -325,9 +329,7 @@ def _trained(blocks: DataFrame, token: str, sent, every: int) -> dict[str, np.nd
             own, steps = full(now), 0
             for row in _rows(batches):
                 block, own_tables = Block(row, slot), _recalled(row, tables)
-                docs = np.flatnonzero(~block.held)
-                docs = docs[(docs + turn + row["block"]) % every == 0]
-                for some in block.chunks(docs):
+                for some in block.chunks(_learnt(block.held, row["block"], turn)):
                     own, n = A.train(own, own_tables, *block.sequence(some), turn, block.end_slot)
                     steps += n
             if steps:
@@ -407,16 +409,16 @@ def score(docs: DataFrame, held_out: Column, path: str | None = None) -> DataFra
     slot, kind = A.slots_of(counts, END)
     inside = np.log10((counts + 1) / np.bincount(slot, counts + 1.0, A.SLOTS)[slot])
 
-    sums = blocks.agg(F.sum("train_tokens"), F.sum("windows"), F.count("block")).first()
-    n, windows = sums[0] or 0, sums[1] or 0
-    counted = materialize(_with_counts(blocks, _word_counts(blocks), _gram_counts(blocks, slot, sums[2])), "lm-counted")
+    sums = blocks.agg(F.sum("train_tokens"), F.count("block")).first()
+    n = sums[0] or 0
+    counted = materialize(_with_counts(blocks, _word_counts(blocks), _gram_counts(blocks, slot, sums[1])), "lm-counted")
     bigrams = np.zeros(A.SLOTS**2, np.int64)
     for r in counted.where("block = -1").select("keys", "counts").collect():  # one row of SLOTS^2 entries at most
         bigrams[unpack(r["keys"], np.int64) - _BIGRAM] = unpack(r["counts"], np.int64)
     texts = counted.where("block >= 0")
     sent = spark.sparkContext.broadcast((slot, kind, bigrams.reshape(A.SLOTS, A.SLOTS)))
     token = uuid.uuid4().hex
-    p = _trained(texts, token, sent, int(np.clip(windows // LEAST_WINDOWS, 1, EVERY)))
+    p = _trained(texts, token, sent)
 
     ends = int(counts[END])
     v = int(texts.agg(F.sum("known")).first()[0] or 0) + (ends > 0)

@@ -464,6 +464,14 @@ def test_lm_keeps_every_pair(spark):
     assert (told > c / 1003).all()
 
 
+def test_lm_trains_on_every_text():
+    """Whatever the size, each text that is not held out is trained on once, over the rounds."""
+    for n in (1, 7, 200_000):
+        held = np.arange(n) % 7 == 2
+        rounds = [lm_scoring._learnt(held, 5, turn) for turn in range(lm_scoring.ROUNDS)]
+        assert sorted(np.concatenate(rounds).tolist()) == np.flatnonzero(~held).tolist()
+
+
 def toy(seed=0, n=400):
     rng = np.random.default_rng(seed)
     counts = rng.integers(1, 50, 3000)
