@@ -26,6 +26,10 @@ from readweave.session import materialize, shuffle_partitions
 SHINGLE_WORDS = 3
 DISTANCE = 3
 SEED = 42
+#: Shingle length and least Jaccard similarity of the pipeline's stage, and cells that tell frequent shingles.
+STAGE_WORDS = 5
+SIMILAR = 0.8
+CELLS = 1 << 20
 #: Pairs that are expanded at once, and the size of two runs' product beyond which masks are enumerated.
 CHUNK_PAIRS = 1 << 21
 
@@ -207,3 +211,202 @@ def keep_one(docs: DataFrame) -> DataFrame:
     winners = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(winners, "doc_id", "left_semi").select(docs.columns)
     return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+
+
+def shingle_sets(column: pa.Array, words: int = STAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes (uint64, ascending) of all texts in a row, and where each text's begin."""
+    data, offsets = T.buffers(column)
+    starts, ends, first = T.word_spans(data, offsets)
+    flat, starts, ends = T.joined(T.LOWER[data], starts, ends)
+    begin, last, at = T.shingle_spans(first, words)
+    hashes = T.xxh64(flat, starts[begin], ends[last], SEED) if len(begin) else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[new], np.searchsorted(owner[new], np.arange(len(at)))
+
+
+def _least_shared(n: np.ndarray) -> np.ndarray:
+    """Of n shingles, how many a set of similarity SIMILAR or more has at least."""
+    return np.ceil(n * SIMILAR - 1e-9).astype(np.int64)
+
+
+def _frequent_cells(docs: DataFrame) -> np.ndarray:
+    """Counts of hash cells that hold more shingles than most; they only say which shingles to look at last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for part in T.blocks(batches):
+            total += np.bincount((shingle_sets(part.column("text"))[0] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        some = np.flatnonzero(total > 2 * total.mean() + 4)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
+
+    out = np.zeros(CELLS, np.int64)
+    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    for batch in found.toArrow().to_batches():  # CELLS rows at most
+        out[batch.column("cell").to_numpy()] = batch.column("n").to_numpy()
+    return out
+
+
+def _names(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set: the sum of its mixed hashes, mixed with its size."""
+    with np.errstate(over="ignore"):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(T.mix(hashes ^ T.P1), dtype=np.uint64)])
+        return T.mix(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(np.uint64) * T.P3)
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(k, doc_id, set_id): the name of each row's shingle set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in T.blocks(batches):
+            names = _names(*shingle_sets(part.column("text")))
+            yield pa.RecordBatch.from_arrays([part.column("k"), part.column("doc_id"), pa.array(names.view(np.int64))], ["k", "doc_id", "set_id"])
+
+    return docs.select("k", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "k long, doc_id long, set_id long")
+
+
+def _buckets(docs: DataFrame) -> DataFrame:
+    """(members, sizes): sets that share a shingle of their prefixes, by size; equal lists of a task once.
+
+    Two sets of similarity SIMILAR or more share a shingle of their prefixes in any common order of shingles.
+    Shingles travel packed: those of a block that fall to one part, and by each the set it belongs to.
+    """
+    n_parts = shuffle_partitions(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(_frequent_cells(docs))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, seen = sent.value, set()
+        for part in T.blocks(batches):
+            hashes, at = shingle_sets(part.column("text"))
+            n, names = np.diff(at), _names(hashes, at)
+            fresh = np.zeros(len(n), dtype=bool)
+            for k, name in enumerate(names.tolist()):
+                fresh[k] = name not in seen
+                seen.add(name)
+            owner = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((hashes, cells[(hashes % np.uint64(CELLS)).astype(np.int64)], owner))
+            size = np.where((n > 0) & fresh, n - _least_shared(n) + 1, 0)
+            ok = np.arange(len(hashes)) - at[owner] < size[owner]
+            s, own = hashes[order][ok], owner[ok].astype(np.int32)
+            to = (T.mix(s) % np.uint64(n_parts)).astype(np.int64)
+            order = np.lexsort((own, to))
+            s, own, edge = s[order], own[order], np.searchsorted(to[order], np.arange(n_parts + 1))
+            rows = []
+            for p in np.flatnonzero(np.diff(edge)):
+                mine = own[edge[p] : edge[p + 1]]
+                sets, place = np.unique(mine, return_inverse=True)
+                rows.append({"part": int(p), "s": s[edge[p] : edge[p + 1]].tobytes(), "place": place.astype(np.uint16 if len(sets) <= 1 << 16 else np.uint32).tobytes(), "sets": names[sets].tobytes(), "n": n[sets].astype(np.int64).tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("part", pa.int64()), *((c, pa.binary()) for c in ("s", "place", "sets", "n"))]))
+
+    def run(held: pa.Table) -> pa.Table:
+        columns = [[], [], []]
+        for r in held.to_pylist():
+            s = np.frombuffer(r["s"], np.uint64)
+            place = np.frombuffer(r["place"], np.uint16 if len(r["place"]) == 2 * len(s) else np.uint32)
+            for x, v in zip(columns, (s, np.frombuffer(r["sets"], np.int64)[place], np.frombuffer(r["n"], np.int64)[place]), strict=True):
+                x.append(v)
+        s, own, size = (np.concatenate(x) for x in columns)
+        order = np.lexsort((own, size, s))
+        s, own, size = s[order], own[order], size[order]
+        once = np.concatenate([[True], (s[1:] != s[:-1]) | (own[1:] != own[:-1])])
+        s, own, size = s[once], own[once], size[once]
+        heads = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        tails = np.concatenate([heads[1:], [len(s)]])
+        crowd = tails - heads > 1
+        found = {own[a:b].tobytes(): (a, b) for a, b in zip(heads[crowd], tails[crowd], strict=True)}.values()
+        lists = [pa.array([x[a:b] for a, b in found], pa.list_(pa.int64())) for x in (own, size)]
+        return pa.table(lists, ["members", "sizes"])
+
+    packed = docs.select(F.col("text").cast("string")).mapInArrow(prefixes, "part long, s binary, place binary, sets binary, n binary")
+    return packed.groupBy("part").applyInArrow(run, "members array<long>, sizes array<long>")
+
+
+def _stars(buckets: DataFrame) -> DataFrame:
+    """(a, b): the set of middle size of each bucket with all others that its size allows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+            for members, sizes in zip(batch.column("members"), batch.column("sizes"), strict=True):
+                m, n = np.asarray(members.values), np.asarray(sizes.values)
+                mid = len(m) // 2
+                ok = (np.minimum(n, n[mid]) >= _least_shared(np.maximum(n, n[mid]))) & (m != m[mid])
+                out[0].append(np.minimum(m[ok], m[mid]))
+                out[1].append(np.maximum(m[ok], m[mid]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["a", "b"])
+
+    return buckets.mapInArrow(run, "a long, b long").distinct()
+
+
+def _across(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b): all pairs of a bucket that its sizes allow and that do not hang together yet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.column("held"):
+                part = row.values
+                m, n, c = (np.asarray(part.field(k)) for k in ("m", "n", "c"))
+                order = np.argsort(n, kind="stable")
+                m, n, c = m[order], n[order], c[order]
+                last = np.searchsorted(_least_shared(n), n, "right")  # sizes that n is enough for
+                for i in range(len(m)):
+                    other = m[i + 1 : last[i]][c[i + 1 : last[i]] != c[i]]
+                    if len(other):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, m[i])), pa.array(np.maximum(other, m[i]))], ["a", "b"])
+
+    each = buckets.select("bucket", F.explode(F.arrays_zip("members", "sizes")).alias("x")).select("bucket", F.col("x.members").alias("m"), F.col("x.sizes").alias("n"))
+    named = each.join(found, each.m == found.node, "left").select("bucket", F.struct("m", "n", F.coalesce("component", "m").alias("c")).alias("x"))
+    mixed = named.groupBy("bucket").agg(F.collect_list("x").alias("held"), F.min("x.c").alias("low"), F.max("x.c").alias("high")).where("low <> high")
+    return mixed.select("held").mapInArrow(run, "a long, b long").distinct()
+
+
+def _similar(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(src, dst): the pairs whose shingle sets have a Jaccard similarity of SIMILAR or more, computed exactly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.zeros(batch.num_rows, dtype=bool)
+            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = np.sort(np.concatenate([x, y]))
+                shared = int((both[1:] == both[:-1]).sum())
+                ok[k] = shared >= SIMILAR * (len(both) - shared) - 1e-9
+            yield batch.filter(pa.array(ok)).select(["src", "dst"])
+
+    one, two = (shingles.select(F.col("set_id").alias(k), F.col("hashes").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    return pairs.join(one, "a").join(two, "b").select(F.col("a").alias("src"), F.col("b").alias("dst"), "x", "y").mapInArrow(run, "src long, dst long")
+
+
+def keep_one_similar(docs: DataFrame) -> DataFrame:
+    """docs with one row of each group of texts that five-word shingle similarity of 0.8 or more links.
+
+    Groups are the components of all pairs of Jaccard similarity 0.8 or more; at that similarity fingerprints
+    differ in ten bits on average and some in twenty, too many to filter by, so candidates come from
+    shingles: texts share one of the rarest fifth of theirs, or are not similar enough. Nothing is capped. Equal
+    sets are one from the start; a crowded bucket is linked to one of its sets first, and only sets that do not
+    hang together then are compared in pairs. The row with the least (doc_id, text) stays, rows without an id
+    behind all others; texts without words are one group.
+    """
+    keyed = docs.withColumn("k", F.xxhash64("doc_id", "text"))
+    sets = materialize(_sets(keyed), "shingle-sets")
+    buckets = materialize(_buckets(keyed).withColumn("bucket", F.monotonically_increasing_id()), "shingle-buckets")
+    needed = buckets.select(F.explode("members").alias("set_id")).distinct()
+    owners = sets.join(needed, "set_id", "left_semi").groupBy("set_id").agg(F.min("k").alias("k"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in T.blocks(batches):
+            hashes, at = shingle_sets(part.column("text"))
+            held = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(held, pa.binary())], ["set_id", "hashes"])
+
+    texts = keyed.select("k", F.col("text").cast("string")).join(owners, "k").select("set_id", "text")
+    shingles = materialize(texts.mapInArrow(hashed, "set_id long, hashes binary").dropDuplicates(["set_id"]), "shingles")
+    links = materialize(_similar(_stars(buckets), shingles), "shingle-links")
+    more = _similar(_across(buckets, connected_components(links)), shingles)
+    found = connected_components(links.unionAll(more))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k"))
+    named = sets.select("k", "doc_id", "set_id").join(found, sets.set_id == found.node, "left").groupBy(F.coalesce("component", "set_id").alias("c")).agg(first.alias("w"))
+    return keyed.join(named.select(F.col("w.k").alias("k")), "k", "left_semi").dropDuplicates(["k"]).select(docs.columns)

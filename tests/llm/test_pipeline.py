@@ -56,6 +56,36 @@ def test_stages(spark, sf_dir):
     assert what(run.collect()) == what(pieces)
 
 
+def test_one_of_each_similar_group_stays(spark):
+    """Against brute force over five-word shingles: texts far more than 3 bits apart, chains, copies, repeated and missing ids."""
+    rng = random.Random(4)
+    base = [[rng.choice(WORDS.split()) + str(rng.randrange(99)) for _ in range(rng.randrange(40, 300))] for _ in range(15)]
+    texts = [" ".join(w) for w in base]
+    for w in base:
+        for _ in range(6):
+            v, cut = list(w), rng.randrange(1, len(w) // 12)
+            at = rng.randrange(len(v) - cut)
+            v[at : at + cut] = [f"new{rng.randrange(10**6)}" for _ in range(cut)]
+            texts.append(" ".join(v if rng.random() < 0.7 else v[cut:]))
+    texts += [texts[0], texts[20].upper(), "a b", "a b", "", None, "a b c d e"]
+    rows = [(None if k % 17 == 5 else k - k % 2 if k % 23 == 9 else k, t) for k, t in enumerate(rng.sample(texts, len(texts)))]
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append(frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset())
+    label = list(range(len(rows)))
+    similar = [[i == j or sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 for j in range(len(rows))] for i in range(len(rows))]
+    while (new := [min(label[j] for j in range(len(rows)) if similar[i][j]) for i in range(len(rows))]) != label:
+        label = new
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = corpus_pipeline.dedup_stage(spark, docs, "").collect()
+    at = [next(i for i, r in enumerate(rows) if r == (k.doc_id, k.text)) for k in kept]
+    assert sorted(label[i] for i in at) == sorted(set(label)) and len(set(label)) < len(rows) // 2
+    for i in at:
+        ids = [rows[j][0] for j in range(len(rows)) if label[j] == label[i] and rows[j][0] is not None]
+        assert rows[i][0] == min(ids, default=None)
+
+
 def test_queries_of_the_subpackage(spark):
     """Every registered query runs on the smallest tables and gives a row for each document it should."""
     from readweave.llm import queries
