@@ -1,149 +1,83 @@
-"""A small causal self-attention language model in numpy, with count tables beside it.
-
-The vocabulary's SLOTS most frequent subwords have a slot each, all others share the last one. A slot belongs
-to one of CLASSES classes. One attention layer reads a window of subwords. Its output tilts the class
-distribution that bigram counts give; inside a class the bigram counts decide; a gate, also from the
-attention's output, mixes that with a memory of longer counts. All three are proper distributions, so
-the mixture is one. The layer and the bigrams have sizes fixed by the parameters; the memory has every pair of
-the corpus, of which a block of texts is handed those that it needs.
+"""A causal self-attention language model over subwords, in numpy, with its gradient.
+
+The most frequent subwords have a slot each; the others share one of two slots, one for subwords that open
+a word and one for those inside. Slots lie in GROUPS groups of GROUP, and a group holds one of the two kinds
+only, so that the chance that a word ends is a sum over groups. One layer of masked attention reads a window.
+Its output gives the distribution over groups and over the slots inside each group, as a tilt
+of biases that start, and stay, at smoothed bigram counts. The same embeddings are keys and values: the layer is
+linear beyond its weights, so a value matrix would only multiply with the output's; what the present
+subword itself says is in the biases already, and the one before it has an embedding of its own beside the layer.
 """
 
 from __future__ import annotations
 
-from copy import copy
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
-SLOTS = 1024
-CLASSES = 64
-ALONE = 48
+GROUPS = 16
+GROUP = 64
+SLOTS = GROUPS * GROUP
+#: Subwords with a slot of their own: with both kinds' shared slot and part-filled groups they fit in GROUPS.
+KEPT = SLOTS - 2 * GROUP
 WIDTH = 16
 #: A window holds so many subwords; the first of them are context only, so each is scored in one window.
-WINDOW = 32
+WINDOW = 40
 CONTEXT = 8
 STEP = WINDOW - CONTEXT
-#: Subwords of the present word that make up a context at most, and the weight of distinct followers.
-PREFIX = 12
-DISTINCT = 2
-BATCH = 128
+#: Windows of a training step, and of a step of scoring.
+BATCH = 256
+SCORED = 512
+RATE = 0.02
+NONE = -30.0
 
-PARAMETERS = ("embed", "place", "query", "key", "value", "out", "gate", "bias")
+PARAMETERS = ("embed", "near", "far", "look", "kind", "out")
 
 
 def initial(seed: int = 11) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    shapes = {"embed": (SLOTS, WIDTH), "place": (WINDOW, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH), "value": (WIDTH, WIDTH), "out": (CLASSES, WIDTH), "gate": (WIDTH,), "bias": (1,)}
-    scale = {"embed": 0.5, "place": 0.1, "out": 0.05, "gate": 0.0, "bias": 0.0}
+    shapes = {"embed": (SLOTS, WIDTH), "near": (SLOTS, WIDTH), "far": (WINDOW,), "look": (WIDTH, WIDTH), "kind": (GROUPS, WIDTH), "out": (SLOTS, WIDTH)}
+    scale = {"embed": 0.5, "near": 0.1, "far": 0.0, "look": 0.1, "kind": 0.02, "out": 0.02}
     return {k: (rng.normal(size=s) * scale.get(k, WIDTH**-0.5)).astype(np.float32) for k, s in shapes.items()}
 
 
-def slots_of(counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot of every subword id (the end id has one of its own) and the class of every slot."""
+def slots_of(counts: np.ndarray, opening: np.ndarray, end: int) -> tuple[np.ndarray, int]:
+    """Slot of every subword id, and how many groups are of ids that open a word (the end id among them)."""
+    opening = opening.copy()
+    opening[end] = True
     order = np.lexsort((np.arange(len(counts)), -counts))
     order = np.concatenate([[end], order[order != end]])
-    slot = np.full(len(counts), SLOTS - 1, np.int64)
-    slot[order[: SLOTS - 1]] = np.arange(min(SLOTS - 1, len(order)))
-    mass = np.bincount(slot, counts + 1.0, SLOTS)
-    kind = np.arange(SLOTS)
-    after = np.cumsum(mass[ALONE:])
-    kind[ALONE:] = ALONE + np.minimum((after / after[-1] * (CLASSES - ALONE)).astype(np.int64), CLASSES - ALONE - 1)
-    return slot, kind
+    kept = order[:KEPT]
+    slot = np.zeros(len(counts), np.int64)
+    first = kept[opening[kept]]
+    openers = -(-(len(first) + 1) // GROUP)
+    for own, begin, kind in ((first, 0, opening), (kept[~opening[kept]], openers * GROUP, ~opening)):
+        slot[kind] = begin + len(own)  # the shared one
+        slot[own] = begin + np.arange(len(own))
+    return slot, openers
 
 
 @dataclass
 class Tables:
-    """What counts of the training tokens give: bigrams of slots, and a memory of (context, slot) pairs.
+    """Biases of the model from counts of the training texts: the slots' bigrams, smoothed by single counts."""
 
-    A context is a number that stands for what comes before: inside a word its subwords so far, else the last
-    two. A pair's key is context * SLOTS + slot. The memory backs off to the bigrams with the weight of
-    DISTINCT times the number of different slots that followed the context.
-    """
-
-    kind: np.ndarray
     bigrams: np.ndarray  # SLOTS x SLOTS counts of (before, next)
-    keys: np.ndarray  # pairs
-    counts: np.ndarray
-    seen: np.ndarray  # of each pair's context: how often it occurred
-    followers: np.ndarray  # and how many slots followed it
+    used: np.ndarray  # which slots stand for any id
+    openers: int
 
     def __post_init__(self) -> None:
         pair = self.bigrams.astype(np.float64)
-        single = (pair.sum(axis=0) + 1) / (pair.sum() + SLOTS)
+        single = (pair.sum(axis=0) + 1) * self.used
+        single /= single.sum()
         new = np.maximum((pair > 0).sum(axis=1, keepdims=True), 1)
         chance = (pair + new * single) / (pair.sum(axis=1, keepdims=True) + new)
-        by_class = np.zeros((SLOTS, CLASSES))
-        np.add.at(by_class.T, self.kind, chance.T)
-        self.chance = chance.astype(np.float32)
-        self.class_log = np.log(np.maximum(by_class, 1e-30)).astype(np.float32)
-        self.inside = (chance / by_class[:, self.kind]).astype(np.float32)
-        self._remember(self.keys, self.counts, self.seen, self.followers)
-
-    def _remember(self, keys: np.ndarray, counts: np.ndarray, seen: np.ndarray, followers: np.ndarray) -> None:
-        if not len(keys):
-            keys, counts, seen, followers = np.full(1, -1, np.int64), *(np.zeros(1, np.float32) for _ in range(3))
-        if (keys[1:] < keys[:-1]).any():
-            order = np.argsort(keys)
-            keys, counts, seen, followers = keys[order], counts[order], seen[order], followers[order]
-        self.keys, self.counts, self.seen, self.followers = keys, counts.astype(np.float32), seen.astype(np.float32), followers.astype(np.float32)
-        self.known = np.where(self.seen > 0, keys // SLOTS, -1)
-
-    def holding(self, keys: np.ndarray, counts: np.ndarray, seen: np.ndarray, followers: np.ndarray) -> Tables:
-        """The same bigrams with another memory: the whole corpus's counts of the pairs that some texts need."""
-        other = copy(self)
-        other._remember(keys, counts, seen, followers)
-        return other
-
-    def memory(self, context: np.ndarray, before: np.ndarray, target: np.ndarray, left_out: bool = False) -> np.ndarray:
-        """Chance of the targets by the memory; left_out: as if each training token itself had not been counted."""
-        plain = self.chance[before, target]
-        keys = context * SLOTS + target
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        held = self.keys[at] == keys
-        # a context's pairs lie side by side, so one of the two around a pair's place tells about its context
-        near = at - ((self.known[at] != context) & (at > 0))
-        known = self.known[near] == context
-        count, back = self.counts[at] * held, DISTINCT * self.followers[near]
-        total = self.seen[near] + back
-        if left_out:
-            once = count <= 1
-            total = np.maximum(total - 1 - DISTINCT * once, DISTINCT)
-            back = np.maximum(back - DISTINCT * once, DISTINCT)
-            count = np.maximum(count - 1, 0)
-        # a context that was not seen counts as none: the bigrams alone
-        return plain + known * ((count + back * plain) / (total + ~known) - plain)
-
-
-def prefix_contexts(subs: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """For subwords of distinct words in a row: the context of each that is not a word's first (there 0).
-
-    It is a hash of the word's subwords before it, PREFIX at most; deeper ones share their word's last prefix.
-    """
-    out = np.zeros(len(subs), np.int64)
-    begin = np.cumsum(size) - size
-    m, h = np.uint64(0x9E3779B97F4A7C15), np.zeros(len(size), np.uint64)
-    longer = np.flatnonzero(size > 1)
-    values = subs.astype(np.uint64) + np.uint64(1)
-    with np.errstate(over="ignore"):
-        for k in range(1, int(size.max(initial=0))):
-            longer = longer[size[longer] > k]
-            if not len(longer):
-                break
-            if k <= PREFIX:
-                h[longer] = (h[longer] + values[begin[longer] + k - 1]) * m
-            out[begin[longer] + k] = ((h[longer] ^ np.uint64(min(k, PREFIX))) >> np.uint64(12)).astype(np.int64) | (1 << 24)
-    return out
-
-
-def start_contexts(slots: np.ndarray, first: np.ndarray, starts: np.ndarray, end_slot: int) -> np.ndarray:
-    """The contexts of positions that begin a word, from the two slots before them in their text."""
-    before = np.full(len(slots) + 2, end_slot, np.int32)
-    before[2:] = slots
-    at = first[:-1]
-    one, two = before[starts + 1], before[starts]
-    # a text's first position begins a word, and the text before ends with the end
-    two[np.searchsorted(starts, at)] = end_slot
-    return two.astype(np.int64) * SLOTS + one
+        by_group = chance.reshape(SLOTS, GROUPS, GROUP).sum(axis=2)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.group = np.maximum(np.log(by_group), NONE).astype(np.float32)
+            inside = np.log(chance.reshape(SLOTS, GROUPS, GROUP) / by_group[:, :, None])
+        #: by group, the slot before and the slot in the group
+        self.inside = np.ascontiguousarray(np.nan_to_num(np.maximum(inside, NONE), nan=NONE).astype(np.float32).transpose(1, 0, 2))
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,146 +87,178 @@ def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return doc, (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * STEP - CONTEXT
 
 
-_ONES = np.ones(max(WINDOW, CLASSES), np.float32)  # sums by matrix product are the fastest
-#: What the query of each position from CONTEXT on may look at.
-_CAUSAL = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)[CONTEXT:]
-
+_SPAN = np.arange(WINDOW)
+_ONES = np.ones(max(WINDOW, GROUP, GROUPS), np.float32)  # sums by matrix product are the fastest
+#: How far each position lies before the query's, for queries from CONTEXT on; none look ahead.
+_BACK = np.maximum(_SPAN[CONTEXT:, None] - _SPAN, 0)
+_AHEAD = np.where(_SPAN[CONTEXT:, None] < _SPAN, -1e9, 0).astype(np.float32)
 
-def _weights(values: np.ndarray, most: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials in place, of values cut at most, and their sums over the last axis."""
-    if most is not None:
-        np.minimum(values, most, out=values)
-    with np.errstate(over="ignore"):
-        np.exp(values, out=values)
-    return values, values.reshape(-1, values.shape[-1]) @ _ONES[: values.shape[-1]]
 
+def _raised(values: np.ndarray, most: float = 100.0) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials in place and their sums over the last axis; most: what the values are at most.
 
-def _bounded(make) -> tuple[np.ndarray, np.ndarray]:
-    """make(None), or make with its values cut where an exponential left the range of floats."""
-    weights, total = make(None)
-    return (weights, total) if np.isfinite(total).all() else make(40.0)
+    Values beyond what a float can hold are cut.
+    """
+    if most > 60:
+        np.minimum(values, 60, out=values)
+    np.exp(values, out=values)
+    return values, values.reshape(-1, values.shape[-1]) @ _ONES[: values.shape[-1]].astype(values.dtype, copy=False)
 
 
-def forward(p: dict[str, np.ndarray], tables: Tables, before, target, real, memory) -> tuple[np.ndarray, dict]:
-    """Log-probability (natural) of each target of a batch of windows, and what the gradient needs.
+def forward(p: dict[str, np.ndarray], tables: Tables, before: np.ndarray, target: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Log-probability (natural) of each target of a batch of windows, that of any word's opening, and what the gradient needs.
 
-    before and real (n x WINDOW): the inputs, and which of them are inside the text. target and memory
-    (n x STEP): what comes next and its chance by Tables.memory, from position CONTEXT on. The layer is the
-    only one, so the positions before are keys and values but ask nothing.
+    before (n x WINDOW): the inputs; opening (n): how many of the window's first positions lie before the text.
+    target (n x STEP): what comes next from position CONTEXT on. The layer is the only one, so the positions
+    before CONTEXT are keys and values but ask nothing.
     """
-    x = np.take(p["embed"], before, axis=0)
-    x += p["place"]
+    longest = {k: float(np.sqrt((p[k] ** 2).sum(axis=1).max())) for k in ("embed", "near", "kind", "out")}
+    asking = p["embed"] @ p["look"]
+    x, q = np.take(p["embed"], before, axis=0), np.take(asking, before[:, CONTEXT:], axis=0)
     n = len(x)
-    flat, asked = x.reshape(-1, WIDTH), np.ascontiguousarray(x[:, CONTEXT:])
-    q = (asked.reshape(-1, WIDTH) @ (p["query"] * np.float32(WIDTH**-0.5))).reshape(n, STEP, WIDTH)
-    k, v = ((flat @ p[w]).reshape(n, WINDOW, WIDTH) for w in ("key", "value"))
-    turned = np.ascontiguousarray(k.transpose(0, 2, 1))
-
-    def looked(most: float | None) -> tuple[np.ndarray, np.ndarray]:
-        score = q @ turned
-        score += _CAUSAL
-        if not real[:, :CONTEXT].all():
-            opening = np.flatnonzero(~real[:, :CONTEXT].all(axis=1))
-            score[opening, :, :CONTEXT] += np.where(real[opening, :CONTEXT], 0, -1e9).astype(np.float32)[:, None, :]
-        return _weights(score, most)
-
-    score, total = _bounded(looked)
-    total = total.reshape(n, STEP, 1)
-    h = score @ v
-    h /= total
-    h += asked
-    h = h.reshape(-1, WIDTH)
+    a = q @ np.ascontiguousarray(x.transpose(0, 2, 1))
+    a += np.take(p["far"], _BACK) + _AHEAD
+    some = np.flatnonzero(opening)
+    if len(some):
+        a[some] += np.where(_SPAN < opening[some, None], -1e9, 0).astype(np.float32)[:, None, :]
+    a, total = _raised(a, longest["embed"] * float(np.sqrt((asking**2).sum(axis=1).max())) + float(p["far"].max()))
+    a /= total.reshape(n, STEP, 1)
+    seen = (a @ x).reshape(-1, WIDTH)  # a mean of embeddings, so no longer than the longest
+    h = seen + np.take(p["near"], before[:, CONTEXT - 1 : -1], axis=0).reshape(-1, WIDTH)
+    longest["h"] = longest["embed"] + longest["near"]
     b, t = before[:, CONTEXT:].reshape(-1), target.reshape(-1)
-    out = np.ascontiguousarray(p["out"].T)
-
-    def told(most: float | None) -> tuple[np.ndarray, np.ndarray]:
-        logits = np.take(tables.class_log, b, axis=0)
-        logits += h @ out
-        return _weights(logits, most)
-
-    logits, norm = _bounded(told)
-    kinds = tables.kind[t]
-    attended = logits[np.arange(len(t)), kinds] / norm * tables.inside[b, t]
-    gate = 1 / (1 + np.exp(-(h @ p["gate"] + p["bias"][0])))
-    chance = gate * attended + (1 - gate) * memory.reshape(-1)
-    held = {"x": x, "q": q, "k": k, "v": v, "a": score, "total": total, "h": h, "p": logits, "norm": norm, "kinds": kinds, "gate": gate, "attended": attended, "chance": chance, "real": real[:, CONTEXT:].reshape(-1), "before": before}
-    return np.log(chance), held
-
-
-def gradient(p: dict[str, np.ndarray], s: dict) -> dict[str, np.ndarray]:
-    """Gradient of the mean negative log-probability over real positions."""
-    weight = (s["real"] / max(1, s["real"].sum())).astype(np.float32)
-    n, scale = len(s["x"]), np.float32(WIDTH**-0.5)
-    part = s["gate"] * s["attended"] / s["chance"]
-    share = (part * weight).astype(np.float32)
-    d_logits = s["p"] * (share / s["norm"])[:, None]
-    d_logits[np.arange(len(share)), s["kinds"]] -= share
-    d_gate = ((s["gate"] - part) * weight).astype(np.float32)
-    g = {"out": d_logits.T @ s["h"], "gate": d_gate @ s["h"], "bias": d_gate.sum(keepdims=True)}
-    d_h = (d_logits @ p["out"] + d_gate[:, None] * p["gate"]).reshape(n, STEP, WIDTH)
-    a = s["a"] / s["total"]
-    d_a = d_h @ s["v"].transpose(0, 2, 1)
-    d_v = a.transpose(0, 2, 1) @ d_h
-    d_s = a * (d_a - (d_a * a).sum(axis=2, keepdims=True))
-    d_q, d_k = d_s @ s["k"] * scale, d_s.transpose(0, 2, 1) @ s["q"]
-    d_x = np.zeros((n, WINDOW, WIDTH), np.float32)
-    d_x[:, CONTEXT:] = d_h + (d_q.reshape(-1, WIDTH) @ p["query"].T).reshape(n, STEP, WIDTH)
-    g["query"] = s["x"][:, CONTEXT:].reshape(-1, WIDTH).T @ d_q.reshape(-1, WIDTH)
-    flat, d_flat = s["x"].reshape(-1, WIDTH), d_x.reshape(-1, WIDTH)
-    for name, d in (("key", d_k), ("value", d_v)):
-        d = d.reshape(-1, WIDTH)
-        g[name] = flat.T @ d
-        d_flat += d @ p[name].T
-    g["place"] = d_x.sum(axis=0)
-    cell = s["before"].reshape(-1, 1) * WIDTH + np.arange(WIDTH)
-    g["embed"] = np.bincount(cell.reshape(-1), d_flat.reshape(-1), SLOTS * WIDTH).reshape(SLOTS, WIDTH).astype(np.float32)
-    return g
+    kind = t // GROUP
+    g = np.take(tables.group, b, axis=0)
+    g += h @ p["kind"].T
+    g, norm = _raised(g, longest["h"] * longest["kind"])
+    logs = np.log(np.take_along_axis(g, kind[:, None], 1)[:, 0] / norm)
+    opens = np.log((g[:, : tables.openers] @ _ONES[: tables.openers].astype(g.dtype, copy=False)) / norm)
+    order = np.argsort(kind.astype(np.uint8), kind="stable")
+    edge = np.searchsorted(kind[order], np.arange(GROUPS + 1))
+    sorted_h, sorted_b, rest = np.take(h, order, axis=0), b[order], (t % GROUP)[order]
+    inner, found = [], np.empty(len(t), h.dtype)
+    for k in range(GROUPS):
+        lo, hi = edge[k], edge[k + 1]
+        if lo == hi:
+            inner.append(None)
+            continue
+        w = np.take(tables.inside[k], sorted_b[lo:hi], axis=0)
+        w += sorted_h[lo:hi] @ p["out"][k * GROUP : (k + 1) * GROUP].T
+        w, sums = _raised(w, longest["h"] * longest["out"])
+        w /= sums[:, None]
+        found[lo:hi] = w[np.arange(hi - lo), rest[lo:hi]]
+        inner.append(w)
+    logs[order] += np.log(found)
+    held = {"x": x, "q": q, "a": a, "seen": seen, "h": h, "g": g, "norm": norm, "kind": kind, "order": order, "edge": edge, "sorted_h": sorted_h, "rest": rest, "inner": inner, "before": before}
+    return logs, opens, held
+
+
+def _by_slot(slots: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of rows by slot."""
+    slot = slots.reshape(-1).astype(np.uint16)
+    order = np.argsort(slot, kind="stable")
+    slot = slot[order]
+    heads = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+    out = np.zeros((SLOTS, WIDTH), rows.dtype)
+    out[slot[heads]] = np.add.reduceat(np.take(rows.reshape(-1, WIDTH), order, axis=0), heads, axis=0)
+    return out
 
 
-_SPAN = np.arange(WINDOW)
+def gradient(p: dict[str, np.ndarray], s: dict, weight: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradient of the negative log-probability, each target weighed. Uses up what forward held."""
+    n, every = len(s["x"]), np.arange(len(weight))
+    d_g = s["g"]
+    d_g *= (weight / s["norm"])[:, None]
+    d_g[every, s["kind"]] -= weight
+    g = {"kind": d_g.T @ s["h"], "out": np.zeros_like(p["out"])}
+    d_h = d_g @ p["kind"]
+    d_sorted, w = np.empty_like(s["sorted_h"]), weight[s["order"]]
+    for k, inner in enumerate(s["inner"]):
+        if inner is None:
+            continue
+        lo, hi = s["edge"][k], s["edge"][k + 1]
+        inner *= w[lo:hi, None]
+        inner[every[: hi - lo], s["rest"][lo:hi]] -= w[lo:hi]
+        own = slice(k * GROUP, (k + 1) * GROUP)
+        g["out"][own] = inner.T @ s["sorted_h"][lo:hi]
+        d_sorted[lo:hi] = inner @ p["out"][own]
+    back = np.empty_like(s["order"])
+    back[s["order"]] = every
+    d_h += np.take(d_sorted, back, axis=0)
+    x, a = s["x"], s["a"]
+    d_seen = d_h.reshape(n, STEP, WIDTH)
+    d_s = d_seen @ np.ascontiguousarray(x.transpose(0, 2, 1))
+    d_s -= np.einsum("ij,ij->i", d_h, s["seen"]).reshape(n, STEP, 1)
+    d_s *= a
+    g["far"] = np.bincount(_BACK.reshape(-1), d_s.sum(axis=0).reshape(-1), WINDOW).astype(d_s.dtype)
+    d_q = (d_s @ x).reshape(-1, WIDTH)
+    d_x = a.transpose(0, 2, 1) @ d_seen
+    d_x += d_s.transpose(0, 2, 1) @ s["q"]
+    g["look"] = x[:, CONTEXT:].reshape(-1, WIDTH).T @ d_q
+    d_x[:, CONTEXT:] += (d_q @ p["look"].T).reshape(n, STEP, WIDTH)
+    g["embed"], g["near"] = _by_slot(s["before"], d_x), _by_slot(s["before"][:, CONTEXT - 1 : -1], d_h)
+    return g
 
 
-def _batches(slots: np.ndarray, context: np.ndarray, first: np.ndarray, doc: np.ndarray, at: np.ndarray, end_slot: int):
-    """(text, real, context, before, target) of a batch of windows; context and target from CONTEXT on only."""
+def batches(slots: np.ndarray, first: np.ndarray, doc: np.ndarray, at: np.ndarray, end_slot: int, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(position of each target, whether it is inside its text, opening, before, target) of so many windows at once."""
     # slots with room before and behind, so that a window is a plain stretch
     wide = np.full(len(slots) + 2 * WINDOW, end_slot, np.int32)
     wide[WINDOW:-WINDOW] = slots
-    deep = np.zeros(len(context) + WINDOW, np.int64)
-    deep[: len(context)] = context
-    for a in range(0, len(doc), BATCH):
-        d, s = doc[a : a + BATCH], at[a : a + BATCH]
-        begin, length = first[d] + s, (first[d + 1] - first[d] - s)[:, None]
-        real = (_SPAN < length) & (_SPAN >= -s[:, None])
-        index = begin[:, None] + _SPAN
+    for k in range(0, len(doc), size):
+        d, s = doc[k : k + size], at[k : k + size]
+        index = (first[d] + s)[:, None] + _SPAN
         before = wide[index + (WINDOW - 1)]
-        opening = np.flatnonzero(s <= 0)
-        before[opening, -s[opening]] = end_slot
-        yield d, real, deep[index[:, CONTEXT:]], before, wide[index[:, CONTEXT:] + WINDOW]
+        before[s < 0, : CONTEXT + 1] = end_slot  # a text's first window; nothing of the text before it shows
+        place = index[:, CONTEXT:]
+        yield place, place < first[d + 1][:, None], np.maximum(-s, 0), before, wide[place + WINDOW]
+
 
+def train(p: dict[str, np.ndarray], tables: Tables, slots: np.ndarray, first: np.ndarray, turn: int, end_slot: int, state: dict) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Adam steps over all windows of the given texts, in an order that depends on turn.
 
-def train(p: dict[str, np.ndarray], tables: Tables, slots: np.ndarray, context: np.ndarray, first: np.ndarray, turn: int, end_slot: int = 0, rate: float = 0.01) -> tuple[dict[str, np.ndarray], int]:
-    """Adam steps over all windows of the given texts, in an order that depends on turn; the new parameters."""
+    state holds the moments and goes on from call to call. Returns the new parameters, and for each position
+    the log-probabilities of its slot and of an opening just before the step that learnt from it.
+    """
     doc, at = windows(first)
     own = np.random.default_rng(turn).permutation(len(doc))
-    p = {k: v.copy() for k, v in p.items()}
-    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    step = 0
-    for _, real, ctx, before, target in _batches(slots, context, first, doc[own], at[own], end_slot):
-        _, held = forward(p, tables, before, target, real, tables.memory(ctx, before[:, CONTEXT:], target, True))
-        g = gradient(p, held)
-        step += 1
-        for k in p:
-            m[k] = 0.9 * m[k] + 0.1 * g[k]
-            v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
-            p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-    return p, step
-
-
-def score(p: dict[str, np.ndarray], tables: Tables, slots: np.ndarray, context: np.ndarray, first: np.ndarray, end_slot: int = 0) -> np.ndarray:
-    """Natural log-probability of every text's slots: the sum over windows, each position counted once."""
-    doc, at = windows(first)
-    out = np.zeros(len(first) - 1)
-    for d, real, ctx, before, target in _batches(slots, context, first, doc, at, end_slot):
-        logs, held = forward(p, tables, before, target, real, tables.memory(ctx, before[:, CONTEXT:], target))
-        np.add.at(out, d, np.where(held["real"], logs, 0).reshape(len(d), STEP).sum(axis=1))
-    return out
+    if not state:
+        p = {k: v.copy() for k, v in p.items()}
+        state |= {"m": {k: np.zeros_like(x) for k, x in p.items()}, "v": {k: np.zeros_like(x) for k, x in p.items()}, "step": 0}
+    logs, opens = np.zeros(len(slots), np.float32), np.zeros(len(slots), np.float32)
+    for place, real, opening, before, target in batches(slots, first, doc[own], at[own], end_slot, BATCH):
+        log, log_open, held = forward(p, tables, before, target, opening)
+        inside = real.reshape(-1)
+        logs[place[real]], opens[place[real]] = log[inside], log_open[inside]
+        g = gradient(p, held, inside.astype(np.float32) / np.float32(max(1, inside.sum())))
+        state["step"] += 1
+        rate = RATE * np.sqrt(1 - 0.99 ** state["step"]) / (1 - 0.9 ** state["step"])
+        for k in PARAMETERS:
+            m, v = state["m"][k], state["v"][k]
+            m += np.float32(0.1) * (g[k] - m)
+            v += np.float32(0.01) * (g[k] * g[k] - v)
+            p[k] -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-8))
+    return p, logs, opens
+
+
+def score(p: dict[str, np.ndarray], tables: Tables, slots: np.ndarray, first: np.ndarray, end_slot: int) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log-probabilities of every position's slot and of a word's opening there; each position in one window."""
+    logs, opens = np.zeros(len(slots), np.float32), np.zeros(len(slots), np.float32)
+    for place, real, opening, before, target in batches(slots, first, *windows(first), end_slot, SCORED):
+        log, log_open, _ = forward(p, tables, before, target, opening)
+        logs[place[real]], opens[place[real]] = log[real.reshape(-1)], log_open[real.reshape(-1)]
+    return logs, opens
+
+
+def words(logs: np.ndarray, opens: np.ndarray, starts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The model's log-probability of each word as a whole, from those of its positions.
+
+    starts: the positions at which words (and ends) begin. A word is its opening, given that one comes, its
+    further subwords, and that another opening follows; an end is its opening alone.
+    """
+    total = np.add.reduceat(logs.astype(np.float64), starts) - opens[starts]
+    after = np.append(starts[1:], len(logs))
+    ends = np.zeros(len(starts), dtype=bool)
+    ends[np.searchsorted(starts, first[1:] - 1)] = True
+    total[~ends] += opens[after[~ends]]
+    return total

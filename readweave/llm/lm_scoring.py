@@ -1,10 +1,15 @@
-"""Language-model scoring: a causal self-attention model over subword ids, with counts of the whole corpus.
+"""Language-model scoring: a causal self-attention model over subword ids, and the corpus's lexicon beside it.
 
 Words are cut into subwords by a public byte-level vocabulary, one word at a time, so a text's subwords
-stand for its words in a row and nothing else. Texts are cut up once, into blocks whose distinct words and
-subwords are stored; everything after that reads the blocks. Counts of words and of subwords in
-their context cover all training texts: blocks hand over one entry for each distinct one, packed by
-bucket, buckets add them up, and each block gets back the counts of its own. The attention layer is trained by local steps of every task over all of
+stand for its words in a row and nothing else. The attention model (attention.py) gives every subword's
+chance. A word's chance is a mixture of two distributions over words: the attention model's, which is the product
+over the word's subwords and its end, and the lexicon's, the word's share of all training tokens. The
+lexicon holds every distinct word of the corpus; its weight is the one, of SHARES, under which the training texts
+are likeliest when each token is left out of its own count.
+
+Texts are cut up once, into blocks whose distinct words and subwords are stored. Counts cover all training
+texts: blocks hand over one entry for each distinct word, packed by bucket, buckets add them up, and each
+block gets back the counts of its own words. The attention model is trained by local steps of every task over all of
 its own training texts, each text in one of the rounds, averaged after each round.
 """
 
@@ -26,26 +31,28 @@ from readweave.llm import attention as A
 from readweave.llm import text as T
 from readweave.session import materialize, shuffle_partitions
 
-BLOCK_TEXT = 6 << 20
+BLOCK_TEXT = 8 << 20
 #: Each training text is trained on in one of so many rounds.
 ROUNDS = 2
 END = 50256
 IDS = 50257
-#: Blocks that add a bucket of pairs each time, so that a bucket's size stays bounded.
-BUCKET_BLOCKS = 16
+#: Weights of the lexicon to choose from.
+SHARES = np.array([0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.8])
+#: Blocks that add to a bucket of words each time, so that a bucket's size stays bounded as blocks grow in number.
+BUCKET_BLOCKS = 8
+#: Parameters that are added up in one task.
+ADDED = 32
 #: Words that a worker remembers the subwords of, and characters of a word that are cut up at once.
 REMEMBERED = 200_000
 LONG_WORD = 512
 #: Marks that a word is parted from at its end, for fewer distinct parts.
 TAIL = ".,!?;:|*&$%#"
-#: Two kinds of counts share one number space: pairs of context and slot, and from here on bigrams of slots.
-_BIGRAM = 1 << 62
 
 
 def default_vocabulary() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 @lru_cache(2)
@@ -58,6 +65,15 @@ def _encoder(path: str):
     return tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def opening_ids(path: str) -> np.ndarray:
+    """Which ids open a word: those whose bytes begin with a space."""
+    out = np.zeros(IDS, dtype=bool)
+    with open(path, "rb") as held:
+        for piece, rank in map(bytes.split, held):
+            out[int(rank)] = base64.b64decode(piece).startswith(b" ")
+    return out
+
+
 _memory: dict[str, dict[str, bytes]] = {}
 
 
@@ -113,12 +129,17 @@ def blocks_of(docs: DataFrame, path: str) -> DataFrame:
             starts, ends, first = T.word_spans(data, offsets)
             flat, a, _ = T.joined(T.LOWER[data], starts, ends)
             coded = T.strings(flat, np.concatenate([a, [len(flat)]])).dictionary_encode()
-            codes = coded.indices.to_numpy().astype(np.int32)
+            codes = coded.indices.to_numpy()
+            # frequent words first, so that most codes are small
+            often = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")
+            rank = np.empty(len(often), np.int32)
+            rank[often] = np.arange(len(often))
+            codes, dictionary = rank[codes], coded.dictionary.take(pa.array(often))
             held = np.asarray(part.column("held"))
             learnt = np.repeat(~held, np.diff(first))
-            train = np.bincount(codes[learnt], minlength=len(coded.dictionary)).astype(np.int32)
-            kept, at = T.buffers(coded.dictionary)
-            subs = subwords([w[:-1] for w in coded.dictionary.to_pylist()], path)
+            train = np.bincount(codes[learnt], minlength=len(dictionary)).astype(np.int32)
+            kept, at = T.buffers(dictionary)
+            subs = subwords([w[:-1] for w in dictionary.to_pylist()], path)
             size = np.fromiter(map(len, subs), np.int64, len(subs)) // 2
             flat_subs = np.frombuffer(b"".join(subs), np.uint16)
             counts = np.bincount(flat_subs, np.repeat(train, size), IDS).astype(np.int64)
@@ -146,25 +167,27 @@ class Block:
         self.ids = unpack(row["subs"], np.uint16)
         self.slots = slot[self.ids].astype(np.int32)
         self.end_slot = int(slot[END])
-        self.inner = A.prefix_contexts(self.ids, self.size)
 
-    def sequence(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Slots, contexts and first-offsets of the texts docs, in that order."""
-        words = self.first[docs + 1] - self.first[docs]
+    def sequence(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Slots of the texts docs in that order, first-offsets by text, where words and ends begin, and their codes (an end's is -1)."""
+        n, words = len(docs), self.first[docs + 1] - self.first[docs]
         at = np.concatenate([[0], np.cumsum(words)])
         codes = self.codes[np.arange(at[-1]) + np.repeat(self.first[docs] - at[:-1], words)]
         begin, count = np.cumsum(self.size) - self.size, self.size[codes]
         done = np.concatenate([[0], np.cumsum(count)])
-        n = len(docs)
         first = done[at] + np.arange(n + 1)
-        slots, contexts = np.full(int(first[-1]), self.end_slot, np.int32), np.zeros(int(first[-1]), np.int64)
+        slots = np.full(int(first[-1]), self.end_slot, np.int32)
         mine = np.ones(len(slots), dtype=bool)
         mine[first[1:] - 1] = False
-        index = np.arange(done[-1]) + np.repeat(begin[codes] - done[:-1], count)
-        slots[mine], contexts[mine] = self.slots[index], self.inner[index]
-        starts = np.flatnonzero(contexts == 0)
-        contexts[starts] = A.start_contexts(slots, first, starts, self.end_slot)
-        return slots, contexts, first
+        slots[mine] = self.slots[np.arange(done[-1]) + np.repeat(begin[codes] - done[:-1], count)]
+        named = np.full(len(codes) + n, -1)
+        word = np.ones(len(named), dtype=bool)
+        word[at[1:] + np.arange(n)] = False
+        named[word] = codes
+        starts = np.empty(len(named), np.int64)
+        starts[word] = done[:-1] + np.repeat(np.arange(n), words)
+        starts[~word] = first[1:] - 1
+        return slots, first, starts, named
 
     def chunks(self, docs: np.ndarray, words: int = 200_000) -> Iterator[np.ndarray]:
         """docs in runs of about so many words."""
@@ -179,130 +202,86 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     T.release()
 
 
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums by key, keys ascending."""
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    heads = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
-    return k[heads], np.add.reduceat(c, heads) if len(heads) else c
-
-
-def _gram_counts(blocks: DataFrame, slot: np.ndarray, n_blocks: int) -> DataFrame:
-    """(block, keys, counts, seen, followers): for every (context, slot) pair of a block, in training texts or not, the counts over all training texts, packed by bucket.
-
-    Pairs of a context meet in one bucket, and buckets grow in number with the blocks. Bigrams of training
-    texts have keys from _BIGRAM on and belong to block -1.
-    """
-    n = max(shuffle_partitions(blocks.sparkSession), n_blocks // BUCKET_BLOCKS)
+def _bigrams(blocks: DataFrame, slot: np.ndarray) -> np.ndarray:
+    """SLOTS x SLOTS counts of neighbouring slots in all training texts; an end stands before each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(block: int, k: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-            bucket = (((k // A.SLOTS).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % n
-            order = np.argsort(bucket, kind="stable")
-            edge = np.searchsorted(bucket[order], np.arange(n + 1))
-            some = np.flatnonzero(np.diff(edge))
-            parts = [order[edge[b] : edge[b + 1]] for b in some]
-            return pa.RecordBatch.from_arrays([pa.array(some), pa.array([block] * len(some)), pa.array([pack(k[p]) for p in parts], pa.binary()), pa.array([pack(c[p]) for p in parts], pa.binary())], ["bucket", "block", "keys", "counts"])
-
         pairs = np.zeros(A.SLOTS**2, np.int64)
         for row in _rows(batches):
-            block, keys, counts = Block(row, slot), [], []
-            for held in (False, True):
-                for docs in block.chunks(np.flatnonzero(block.held == held)):
-                    s, context, first = block.sequence(docs)
-                    if not held:
-                        one = np.concatenate([[0], s[:-1]]).astype(np.int64)
-                        one[first[:-1]] = block.end_slot
-                        pairs += np.bincount(one * A.SLOTS + s, minlength=A.SLOTS**2)
-                    k = np.sort(context * A.SLOTS + s)
-                    heads = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-                    keys.append(k[heads])
-                    # held-out texts ask for counts and add none
-                    counts.append(np.diff(np.concatenate([heads, [len(k)]])) * (not held))
-            if keys:
-                yield out(row["block"], *_added(keys, counts))
+            block = Block(row, slot)
+            for docs in block.chunks(np.flatnonzero(~block.held)):
+                s, first, _, _ = block.sequence(docs)
+                one = np.concatenate([[0], s[:-1]]).astype(np.int64)
+                one[first[:-1]] = block.end_slot
+                pairs += np.bincount(one * A.SLOTS + s, minlength=A.SLOTS**2)
         some = np.flatnonzero(pairs)
-        if len(some):
-            yield out(-1, _BIGRAM + some, pairs[some])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(pairs[some])], ["pair", "n"])
+
+    out = np.zeros(A.SLOTS**2, np.int64)
+    found = blocks.select("held", "first", "codes", "subs", "sub_sizes").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    for batch in found.toArrow().to_batches():  # SLOTS^2 rows at most
+        out[batch.column("pair").to_numpy()] = batch.column("n").to_numpy()
+    return out.reshape(A.SLOTS, A.SLOTS)
+
 
-    def add(held: pa.Table) -> pa.Table:
-        owner, packed = np.asarray(held.column("block")), held.column("keys").to_pylist()
-        keys = [unpack(x, np.int64) for x in packed]
-        k, c = _added(keys, [unpack(x, np.int64) for x in held.column("counts").to_pylist()])
-        context = k // A.SLOTS
-        heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        size = np.diff(np.concatenate([heads, [len(k)]]))
-        seen, followers = (np.repeat(np.add.reduceat(x, heads), size) for x in (c, (c > 0).astype(np.int64)))
-        mine = np.flatnonzero(owner >= 0)
-        rows = [(int(owner[i]), packed[i], at) for i in mine for at in [np.searchsorted(k, keys[i])]]
-        own = np.flatnonzero(k >= _BIGRAM)
-        if len(own):
-            rows.append((-1, pack(k[own]), own))
-        columns = [[pack(x[at]) for _, _, at in rows] for x in (c, seen, followers)]
-        return pa.table([pa.array([r[0] for r in rows], pa.int64()), *(pa.array(x, pa.binary()) for x in ([r[1] for r in rows], *columns))], ["block", "keys", "counts", "seen", "followers"])
-
-    needed = blocks.select("block", "held", "first", "codes", "subs", "sub_sizes")
-    return needed.mapInArrow(run, "bucket long, block long, keys binary, counts binary").groupBy("bucket").applyInArrow(add, "block long, keys binary, counts binary, seen binary, followers binary")
-
-
-GRAMS = ("keys", "counts", "seen", "followers")
 NEEDED = ("block", "held", "first", "codes", "subs", "sub_sizes")
 
 
-def _with_counts(blocks: DataFrame, words: DataFrame, grams: DataFrame) -> DataFrame:
-    """Blocks with the whole corpus's counts of their words and pairs; block -1 has the bigrams and no texts."""
+def _with_counts(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """Blocks with the whole corpus's counts of their words. known: distinct training words of the buckets whose first row is this block's."""
     texts = blocks.select("doc_id", *NEEDED)
-    sides = words.select("block", "at", F.col("counts").alias("word_counts"), "known").unionByName(grams, allowMissingColumns=True)
-    schema = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), *((c, pa.binary()) for c in (*NEEDED[1:], "word_counts", *GRAMS)), ("known", pa.int64())])
+    schema = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), *((c, pa.binary()) for c in (*NEEDED[1:], "counts")), ("known", pa.int64())])
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0] if left.num_rows else dict.fromkeys(("doc_id", *NEEDED[1:]))
-        row |= {"block": key[0].as_py(), "known": 0, "word_counts": None}
-        c = np.zeros(unpack(row["sub_sizes"], np.int32).size if row["sub_sizes"] else 0, np.int64)
-        held = []
+        row = left.to_pylist()[0] | {"known": 0}
+        c = np.zeros(unpack(row["sub_sizes"], np.int32).size, np.int64)
         for r in right.to_pylist():
-            if r["at"] is None:
-                held.append([unpack(r[x], np.int64) for x in GRAMS])
-            else:
-                c[unpack(r["at"], np.int32)] = unpack(r["word_counts"], np.int64)
-                row["known"] += r["known"]
-        columns = [np.concatenate(x) for x in zip(*held, strict=True)] or [np.zeros(0, np.int64)] * len(GRAMS)
-        order = np.argsort(columns[0])
-        row |= {"word_counts": pack(c), **{x: pack(v[order]) for x, v in zip(GRAMS, columns, strict=True)}}
-        return pa.Table.from_pylist([row], schema=schema)
+            c[unpack(r["at"], np.int32)] = unpack(r["counts"], np.int64)
+            row["known"] += r["known"]
+        return pa.Table.from_pylist([row | {"counts": pack(c)}], schema=schema)
 
-    kinds = ", ".join(f"{c} binary" for c in (*NEEDED[1:], "word_counts", *GRAMS))
-    return texts.groupBy("block").cogroup(sides.groupBy("block")).applyInArrow(run, f"block long, doc_id array<long>, {kinds}, known long")
+    kinds = ", ".join(f"{c} binary" for c in (*NEEDED[1:], "counts"))
+    return texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(run, f"block long, doc_id array<long>, {kinds}, known long")
 
 
 _built: dict[str, tuple] = {}
 
 
 def _model(token: str, sent) -> tuple:
-    """The model of a broadcast, its bigram tables built once in each worker."""
+    """The model of a broadcast, its tables built once in each worker."""
     if token not in _built:
         _built.clear()
-        slot, kind, bigrams = sent.value
-        none = np.zeros(0, np.int64)
-        _built[token] = (slot, A.Tables(kind, bigrams, none, none, none, none))
+        slot, openers, bigrams, inside, n, ends = sent.value
+        used = np.bincount(slot, minlength=A.SLOTS) > 0
+        _built[token] = (slot, A.Tables(bigrams, used, openers), inside, n, ends)
     return _built[token]
 
 
-def _recalled(row: dict, tables: A.Tables) -> A.Tables:
-    return tables.holding(*(unpack(row[x], np.int64) for x in GRAMS))
-
-
 def _learnt(held: np.ndarray, block: int, turn: int) -> np.ndarray:
     """The training texts of a block that a round trains on: all of them, each in one of the rounds."""
     docs = np.flatnonzero(~held)
     return docs[(docs + block) % ROUNDS == turn]
 
 
-def _trained(blocks: DataFrame, token: str, sent) -> dict[str, np.ndarray]:
-    """Parameters after one pass over all training texts, averaged after each of its rounds."""
+class Lexicon:
+    """For words of a block: what their subwords cost inside shared slots, and their share of the training tokens."""
+
+    def __init__(self, block: Block, inside: np.ndarray, n: int, ends: int):
+        begin = np.concatenate([[0], np.cumsum(inside[block.ids])])
+        last = np.cumsum(block.size)
+        self.cost = np.append(begin[last] - begin[last - block.size], inside[END])  # the end's is last, at -1
+        self.counts = np.append(unpack(block.row["counts"], np.int64), ends)
+        self.n = n
+
+    def mixed(self, attended: np.ndarray, codes: np.ndarray, share: float, left_out: int = 0) -> np.ndarray:
+        """Natural log-probability of each word, left_out: as if so many of its own occurrences had not been counted."""
+        a = attended + self.cost[codes]
+        told = np.maximum(self.counts[codes] - left_out, 0) / max(self.n - left_out, 1)
+        return np.logaddexp(a + np.log1p(-share), np.log(np.maximum(share * told, 1e-300)))
+
+
+def _trained(texts: DataFrame, token: str, sent) -> tuple[dict[str, np.ndarray], float]:
+    """Parameters after one pass over all training texts, averaged after each of its rounds, and the lexicon's weight."""
     p = A.initial()
     shapes = {k: v.shape for k, v in p.items()}
 
@@ -318,36 +297,46 @@ def _trained(blocks: DataFrame, token: str, sent) -> dict[str, np.ndarray]:
         return out
 
     def add(held: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.float64) for x in held.column("sums").to_pylist())
-        return pa.table({"sums": pa.array([total.tobytes()], pa.binary()), "steps": pa.array([sum(held.column("steps").to_pylist())])})
+        sums = [sum(np.frombuffer(x, np.float64) for x in held.column(c).to_pylist()).tobytes() for c in ("sums", "told")]
+        return pa.table({"part": pa.array([held.column("part")[0].as_py()]), **{c: pa.array([x], pa.binary()) for c, x in zip(("sums", "told"), sums, strict=True)}, "steps": pa.array([sum(held.column("steps").to_pylist())])})
 
+    told = np.zeros(len(SHARES))
     for turn in range(ROUNDS):
         now = flat(p)
 
         def run(batches: Iterator[pa.RecordBatch], now=now, turn=turn) -> Iterator[pa.RecordBatch]:
-            slot, tables = _model(token, sent)
-            own, steps = full(now), 0
+            slot, tables, inside, n, ends = _model(token, sent)
+            own, state, likely = full(now), {}, np.zeros(len(SHARES))
             for row in _rows(batches):
-                block, own_tables = Block(row, slot), _recalled(row, tables)
+                block = Block(row, slot)
+                lexicon = Lexicon(block, inside, n, ends)
                 for some in block.chunks(_learnt(block.held, row["block"], turn)):
-                    own, n = A.train(own, own_tables, *block.sequence(some), turn, block.end_slot)
-                    steps += n
-            if steps:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 64]), pa.array([(flat(own).astype(np.float64) * steps).tobytes()], pa.binary()), pa.array([steps])], ["slot", "sums", "steps"])
-
-        got = blocks.select(*NEEDED, *GRAMS).mapInArrow(run, "slot long, sums binary, steps long").groupBy("slot").applyInArrow(add, "sums binary, steps long").collect()
-        steps = sum(r.steps for r in got)  # at most 64 rows
+                    slots, first, starts, codes = block.sequence(some)
+                    own, logs, opens = A.train(own, tables, slots, first, turn, block.end_slot, state)
+                    if turn == ROUNDS - 1:
+                        attended = A.words(logs, opens, starts, first)
+                        likely += [lexicon.mixed(attended, codes, x, 1).sum() for x in SHARES]
+            if state:
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([(flat(own).astype(np.float64) * state["step"]).tobytes()], pa.binary()), pa.array([likely.tobytes()], pa.binary()), pa.array([state["step"]])], ["part", "sums", "told", "steps"])
+
+        kind = "part long, sums binary, told binary, steps long"
+        got = texts.select(*NEEDED, "counts").mapInArrow(run, kind)
+        for _ in range(3):  # each level adds ADDED rows at a time, so that ADDED^3 tasks leave one row
+            got = got.withColumn("part", F.floor(F.col("part") / ADDED).cast("long")).groupBy("part").applyInArrow(add, kind)
+        rows = got.collect()  # one for each ADDED^3 tasks
+        steps = sum(r.steps for r in rows)
         if steps:
-            p = full(sum(np.frombuffer(r.sums, np.float64) for r in got) / steps)
-    return p
+            p = full(sum(np.frombuffer(r.sums, np.float64) for r in rows) / steps)
+            told = sum(np.frombuffer(r.told, np.float64) for r in rows)
+    return p, float(SHARES[int(np.argmax(told))])
 
 
-def _word_counts(blocks: DataFrame) -> DataFrame:
+def _word_counts(blocks: DataFrame, n_blocks: int) -> DataFrame:
     """(block, at, counts, known): for words of a block their counts over all training texts, packed by bucket.
 
     known: how many distinct training words the bucket has, on one of its rows.
     """
-    n = shuffle_partitions(blocks.sparkSession)
+    n = max(shuffle_partitions(blocks.sparkSession), n_blocks // BUCKET_BLOCKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -387,7 +376,7 @@ def score(docs: DataFrame, held_out: Column, path: str | None = None) -> DataFra
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; words are A-Z lower-cased
     runs without white space, and an end follows each text. base_score is the add-one unigram
-    log10-probability of the tokens, score the attention model's of the same. A null or empty text is its end
+    log10-probability of the tokens, score the model's of the same. A null or empty text is its end
     alone. Repeated rows are scored each; ids may be null; other columns are not looked at; no rows give none.
     Without any training row every count is 0 and the model is the untrained one.
     """
@@ -406,40 +395,34 @@ def score(docs: DataFrame, held_out: Column, path: str | None = None) -> DataFra
     counts = np.zeros(IDS, np.int64)
     for r in blocks.select("sub_counts").mapInArrow(sub_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r.id] = r.n  # one row for each id of the vocabulary at most
-    slot, kind = A.slots_of(counts, END)
-    inside = np.log10((counts + 1) / np.bincount(slot, counts + 1.0, A.SLOTS)[slot])
+    slot, openers = A.slots_of(counts, opening_ids(path), END)
+    inside = np.log((counts + 1) / np.bincount(slot, counts + 1.0, A.SLOTS)[slot])
 
     sums = blocks.agg(F.sum("train_tokens"), F.count("block")).first()
-    n = sums[0] or 0
-    counted = materialize(_with_counts(blocks, _word_counts(blocks), _gram_counts(blocks, slot, sums[1])), "lm-counted")
-    bigrams = np.zeros(A.SLOTS**2, np.int64)
-    for r in counted.where("block = -1").select("keys", "counts").collect():  # one row of SLOTS^2 entries at most
-        bigrams[unpack(r["keys"], np.int64) - _BIGRAM] = unpack(r["counts"], np.int64)
-    texts = counted.where("block >= 0")
-    sent = spark.sparkContext.broadcast((slot, kind, bigrams.reshape(A.SLOTS, A.SLOTS)))
-    token = uuid.uuid4().hex
-    p = _trained(texts, token, sent)
-
-    ends = int(counts[END])
+    n, ends = sums[0] or 0, int(counts[END])
+    texts = materialize(_with_counts(blocks, _word_counts(blocks, sums[1])), "lm-counted")
     v = int(texts.agg(F.sum("known")).first()[0] or 0) + (ends > 0)
+    sent = spark.sparkContext.broadcast((slot, openers, _bigrams(blocks, slot), inside, n, ends))
+    token = uuid.uuid4().hex
+    p, share = _trained(texts, token, sent)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot, tables = _model(token, sent)
+        slot, tables, inside, _, _ = _model(token, sent)
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         for row in _rows(batches):
-            block, own_tables = Block(row, slot), _recalled(row, tables)
-            c = unpack(row["word_counts"], np.int64)
+            block = Block(row, slot)
+            lexicon = Lexicon(block, inside, n, ends)
+            c = lexicon.counts[:-1]
             size = np.diff(block.first)
             doc = np.repeat(np.arange(len(size)), size)
             base = np.bincount(doc, np.log10((c + 1) / (n + v + 1))[block.codes], len(size)) + np.log10((ends + 1) / (n + v + 1))
             known = np.bincount(doc, (c > 0)[block.codes], len(size)).astype(np.int64) + (ends > 0)
-            # what a subword costs inside its slot, added up by word
-            held = np.concatenate([[0], np.cumsum(inside[block.ids])])
-            last = np.cumsum(block.size)
-            own = np.bincount(doc, (held[last] - held[last - block.size])[block.codes], len(size)) + inside[END]
+            own = np.zeros(len(size))
             for docs in block.chunks(np.arange(len(size))):
-                own[docs] += A.score(p, own_tables, *block.sequence(docs), block.end_slot) / np.log(10)
+                slots, first, starts, codes = block.sequence(docs)
+                attended = A.words(*A.score(p, tables, slots, first, block.end_slot), starts, first)
+                own[docs] = np.bincount(np.searchsorted(first, starts, "right") - 1, lexicon.mixed(attended, codes, share), len(docs)) / np.log(10)
             columns = [row["doc_id"], block.held, size + 1, known, np.full(len(size), n), base, own]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
 
