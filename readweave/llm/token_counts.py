@@ -22,6 +22,9 @@ from readweave.llm import text as T
 #: A byte that no piece covers costs this much more than the least likely piece.
 BYTE_PENALTY = 10.0
 MARK = "▁"  # a pre-token begins with it, as the vocabulary's pieces that begin a word do
+#: Bytes from which a pre-token is solved by itself, and bytes of one that are looked up at once.
+LONG = 256
+LONG_STEP = 1 << 15
 BASE = np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
 
 
@@ -117,11 +120,53 @@ def count_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces:
     return out
 
 
+def count_long(data: np.ndarray, pieces: Pieces) -> int:
+    """What count_pieces gives for one string alone, in time by its length and memory by LONG_STEP bytes.
+
+    All pieces that lie anywhere in a stretch are looked up at once by differences of hashes; the scores then run
+    along the string over these pieces only.
+    """
+    data = np.concatenate([np.frombuffer(MARK.encode(), np.uint8), data])
+    n, longest = len(data), pieces.longest
+    score, count = [0.0] + [-np.inf] * n, [0] * (n + 1)
+    with np.errstate(over="ignore"):
+        for a in range(0, n, LONG_STEP):
+            b = min(a + LONG_STEP, n)
+            own = data[max(a - longest, 0) : b]
+            shift = b - len(own)
+            power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(own), BASE)]), dtype=np.uint64)
+            back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(own), np.uint64(pow(int(BASE), -1, 1 << 64)))]), dtype=np.uint64)
+            root = np.concatenate([[np.uint64(0)], np.cumsum((own.astype(np.uint64) + np.uint64(1)) * back[1:], dtype=np.uint64)]) * power
+            begins, ends, gains = [np.arange(a, b)], [np.arange(a, b) + 1], [np.full(b - a, pieces.unknown)]
+            for m in range(1, min(longest, len(own)) + 1):
+                at, gain = pieces.find(root[m:] - root[:-m] * power[m])
+                inside = at + shift + m > a
+                begins.append(at[inside] + shift)
+                ends.append(at[inside] + shift + m)
+                gains.append(gain[inside])
+            begin, end, gain = (np.concatenate(x) for x in (begins, ends, gains))
+            order = np.argsort(end, kind="stable")
+            for i, j, g in zip(begin[order].tolist(), end[order].tolist(), gain[order].tolist(), strict=True):
+                total = score[i] + g
+                if total > score[j] or (total == score[j] and count[i] + 1 < count[j]):
+                    score[j], count[j] = total, count[i] + 1
+    return count[n]
+
+
+def count_all(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """count_pieces, with strings longer than LONG bytes, which share few prefixes, solved by themselves."""
+    out, long = np.zeros(len(starts), np.int64), ends - starts > LONG
+    out[~long] = count_pieces(data, starts[~long], ends[~long], pieces)
+    out[long] = [count_long(data[a:b], pieces) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+    return out
+
+
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_words, n_tokens) for every row of docs, over the whole text.
 
     Pre-tokens are runs without white space, each with the word mark before it. A null or empty text has
-    none and no tokens. Repeated rows stay. Only doc_id and text are read.
+    none and no tokens. Log-probabilities are not trained: they follow Zipf's law of a piece's rank in the vocabulary.
+    Repeated rows stay. Only doc_id and text are read.
     """
     path = path or default_vocabulary()
 
@@ -132,7 +177,7 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
             flat, a, b = T.joined(data, starts, ends)
             coded = T.strings(flat, np.concatenate([a, [len(flat)]])).dictionary_encode()  # each with a space at its end
             kept, at = T.buffers(coded.dictionary)
-            counts = count_pieces(kept, at[:-1], at[1:] - 1, zipf_pieces(path))
+            counts = count_all(kept, at[:-1], at[1:] - 1, zipf_pieces(path))
             total = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy()])])
             n = total[first[1:]] - total[first[:-1]]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(first)), pa.array(n)], ["doc_id", "n_words", "n_tokens"])
