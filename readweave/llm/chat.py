@@ -7,7 +7,7 @@ the assistant says and the end mark after it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Turns numbered within one stretch of this length are rendered as one row, so that a row stays bounded
@@ -18,12 +18,13 @@ SYSTEM = "system"
 
 
 def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """(conv_id, perspective, part, n_turns, n_chars, text, mask) from conversations(conv_id, turn, role, text).
+    """(conv_id, perspective, part, cut, n_turns, n_chars, text, mask) from conversations(conv_id, turn, role, text).
 
     role names the speaker; the role `system` is nobody's perspective and always rendered as system.
     Turns go by turn, ties by role and text; repeated rows are turns of their own. Part k holds turns
     k * part_turns to (k+1) * part_turns - 1, and the parts of a conversation in a row are its whole
-    rendering; turns without a number come first, in part -1. A null role speaks as `unknown`, a null text is
+    rendering; turns without a number come first, in part -1. A part of more than part_turns turns, because many have
+    no number or one number, is cut after every part_turns of them. A null role speaks as `unknown`, a null text is
     empty, and rows with a null conv_id are one conversation. A conversation in which only the system speaks
     has no participant and no row. mask is an array of (start, end) in code points of text.
     Columns beyond the four are not looked at.
@@ -37,7 +38,10 @@ def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         ).alias("said"),
     )
-    parts = turns.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("said")).alias("turns"))
+    # the same exchange serves the window and the aggregation
+    place = F.row_number().over(Window.partitionBy("conv_id", "part").orderBy("said"))
+    cut = turns.withColumn("cut", F.floor((place - 1) / part_turns).cast("long"))
+    parts = cut.groupBy("conv_id", "part", "cut").agg(F.array_sort(F.collect_list("said")).alias("turns"))
     # who speaks in any part; one row for each speaker, conversation and part before the shuffle
     speakers = (
         turns.where(F.col("said.role") != SYSTEM)
@@ -81,6 +85,7 @@ def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
         "conv_id",
         "perspective",
         "part",
+        "cut",
         F.size("turns").cast("long").alias("n_turns"),
         F.aggregate("ends", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_chars"),
         F.array_join(F.transform("segments", lambda s: F.concat(s["head"], s["body"])), "").alias("text"),

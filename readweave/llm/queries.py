@@ -85,12 +85,13 @@ _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRST
 
 ORACLES: dict[str, str] = {
     "op3_chat_rotation": f"""WITH turns AS (SELECT conv_id, CAST(coalesce(floor(turn / {chat.PART_TURNS}.0), -1) AS BIGINT) AS part, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+  cuts AS (SELECT *, CAST((row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) - 1) // {chat.PART_TURNS} AS BIGINT) AS cut FROM turns),
   speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
-  seg AS (SELECT t.conv_id, s.perspective, t.part, t.turn, t.role, t.text, role = perspective AS own, text || '<|im_end|>' || chr(10) AS body,
-    '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
-  placed AS (SELECT *, row_number() OVER w AS rn, sum(length(head) + length(body)) OVER w AS ending FROM seg WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-  SELECT conv_id, perspective, part, count(*) AS n_turns, CAST(sum(length(head) + length(body)) AS BIGINT) AS n_chars, string_agg(head || body, '' ORDER BY rn) AS text,
-    coalesce(string_agg(CASE WHEN own THEN CAST(CAST(ending - length(body) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(ending AS BIGINT) AS VARCHAR) END, ',' ORDER BY rn), '') AS mask FROM placed GROUP BY conv_id, perspective, part""",
+  seg AS (SELECT t.conv_id, s.perspective, t.part, t.cut, t.turn, t.role, t.text, role = perspective AS own, text || '<|im_end|>' || chr(10) AS body,
+    '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head FROM cuts t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+  placed AS (SELECT *, row_number() OVER w AS rn, sum(length(head) + length(body)) OVER w AS ending FROM seg WINDOW w AS (PARTITION BY conv_id, perspective, part, cut ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  SELECT conv_id, perspective, part, cut, count(*) AS n_turns, CAST(sum(length(head) + length(body)) AS BIGINT) AS n_chars, string_agg(head || body, '' ORDER BY rn) AS text,
+    coalesce(string_agg(CASE WHEN own THEN CAST(CAST(ending - length(body) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(ending AS BIGINT) AS VARCHAR) END, ',' ORDER BY rn), '') AS mask FROM placed GROUP BY conv_id, perspective, part, cut""",
     "op9_decontamination": f"""WITH b AS (SELECT CAST(item_id AS VARCHAR) AS id, {_WORDS} AS w FROM benchmark),
   bw AS (SELECT id, len(w) AS n, w, unnest(range(0, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0),
   win AS (SELECT DISTINCT id, least(n, 10) AS l, array_to_string(w[i + 1 : i + least(n, 10)], ' ') AS s FROM bw), lens AS (SELECT DISTINCT l FROM win),
