@@ -136,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Labels that are null or whose document is missing do not count. Without any label every score is 0.5.
     """
-    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
+    marked = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
+    known = marked.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     totals = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = known.where("quality = 0").orderBy(*order).limit(sample // 2).unionAll(known.where("quality = 1").orderBy(*order).limit(sample - sample // 2))
