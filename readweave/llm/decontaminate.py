@@ -213,5 +213,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs without the documents in which a benchmark window occurs."""
-    return find_passages(docs, benchmark, window).where(F.size("spans") == 0).select(docs.columns)
+    """docs without the documents in which a benchmark window occurs; all columns stay as they are, whatever their names.
+
+    Rows with a null or empty text stay, repeated rows each; an empty benchmark drops nothing, an empty table stays empty.
+    """
+    named = [f"_column{k}" for k in range(len(docs.columns))]
+    found = find_passages(docs.toDF(*named), benchmark, window, named[docs.columns.index("text")])
+    return found.where(F.size("spans") == 0).select(*named).toDF(*docs.columns)
