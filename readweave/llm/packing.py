@@ -7,7 +7,8 @@ texts' ids are looked up.
 Packing: documents are dealt evenly to shards of a bounded number of pieces. A shard takes its pieces
 from long to short and puts each into the open sequence for which the sum of squared counts of open
 sequences by residual gap becomes smallest; a new one is opened when none has room. Sequences that
-stay well open are packed anew across shards, level by level, until one shard holds them all.
+stay well open are packed anew across shards, level by level, until one shard holds them all or a level leaves
+over nine tenths of the pieces that it was given; after that each shard keeps its part-filled sequences.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def tokenizer(path: str):
 
 
 #: Units whose ids a worker remembers between blocks: the first so many that it met.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 _memory: dict[str, dict[str, bytes]] = {}
 
 
@@ -88,10 +89,13 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     kind[trail] = LETTER
     signs = np.flatnonzero(trail & ((data == 0x97) | (data == 0xB7)))
     signs = signs[data[signs - 1] == 0xC3]  # the multiplication and division signs
+    # U+0130, which becomes two code points in lower case
+    signs = np.concatenate([signs, np.flatnonzero(trail[1:] & (data[1:] == 0xB0) & (data[:-1] == 0xC4)) + 1])
     kind[signs] = kind[signs - 1] = GLUE
     kind[:-1][(data[:-1] == 0x3C) & (data[1:] == 0x7C)] = GLUE  # special tokens begin so
     starts, ends, _ = T.word_spans(data, offsets)
-    glued = np.concatenate([[0], np.cumsum(kind == GLUE)])
+    glued = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(kind == GLUE, out=glued[1:])
     whole = glued[ends] > glued[starts]
     inside = kind > 0
     cut = np.zeros(len(data), dtype=bool)
@@ -102,7 +106,8 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     cut &= ~np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
     cut[starts] = True
     begins = np.flatnonzero(cut & inside)
-    packed = np.concatenate([[0], np.cumsum(inside)])
+    packed = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(inside, out=packed[1:])
     return T.strings(T.LOWER[data[inside]], np.concatenate([packed[begins], packed[-1:]])), np.searchsorted(begins, offsets)
 
 
@@ -133,7 +138,7 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> D
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in T.gathered(batches, limit=8 << 20):
+        for part in T.gathered(batches, limit=4 << 20):
             ids, at = encode(part.column("text"), path)
             total = np.diff(at)
             pieces = -(-total // capacity)
@@ -197,7 +202,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
     while True:
         n = rest.count()
         shards = max(1, -(-n // SHARD_PIECES))
-        last = shards == 1 or (before is not None and n > before // 2)
+        last = shards == 1 or (before is not None and n > before * 9 // 10)
         packed = rest.withColumn("shard", F.monotonically_increasing_id() % shards).groupBy("shard").applyInArrow(_shard(level, capacity), schema)
         if last:
             return done.unionByName(packed.select(columns))
