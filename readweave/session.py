@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,22 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; only where that is unset, a local one."""
+    """The shared folder named by spark.checkpoint.dir. Where that is unset: a local one on a local master, else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named or os.path.join(tempfile.gettempdir(), "checkpoints")
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    """A folder of this process, gone with it."""
+    path = tempfile.mkdtemp(prefix="readweave-")
+    atexit.register(shutil.rmtree, path, True)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

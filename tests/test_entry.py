@@ -1,9 +1,12 @@
 """The driver contract, and each query with SQL against DuckDB on the smallest tables."""
 
+import sys
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from readweave import session
 from readweave.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -26,6 +29,28 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 1
 
 
+def test_entry_without_the_text_subpackage(monkeypatch):
+    monkeypatch.setitem(sys.modules, "readweave.llm", None)
+    monkeypatch.setitem(sys.modules, "readweave.llm.queries", None)
+    assert set(entry.queries()) == set(registry.QUERIES) and set(entry.oracle_sql()) == set(registry.ORACLES)
+
+
+def test_scratch_is_shared(spark, monkeypatch):
+    kept = session.scratch_dir(spark)
+    assert kept.endswith(kept.split("/")[-1])
+
+    class Far:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: {})
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.scratch_dir(Far)
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
