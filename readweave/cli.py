@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import re
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,9 @@ def main(argv: list[str] | None = None) -> None:
         return
     project = Project(spark, a.project)
     if a.verb == "add":
-        name = a.file.rstrip("/").rsplit("/", 1)[-1].split(".")[0]
+        name = re.sub(r"\.(sff|fastq|fq)(\.gz)?$", "", a.file.rstrip("/").rsplit("/", 1)[-1])
         if a.file.endswith(".sff"):
+            sff.check_headers(sff.read_headers(spark, a.file))
             run = sff.trimmed(sff.read_sff(spark, a.file)).withColumn("ord", F.monotonically_increasing_id())
         else:
             held = text.read_fastq(spark, a.file)

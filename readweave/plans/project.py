@@ -86,6 +86,8 @@ class Project:
     def add(self, run: DataFrame, run_id: str, individual: str) -> None:
         """Add a run of reads(read_id, seq, qual, ord): overlaps with all older runs update the clusters."""
         runs = self.table("runs")
+        if runs.where(F.col("run_id") == run_id).count():
+            raise ValueError(f"run {run_id} is in the project already")
         number = (runs.agg(F.max("run_seq")).first()[0] or 0) + 1
         named = run.select(F.lit(run_id).alias("run_id"), "read_id", F.lit(individual).alias("individual"), "seq", "qual", F.col("ord").cast("long").alias("ord"), F.lit(number).cast("long").alias("run_seq"))
         named = materialize(named, "run")

@@ -20,12 +20,18 @@ def _records(spark: SparkSession, path: str, mark: str, glob: str | None = None)
     return reader.text(path).select("value", F.element_at(F.split(F.input_file_name(), "/"), -1).alias("run_file"), F.monotonically_increasing_id().alias("ord"))
 
 
+def _marked(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Records that begin with > at the beginning of a line, without it; a > inside a line is part of it."""
+    record = _records(spark, path, "\n>", glob).withColumn("value", F.regexp_replace("value", r"^\s*>", ""))
+    return record.where(F.trim("value") != "")
+
+
 def read_fasta(spark: SparkSession, path: str, whole_header: bool = False, glob: str | None = None) -> DataFrame:
     """(read_id, header, seq, run_file, ord) of > records; other than IUPAC letters are dropped from sequences.
 
     read_id is the header's first token, or all of it with whole_header. glob picks files of a folder.
     """
-    record = _records(spark, path, ">", glob).where(F.trim("value") != "")
+    record = _marked(spark, path, glob)
     header = F.regexp_extract("value", r"^([^\r\n]*)", 1)
     seq = S.only_iupac(F.regexp_replace("value", r"^[^\r\n]*", ""))
     return record.select((header if whole_header else S.first_token(header)).alias("read_id"), header.alias("header"), seq.alias("seq"), "run_file", "ord")
@@ -38,7 +44,7 @@ def write_fasta(reads: DataFrame, path: str, width: int = 60) -> None:
 
 def read_quality_text(spark: SparkSession, path: str) -> DataFrame:
     """(read_id, qual array<int>) of > records of space-separated numbers."""
-    record = _records(spark, path, ">").where(F.trim("value") != "")
+    record = _marked(spark, path)
     numbers = F.trim(F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s+", " "))
     qual = F.when(numbers == "", F.expr("cast(array() as array<int>)")).otherwise(F.split(numbers, " ").cast("array<int>"))
     return record.select(S.first_token(F.col("value")).alias("read_id"), qual.alias("qual"))
@@ -210,13 +216,26 @@ def report_text(blocks: DataFrame, brackets: bool = False) -> DataFrame:
     return blocks.select(F.concat(F.array_join(F.concat(F.array(F.concat(F.lit(">"), "cluster"), head, S.wrap(seq)), line), "\n"), F.lit("\n")).alias("value"))
 
 
+#: Values of a status file, a line each.
+STATUS = ("kind", "binaries", "genome_size", "runs", "bases_added", "bases_used")
+
+
 def read_status(spark: SparkSession, path: str) -> tuple[dict[str, str], DataFrame]:
     """Scalars and runs(run_file, individual, run_seq) of a project status file: six lines of values, then runs."""
-    rows = [r.value for r in spark.read.text(path).limit(1_000_000).collect()]
-    names = ("kind", "binaries", "genome_size", "runs", "bases_added", "bases_used")
-    scalars = dict(zip(names, (x.split(":", 1)[-1].strip() for x in rows[:6]), strict=False))
-    runs = [(*x.split("\t")[:2], k) for k, x in enumerate(rows[6:]) if "\t" in x]
-    return scalars, spark.createDataFrame(runs, "run_file string, individual string, run_seq long")
+    lines = numbered_lines(spark, path)
+    head = [r.value for r in lines.where(F.col("number") < len(STATUS)).orderBy("number").collect()]
+    scalars = dict(zip(STATUS, (x.split(":", 1)[-1].strip() for x in head), strict=False))
+    field = F.split("value", "\t")
+    runs = lines.where((F.col("number") >= len(STATUS)) & F.col("value").contains("\t"))
+    return scalars, runs.select(field[0].alias("run_file"), field[1].alias("individual"), (F.col("number") - len(STATUS)).cast("long").alias("run_seq"))
+
+
+def write_status(spark: SparkSession, scalars: dict[str, object], runs: DataFrame, path: str) -> None:
+    """A project status file as read_status reads it: six lines of values, then a line for each run in order of run_seq."""
+    head = spark.createDataFrame([(k - len(STATUS), f"{name}: {scalars.get(name, '')}") for k, name in enumerate(STATUS)], "number long, value string")
+    body = runs.select(F.col("run_seq").alias("number"), F.concat_ws("\t", "run_file", "individual").alias("value"))
+    # one row for each run of a project, written in order into one file
+    head.unionByName(body).coalesce(1).sortWithinPartitions("number").select("value").write.text(path)
 
 
 def split_at_dashes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

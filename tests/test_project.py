@@ -84,3 +84,8 @@ def test_runs_from_a_stream(spark, tmp_path):
     add_runs(stream, project, str(tmp_path / "ck2")).awaitTermination()
     assert project.table("runs").count() == 2
     assert project.table("members").where("cluster = 'r1_10'").count() == 2
+    with pytest.raises(ValueError, match="already"):
+        project.add(run_of(spark, base, "r1", [10]), "r1", "ann")
+    run_of(spark, base, "late", [30]).select(F.lit("r1").alias("run_id"), F.lit("ann").alias("individual"), "read_id", "seq", "qual", "ord").write.mode("append").parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="came after"):
+        add_runs(stream, project, str(tmp_path / "ck2")).awaitTermination()

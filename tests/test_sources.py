@@ -16,6 +16,10 @@ def test_fasta(spark, tmp_path):
     got = text.read_fasta(spark, str(tmp_path), glob="*.fa")
     assert rows(got.select("read_id", "seq", "run_file")) == [("r1", "ACGTacgt", "a.fa"), ("r2", "", "a.fa"), ("r3", "NNN", "a.fa")]
     assert rows(text.read_fasta(spark, str(tmp_path), True).select("read_id"))[0] == ("r1 first read",)
+    (tmp_path / "b").write_text(">r1 c.1A>G note\r\nACGT\r\n>r2>x\nTT\n")
+    assert rows(text.read_fasta(spark, str(tmp_path / "b")).select("read_id", "header", "seq")) == [("r1", "r1 c.1A>G note", "ACGT"), ("r2>x", "r2>x", "TT")]
+    (tmp_path / "c").write_text(">r1 a>b\n1 2\n>r2\n3\n")
+    assert rows(text.read_quality_text(spark, str(tmp_path / "c"))) == [("r1", [1, 2]), ("r2", [3])]
 
 
 def test_fasta_round_trip(spark, tmp_path):
@@ -90,6 +94,10 @@ def test_status_and_splitter(spark, tmp_path):
     (tmp_path / "s").write_text("kind: 454\nbinaries: /b\ngenome: 10\nruns: 1\nadded: 5\nused: 4\nx.sff\twatson\n")
     scalars, runs = text.read_status(spark, str(tmp_path / "s"))
     assert scalars["genome_size"] == "10" and rows(runs) == [("x.sff", "watson", 0)]
+    many = spark.createDataFrame([(f"f{k}.sff", f"p{k % 3}", k) for k in range(500)], "run_file string, individual string, run_seq long").repartition(5)
+    text.write_status(spark, scalars, many, str(tmp_path / "t"))
+    again, listed = text.read_status(spark, str(tmp_path / "t"))
+    assert again == scalars and rows(listed) == rows(many)
     (tmp_path / "d").write_text("a\nb\n-----\nc\n")
     assert [[r.line for r in x.orderBy("number").collect()] for x in text.split_at_dashes(spark, str(tmp_path / "d"))] == [["a", "b"], ["c"]]
 
