@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -15,74 +16,82 @@ LEAST_GAPS = 2
 LEAST_COVER = 4
 
 
+@dataclass
+class Column:
+    """A column as sets of reads, each an integer with a bit for every read."""
+
+    consensus: str
+    call: str  # the first sign that is a base, * for none
+    gaps: int
+    bases: int
+
+    @classmethod
+    def of(cls, consensus: str, reads: dict[str, str], bit: dict[str, int]) -> Column:
+        gaps = sum(1 << bit[r] for r, sign in reads.items() if sign == "*")
+        every = sum(1 << bit[r] for r in reads)
+        return cls(consensus, next((sign for sign in reads.values() if sign not in "*N"), "*"), gaps, every & ~gaps)
+
+    @property
+    def covered(self) -> bool:
+        return self.gaps.bit_count() >= LEAST_GAPS and (self.gaps | self.bases).bit_count() >= LEAST_COVER
+
+    @property
+    def starts(self) -> bool:
+        return self.covered and self.bases.bit_count() >= LEAST_GAPS and self.call != "*"
+
+
+def _candidates(columns: list[Column], start: int) -> Iterator[int]:
+    """Last columns of the stretches of equal calls after start, while each is of one column and of a new base.
+
+    start's own stretch goes on only over columns that the consensus leaves out. A longer stretch of a new base is
+    the last candidate.
+    """
+    met = set()
+    for call, stretch in groupby(range(start, len(columns)), key=lambda k: columns[k].call):
+        held = list(stretch)
+        if call in met:
+            return
+        if held[0] == start:
+            if any(columns[k].consensus != "*" for k in held[1:]):
+                return
+        elif len(held) > 1:
+            yield held[-1]
+            return
+        elif call != "*" and columns[held[0]].consensus != "N":
+            yield held[0]
+        else:
+            continue
+        met.add(call)
+
+
 def alternations(columns: list[dict]) -> list[list[int]]:
     """Candidate differences of one contig as lists of column numbers, the starting column first.
 
     columns, in order: {"consensus": sign, "reads": {read: sign}} with * for a gap. An assembler that puts
-    alternative bases into neighbouring columns leaves gaps in turn: a column qualifies as a start with enough
-    gaps, bases and reads. From there the ends of the next homopolymer stretches are visited while the
-    stretches are of one column and of a base not met yet. A column is taken when it has enough gaps, reads and
-    bases, a read with a gap so far has a base there, and every read with a base so far has a gap.
+    alternative bases into neighbouring columns leaves gaps in turn. A column qualifies as a start with enough
+    gaps, bases and reads. Of the candidates after it one fits if it is covered, some of the start's reads that had only
+    gaps have a base in it, and none that had a base has another one; the first that does not fit ends the search. Those
+    with enough bases make up the difference. Its columns but the first are left out of the consensus from then on.
     """
-    def call(c: dict) -> str:
-        return next((b for b in c["reads"].values() if b not in "*N"), "*")
-
-    calls = [call(c) for c in columns]
-    n, found, at = len(columns), [], 0
-
-    def fits(c: dict, base_seen: dict[str, bool]) -> bool:
-        here = {r: b for r, b in c["reads"].items() if r in base_seen}
-        if not any(not base_seen[r] and b != "*" for r, b in here.items()):
-            return False
-        for r, b in here.items():
-            if b != "*":
-                if base_seen[r]:
-                    return False
-                base_seen[r] = True
-        return True
-
-    def gaps(c: dict) -> int:
-        return sum(b == "*" for b in c["reads"].values())
-
-    def enough(c: dict) -> bool:
-        return gaps(c) >= LEAST_GAPS and len(c["reads"]) >= LEAST_COVER
-
-    while at < n - 1:
-        start = columns[at]
-        took = [at]
-        if enough(start) and len(start["reads"]) - gaps(start) >= LEAST_GAPS and calls[at] not in "*N":
-            base_seen = {r: b != "*" for r, b in start["reads"].items()}
-            met = {calls[at]}
-            end = at + 1
-            while end < n and columns[end]["consensus"] == "*" and calls[end] == calls[at]:
-                end += 1
-            index, pending = end - 1, False
-            while index + 1 < n:
-                before = index
-                index += 1
-                while index + 1 < n and calls[index + 1] == calls[index]:
-                    index += 1
-                base = calls[index]
-                pending = base not in met
-                if index - before > 1 or base in met:
-                    break
-                pending = False
-                if columns[index]["consensus"] == "N" or base in "*N":
-                    continue
-                met.add(base)
-                if not enough(columns[index]) or not fits(columns[index], base_seen):
-                    break
-                if len(columns[index]["reads"]) - gaps(columns[index]) >= LEAST_GAPS:
-                    took.append(index)
-            if pending and enough(columns[index]) and fits(columns[index], base_seen) and len(columns[index]["reads"]) - gaps(columns[index]) >= LEAST_GAPS:
-                took.append(index)
+    bit = {r: k for k, r in enumerate(dict.fromkeys(r for c in columns for r in c["reads"]))}
+    held = [Column.of(c["consensus"], c["reads"], bit) for c in columns]
+    found, free = [], 0
+    for start, own in enumerate(held[:-1]):
+        if start < free or not own.starts:
+            continue
+        took, without, having = [start], own.gaps, own.bases
+        for k in _candidates(held, start):
+            here = held[k].bases & (own.gaps | own.bases)
+            if not held[k].covered or here & having or not here & without:
+                break
+            without, having = without & ~here, having | here
+            if held[k].bases.bit_count() >= LEAST_GAPS:
+                took.append(k)
         if len(took) > 1:
             found.append(took)
-            start["consensus"] = calls[at]
-            for k in took[1:]:
-                columns[k]["consensus"] = "*"
-            at = took[-1]
-        at += 1
+            free = took[-1] + 1
+            for k in took:
+                held[k].consensus = columns[k]["consensus"] = "*" if k > start else own.call
     return found
 
 
