@@ -24,6 +24,8 @@ STEP = 2 << 20
 #: The share of distinct k-mers at which each cutoff is read.
 SHARES = {"low": 0.90, "extend": 0.99, "threshold": 0.995, "high": 0.998}
 SPAN = 5
+#: Distinct words over the lowest cutoff that are sent to every task (16 bytes each); with more, words are joined.
+SENT = 1 << 22
 
 _EITHER = np.full(256, 4, np.uint8)
 _UPPER = np.full(256, 4, np.uint8)
@@ -200,13 +202,84 @@ def mask_intervals(means: DataFrame, k: int, extend: int, threshold: int, span:
     return islands.where("at is not null").select("read_id", start.cast("long").alias("start"), (F.col("at") + (k + span - 1)).cast("long").alias("end"))
 
 
+class Scores:
+    """Scores of words as sorted arrays: only the words over the lowest cutoff are held, all others score alike."""
+
+    def __init__(self, keys: np.ndarray, cnt: np.ndarray, cuts: dict):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], np.minimum(cnt, cuts["high"])[order]
+        self.rest, self.cuts = cuts["low"] // 2, cuts
+
+    def means(self, column: pa.Array, k: int, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(read, j, mean) as window_means gives them, for a column of reads."""
+        read, place, code, back = codes(column, k)
+        score = np.full(len(code), self.rest, np.int64)
+        if len(self.keys):
+            least = np.minimum(code, back)
+            at = np.minimum(np.searchsorted(self.keys, least), len(self.keys) - 1)
+            held = self.keys[at] == least
+            score[held] = self.values[at[held]]
+        total = np.concatenate([[0], np.cumsum(score)])
+        at = np.flatnonzero(read[:-span] == read[span:])  # a further word follows the window
+        return read[at], place[at], (total[at + span] - total[at]) // span
+
+    def spans(self, column: pa.Array, k: int, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(read, start, end) as mask_intervals gives them."""
+        read, j, mean = self.means(column, k, span)
+        if not len(read):
+            return read, j, j
+        hit = mean > self.cuts["threshold"]
+        first = np.flatnonzero(np.concatenate([[True], (read[1:] != read[:-1]) | hit[:-1]]))
+        last = np.append(first[1:], len(read)) - 1
+        none = np.iinfo(np.int64).max
+        between = np.minimum.reduceat(np.where(hit, none, mean), first)
+        first, last, between = (x[hit[last]] for x in (first, last, between))
+        return read[last], np.where(between > self.cuts["extend"], j[first], j[last]), j[last] + (k + span - 1)
+
+
+def _sent(counts: DataFrame, cuts: dict):
+    """The scores as a broadcast, or None if they are too many."""
+    over = counts.where(F.col("cnt") > cuts["low"])
+    if over.limit(SENT + 1).count() > SENT:
+        return None
+    held = over.select("code", "cnt").toArrow()  # SENT rows at most
+    return counts.sparkSession.sparkContext.broadcast(Scores(held.column("code").to_numpy(), held.column("cnt").to_numpy(), cuts))
+
+
+def means(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:
+    """window_means of counted words: in one pass over whole reads where the words that matter are few enough to send."""
+    sent = _sent(counts, cuts)
+    if sent is None:
+        return window_means(reads, scored(counts, cuts), k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _steps(batches):
+            read, j, mean = sent.value.means(part.column("seq"), k)
+            yield pa.RecordBatch.from_arrays([part.column("read_id").take(pa.array(read)), pa.array(j), pa.array(mean)], ["read_id", "j", "mean"])
+
+    return _dealt(reads, k, ["read_id"]).mapInArrow(run, "read_id string, j long, mean long")
+
+
+def intervals(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:
+    """mask_intervals of counted words, in one pass over whole reads where that can be."""
+    sent = _sent(counts, cuts)
+    if sent is None:
+        return mask_intervals(window_means(reads, scored(counts, cuts), k), k, cuts["extend"], cuts["threshold"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _steps(batches):
+            read, start, end = sent.value.spans(part.column("seq"), k)
+            yield pa.RecordBatch.from_arrays([part.column("read_id").take(pa.array(read)), pa.array(start), pa.array(end)], ["read_id", "start", "end"])
+
+    return _dealt(reads, k, ["read_id"]).mapInArrow(run, "read_id string, start long, end long")
+
+
 def masked(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:
     """reads with masked bases in lower case.
 
     Reads shorter than k, and those in which a k-mer occurs at least cuts['extend'] times, are masked whole.
     """
-    means = window_means(reads, scored(counts, cuts), k)
-    spans = mask_intervals(means, k, cuts["extend"], cuts["threshold"]).groupBy("read_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = intervals(reads, counts, cuts, k).groupBy("read_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     whole = repeats_within(reads, k).where(F.col("most") >= cuts["extend"]).select("read_id", F.lit(True).alias("whole"))
 
     @F.pandas_udf("string")

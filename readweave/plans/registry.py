@@ -132,22 +132,32 @@ def repeats_within_reads(spark, sf_dir):
 @query(f"WITH {_MEANS} SELECT read_id, j, mean FROM means")
 def window_means(spark, sf_dir):
     once, k, counts, cuts = _counted(spark, sf_dir)
-    return kmers.window_means(once, kmers.scored(counts, cuts), k)
+    return kmers.means(once, counts, cuts, k)
 
 
 @query(f'WITH {_SPANS} SELECT read_id, "start", "end" FROM spans')
 def mask_intervals(spark, sf_dir):
     once, k, counts, cuts = _counted(spark, sf_dir)
-    return kmers.mask_intervals(kmers.window_means(once, kmers.scored(counts, cuts), k), k, cuts["extend"], cuts["threshold"])
+    return kmers.intervals(once, counts, cuts, k)
 
 
-@query()
+#: Bases one by one, in lower case inside any span; reads of a very frequent word, or shorter than one, are so altogether.
+_MASKED = f"""{_SPANS}, letters AS (SELECT read_id, unnest(range(0, length(seq))) AS p, unnest(string_split(seq, '')) AS base FROM once WHERE length(seq) > 0),
+  inside AS (SELECT DISTINCT read_id, unnest(range("start", "end")) AS p FROM spans),
+  often AS (SELECT DISTINCT read_id FROM (SELECT read_id, least(word, {_RC.format('word')}) AS kmer, sum(CASE WHEN word = {_RC.format('word')} THEN 2 ELSE 1 END) AS n FROM words GROUP BY ALL), cuts WHERE n >= extend),
+  rendered AS (SELECT read_id, string_agg(CASE WHEN inside.p IS NULL THEN base ELSE lower(base) END, '' ORDER BY letters.p) AS seq FROM letters LEFT JOIN inside USING (read_id, p) GROUP BY read_id),
+  masked AS (SELECT once.read_id, CASE WHEN often.read_id IS NOT NULL OR length(once.seq) < k THEN lower(once.seq) ELSE rendered.seq END AS seq FROM once CROSS JOIN size LEFT JOIN rendered USING (read_id) LEFT JOIN often USING (read_id))"""
+_FILTERED = f"""{_MASKED}, repaired AS (SELECT read_id, list_aggregate(list_transform(regexp_extract_all(seq, '[a-z]+|[^a-z]+'), lambda x: CASE WHEN length(x) < 40 THEN upper(x) ELSE x END), 'string_agg', '') AS seq FROM masked),
+  measured AS (SELECT read_id, coalesce(length(seq), 0) AS n_bases, coalesce(length(regexp_replace(seq, '[a-z]', '', 'g')), 0) AS n_unmasked FROM repaired)"""
+
+
+@query(f"WITH {_MASKED} SELECT read_id, seq FROM masked")
 def masked_reads(spark, sf_dir):
     once, k, counts, cuts = _counted(spark, sf_dir)
     return kmers.masked(once, counts, cuts, k).select("read_id", "seq")
 
 
-@query()
+@query(f"WITH {_FILTERED} SELECT read_id, CASE WHEN n_bases < 100 THEN 'short' WHEN n_unmasked < 100 THEN 'repeat' ELSE 'kept' END AS verdict, CAST(n_bases AS INTEGER) AS n_bases, CAST(n_unmasked AS INTEGER) AS n_unmasked FROM measured")
 def update_filter(spark, sf_dir):
     """Verdict on every masked read: kept, repeat or short."""
     once, k, counts, cuts = _counted(spark, sf_dir)
@@ -181,11 +191,13 @@ _SEEDS = f"""{_DEDUP}, spots AS (SELECT read_id, run_seq, seq, unnest(range(0, l
   words AS (SELECT read_id, run_seq, i, substr(seq, i + 1, 13) AS word FROM spots),
   new_words AS (SELECT * FROM words WHERE run_seq = (SELECT max(run_seq) FROM once)),
   old_words AS (SELECT * FROM words WHERE run_seq < (SELECT max(run_seq) FROM once)),
+  turned AS (SELECT read_id, {_RC.format('seq')} AS seq, unnest(range(0, length(seq) - 13 + 1)) AS i FROM once WHERE length(seq) >= 13 AND run_seq < (SELECT max(run_seq) FROM once)),
+  both_words AS (SELECT read_id, i, word, '+' AS strand FROM old_words UNION ALL SELECT read_id, i, substr(seq, i + 1, 13), '-' FROM turned),
   old_counts AS (SELECT word, count(*) AS n FROM old_words GROUP BY word),
   word_hist AS (SELECT n, count(*) AS m FROM old_counts GROUP BY n), word_run AS (SELECT n, sum(m) OVER (ORDER BY n) AS upto FROM word_hist),
   most AS (SELECT min(n) AS most FROM word_run, (SELECT sum(m) AS u FROM word_hist) WHERE upto > floor(CAST(0.90 AS DOUBLE) * u)),
   usable AS (SELECT word FROM old_counts, most WHERE n <= most),
-  hits AS (SELECT DISTINCT a.read_id AS name1, b.read_id AS name2, a.i - b.i AS diagonal, a.i AS p1 FROM new_words a JOIN usable USING (word) JOIN old_words b USING (word))"""
+  hits AS (SELECT DISTINCT a.read_id AS name1, b.read_id AS name2, b.strand, a.i - b.i AS diagonal, a.i AS p1 FROM new_words a JOIN usable USING (word) JOIN both_words b USING (word))"""
 
 
 def _newest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -196,21 +208,20 @@ def _newest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return both.where("run_seq = last").drop("last"), both.where("run_seq < last").drop("last")
 
 
-@query(f"WITH {_SEEDS} SELECT name1, name2, count(DISTINCT diagonal) AS n_diagonals, count(*) AS n_hits FROM hits GROUP BY name1, name2")
+@query(f"WITH {_SEEDS} SELECT name1, name2, strand, count(DISTINCT diagonal) AS n_diagonals, count(*) AS n_hits FROM hits GROUP BY name1, name2, strand")
 def seed_pairs(spark, sf_dir):
-    """Pairs of the last run's reads with older ones that share usable words, on the forward strand."""
+    """Pairs of the last run's reads with older ones that share usable words, on either strand."""
     new, old = _newest(spark, sf_dir)
-    hits = overlap.seed_hits(new, old, 13, 0.90, strands=False).distinct()
-    return hits.groupBy("name1", "name2").agg(F.count_distinct("diagonal").alias("n_diagonals"), F.count(F.lit(1)).alias("n_hits"))
+    hits = overlap.seed_hits(new, old, 13, 0.90).distinct()
+    return hits.groupBy("name1", "name2", "strand").agg(F.count_distinct("diagonal").alias("n_diagonals"), F.count(F.lit(1)).alias("n_hits"))
 
 
-@query(f"""WITH {_SEEDS}, grouped AS (SELECT *, p1 - row_number() OVER (PARTITION BY name1, name2, diagonal ORDER BY p1) AS island FROM hits)
-  SELECT name1, name2, diagonal, min(p1) AS start1, CAST(count(*) + 12 AS INTEGER) AS length FROM grouped GROUP BY name1, name2, diagonal, island HAVING count(*) + 12 >= 40""")
+@query(f"""WITH {_SEEDS}, grouped AS (SELECT *, p1 - row_number() OVER (PARTITION BY name1, name2, strand, diagonal ORDER BY p1) AS island FROM hits)
+  SELECT name1, name2, strand, diagonal, min(p1) AS start1, CAST(count(*) + 12 AS INTEGER) AS length FROM grouped GROUP BY name1, name2, strand, diagonal, island HAVING count(*) + 12 >= 40""")
 def exact_runs(spark, sf_dir):
-    """Exact runs of at least 40 bases of usable words, on the forward strand."""
+    """Exact runs of at least 40 bases of usable words, on either strand."""
     new, old = _newest(spark, sf_dir)
-    runs = overlap.exact_runs(overlap.seed_hits(new, old, 13, 0.90, strands=False), 13)
-    return runs.where(F.col("length") >= 40).drop("strand")
+    return overlap.exact_runs(overlap.seed_hits(new, old, 13, 0.90), 13).where(F.col("length") >= 40)
 
 
 @query()
@@ -291,6 +302,12 @@ def components(spark, sf_dir):
     return graph.connected_components(V.edges(spark, sf_dir))
 
 
+@query(f"WITH RECURSIVE {V.DENSE}, {V.WALKED} SELECT node, component FROM labels")
+def dense_components(spark, sf_dir):
+    """Components of a graph that hangs together almost whole."""
+    return graph.connected_components(V.dense_edges(spark, sf_dir))
+
+
 @query(f"WITH RECURSIVE {V.EDGES}, {V.COMPONENTS} SELECT component, count(*) AS n_nodes FROM labels GROUP BY component")
 def component_sizes(spark, sf_dir):
     return graph.component_sizes(graph.connected_components(V.edges(spark, sf_dir)))
@@ -315,12 +332,16 @@ def over_degree(spark, sf_dir):
     return graph.over_degree(V.edges(spark, sf_dir), 2)
 
 
+@query(f"WITH {V.DENSE}, ends AS (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) SELECT id, count(*) AS degree FROM ends GROUP BY id HAVING count(*) > 15")
+def dense_over_degree(spark, sf_dir):
+    return graph.over_degree(V.dense_edges(spark, sf_dir), 15)
+
+
 @query()
 def cull_disjoint(spark, sf_dir):
-    edges = V.edges(spark, sf_dir)
-    w = Window.partitionBy("src").orderBy("dst")
-    rows = edges.select(F.col("src").alias("cluster"), F.expr("cast(substring(src, 2) as long)").alias("ord"), F.col("dst").alias("member"), F.row_number().over(w).alias("place"))
-    return culling.disjoint(rows, 2)
+    """Orders as clusters of their parts, in order of their keys; one component holds them all."""
+    items = V.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("cluster"), F.col("l_partkey").alias("member")).agg(F.min("l_linenumber").alias("place"))
+    return culling.disjoint(items.withColumn("ord", F.col("cluster")))
 
 
 @query()

@@ -76,14 +76,26 @@ BLOCKS = """blocks AS (SELECT 'p' || l_partkey AS name1, CAST(floor(l_quantity)
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse graph: an order's customer and its first part, by name, where the order is a small one."""
+    """Sparse graph: every order and its customer, by name."""
+    name = lambda c, letter: F.concat(F.lit(letter), F.col(c).cast("string"))
+    return table(spark, sf_dir, "orders").select(name("o_custkey", "c").alias("src"), name("o_orderkey", "o").alias("dst")).distinct()
+
+
+EDGES = "edges AS (SELECT DISTINCT 'c' || o_custkey AS src, 'o' || o_orderkey AS dst FROM orders)"
+
+
+def dense_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense graph: every order's customer and each of its parts, by name."""
     orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    first = items.where("l_linenumber = 1 and l_quantity <= 20")
-    return orders.join(first, orders.o_orderkey == first.l_orderkey).where("o_orderpriority = '1-URGENT'").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")).distinct()
+    return orders.join(items, orders.o_orderkey == items.l_orderkey).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")).distinct()
+
 
+DENSE = "edges AS (SELECT DISTINCT 'c' || o_custkey AS src, 'p' || l_partkey AS dst FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"
 
-EDGES = """edges AS (SELECT DISTINCT 'c' || o_custkey AS src, 'p' || l_partkey AS dst FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-  WHERE l_linenumber = 1 AND l_quantity <= 20 AND o_orderpriority = '1-URGENT')"""
+#: Least names walk along the edges until none changes; one row for each node is kept.
+WALKED = """both_ways AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
+  labels(node, component) USING KEY (node) AS (SELECT DISTINCT a, a FROM both_ways UNION
+    SELECT e.b, min(l.component) FROM labels l JOIN both_ways e ON l.node = e.a JOIN recurring.labels r ON r.node = e.b WHERE l.component < r.component GROUP BY e.b)"""
 
 COMPONENTS = """both_ways AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
   reach(node, root) AS (SELECT a, a FROM both_ways UNION SELECT b, root FROM reach JOIN both_ways ON node = a),

@@ -1,6 +1,7 @@
 """Contracts of the operators on hand-computed inputs."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -284,6 +285,75 @@ def test_gap_alternation():
     assert snps.alternations([plain("G"), column("AAA*", "A"), column("***C", "*"), plain("T")]) == []
 
 
+def test_both_ways_of_masking_agree(spark, monkeypatch):
+    """Scores sent to the tasks, and words joined to their scores, give the same means and spans."""
+    rng = random.Random(8)
+    motif = "".join(rng.choice("ACGT") for _ in range(40))
+    made = [(f"r{k}", "".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 90))) + (motif + "N" * (k % 2) + motif if k % 3 else "") + "".join(rng.choice("ACGTN") for _ in range(rng.randrange(0, 60)))) for k in range(60)]
+    reads = spark.createDataFrame(made, "read_id string, seq string").repartition(3)
+    counts = kmers.code_counts(reads, 7).cache()
+    cuts = {"low": 2, "extend": 3, "threshold": 5, "high": 30}
+    both = []
+    for most in (1 << 22, 0):
+        monkeypatch.setattr(kmers, "SENT", most)
+        both.append((rows(kmers.means(reads, counts, cuts, 7)), rows(kmers.intervals(reads, counts, cuts, 7)), rows(kmers.masked(reads, counts, cuts, 7))))
+    assert both[0] == both[1] and len(both[0][1]) > 5
+
+
+def plain_alternations(columns):
+    """The same by strings and sets: stretches from a pattern, and each prefix of the candidates judged afresh."""
+    columns, found, free = [dict(c) for c in columns], [], 0
+    for s in range(len(columns) - 1):
+        calls = "".join(next((x for x in c["reads"].values() if x not in "*N"), "*") for c in columns)
+        signs = [c["reads"] for c in columns]
+        covered = [len(x) >= 4 and list(x.values()).count("*") >= 2 for x in signs]
+        bases = [{r for r, x in own.items() if x != "*"} for own in signs]
+        if s < free or not covered[s] or len(bases[s]) < 2 or calls[s] == "*":
+            continue
+        own = re.match(r"(.)\1*", calls[s:]).end()
+        candidates, met = [], calls[s]
+        if all(columns[k]["consensus"] == "*" for k in range(s + 1, s + own)):
+            for m in re.finditer(r"(.)\1*", calls[s + own :]):
+                k, long = s + own + m.end() - 1, len(m[0]) > 1
+                if m[1] in met:
+                    break
+                if long or (m[1] != "*" and columns[k]["consensus"] != "N"):
+                    candidates.append(k)
+                    met += m[1]
+                if long:
+                    break
+        ok = []
+        for k in candidates:
+            before = bases[s].union(*(bases[j] for j in ok)) & set(signs[s])
+            here = bases[k] & set(signs[s])
+            if not covered[k] or not here or here & before or not here - before:
+                break
+            ok.append(k)
+        took = [s] + [k for k in ok if len(bases[k]) >= 2]
+        if len(took) > 1:
+            found.append(took)
+            free = took[-1] + 1
+            for k in took:
+                columns[k]["consensus"] = "*" if k > s else calls[s]
+    return found
+
+
+def test_gap_alternation_equals_the_plain_model():
+    rng = random.Random(5)
+    hits = 0
+    for _ in range(20000):
+        reads = [f"r{k}" for k in range(rng.randrange(3, 8))]
+        columns = []
+        for _ in range(rng.randrange(2, 9)):
+            letter = rng.choice("ACGT")
+            own = {r: rng.choice([letter, letter, "*", "*", rng.choice("ACGT*N")]) for r in reads if rng.random() < 0.95} or {"r0": letter}
+            columns.append({"consensus": rng.choice(["*", "*", letter, letter, "N"]), "reads": own})
+        want = plain_alternations(columns)
+        assert snps.alternations(columns) == want
+        hits += bool(want)
+    assert hits > 500
+
+
 def test_snp_rules(spark):
     seq = "ACGT" * 30 + "CAAAAAG" + "ACGT" * 30
     names = ["low", "side", "far", "over", "homo", "single", "three"]
