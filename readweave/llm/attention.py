@@ -105,8 +105,8 @@ def _raised(values: np.ndarray, most: float = 100.0) -> tuple[np.ndarray, np.nda
     return values, values.reshape(-1, values.shape[-1]) @ _ONES[: values.shape[-1]].astype(values.dtype, copy=False)
 
 
-def forward(p: dict[str, np.ndarray], tables: Tables, before: np.ndarray, target: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
-    """Log-probability (natural) of each target of a batch of windows, that of any word's opening, and what the gradient needs.
+def forward(p: dict[str, np.ndarray], tables: Tables, before: np.ndarray, target: np.ndarray, opening: np.ndarray, learn: bool = True) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Log-probability (natural) of each target of a batch of windows, that of any word's opening, and what the gradient needs if learn.
 
     before (n x WINDOW): the inputs; opening (n): how many of the window's first positions lie before the text.
     target (n x STEP): what comes next from position CONTEXT on. The layer is the only one, so the positions
@@ -122,19 +122,23 @@ def forward(p: dict[str, np.ndarray], tables: Tables, before: np.ndarray, target
     if len(some):
         a[some] += np.where(_SPAN < opening[some, None], -1e9, 0).astype(np.float32)[:, None, :]
     a, total = _raised(a, longest["embed"] * float(np.sqrt((asking**2).sum(axis=1).max())) + float(p["far"].max()))
-    a /= total.reshape(n, STEP, 1)
+    if learn:
+        a /= total.reshape(n, STEP, 1)
     seen = (a @ x).reshape(-1, WIDTH)  # a mean of embeddings, so no longer than the longest
+    if not learn:
+        seen /= total[:, None]
     h = seen + np.take(p["near"], before[:, CONTEXT - 1 : -1], axis=0).reshape(-1, WIDTH)
     longest["h"] = longest["embed"] + longest["near"]
     b, t = before[:, CONTEXT:].reshape(-1), target.reshape(-1)
-    kind = t // GROUP
+    kind = (t // GROUP).astype(np.uint8)
     g = np.take(tables.group, b, axis=0)
     g += h @ p["kind"].T
     g, norm = _raised(g, longest["h"] * longest["kind"])
-    logs = np.log(np.take_along_axis(g, kind[:, None], 1)[:, 0] / norm)
+    every = np.arange(len(t))
+    chance = g[every, kind] / norm
     opens = np.log((g[:, : tables.openers] @ _ONES[: tables.openers].astype(g.dtype, copy=False)) / norm)
-    order = np.argsort(kind.astype(np.uint8), kind="stable")
-    edge = np.searchsorted(kind[order], np.arange(GROUPS + 1))
+    order = np.argsort(kind, kind="stable")
+    edge = np.concatenate([[0], np.cumsum(np.bincount(kind, minlength=GROUPS))])
     sorted_h, sorted_b, rest = np.take(h, order, axis=0), b[order], (t % GROUP)[order]
     inner, found = [], np.empty(len(t), h.dtype)
     for k in range(GROUPS):
@@ -145,10 +149,10 @@ def forward(p: dict[str, np.ndarray], tables: Tables, before: np.ndarray, target
         w = np.take(tables.inside[k], sorted_b[lo:hi], axis=0)
         w += sorted_h[lo:hi] @ p["out"][k * GROUP : (k + 1) * GROUP].T
         w, sums = _raised(w, longest["h"] * longest["out"])
-        w /= sums[:, None]
-        found[lo:hi] = w[np.arange(hi - lo), rest[lo:hi]]
-        inner.append(w)
-    logs[order] += np.log(found)
+        found[lo:hi] = w[every[: hi - lo], rest[lo:hi]] / sums
+        inner.append((w, sums) if learn else None)
+    chance[order] *= found
+    logs = np.log(chance)
     held = {"x": x, "q": q, "a": a, "seen": seen, "h": h, "g": g, "norm": norm, "kind": kind, "order": order, "edge": edge, "sorted_h": sorted_h, "rest": rest, "inner": inner, "before": before}
     return logs, opens, held
 
@@ -177,7 +181,8 @@ def gradient(p: dict[str, np.ndarray], s: dict, weight: np.ndarray) -> dict[str,
         if inner is None:
             continue
         lo, hi = s["edge"][k], s["edge"][k + 1]
-        inner *= w[lo:hi, None]
+        inner, sums = inner
+        inner *= (w[lo:hi] / sums)[:, None]
         inner[every[: hi - lo], s["rest"][lo:hi]] -= w[lo:hi]
         own = slice(k * GROUP, (k + 1) * GROUP)
         g["out"][own] = inner.T @ s["sorted_h"][lo:hi]
@@ -245,7 +250,7 @@ def score(p: dict[str, np.ndarray], tables: Tables, slots: np.ndarray, first: np
     """Natural log-probabilities of every position's slot and of a word's opening there; each position in one window."""
     logs, opens = np.zeros(len(slots), np.float32), np.zeros(len(slots), np.float32)
     for place, real, opening, before, target in batches(slots, first, *windows(first), end_slot, SCORED):
-        log, log_open, _ = forward(p, tables, before, target, opening)
+        log, log_open, _ = forward(p, tables, before, target, opening, False)
         logs[place[real]], opens[place[real]] = log[real.reshape(-1)], log_open[real.reshape(-1)]
     return logs, opens
 

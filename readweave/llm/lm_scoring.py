@@ -16,8 +16,8 @@ its own training texts, each text in one of the rounds, averaged after each roun
 from __future__ import annotations
 
 import base64
+import re
 import uuid
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from readweave.llm import attention as A
 from readweave.llm import text as T
+from readweave.llm.text import pack, unpack
 from readweave.session import materialize, shuffle_partitions
 
 BLOCK_TEXT = 8 << 20
@@ -37,16 +38,15 @@ ROUNDS = 2
 END = 50256
 IDS = 50257
 #: Weights of the lexicon to choose from.
-SHARES = np.array([0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.8])
+SHARES = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5])
 #: Blocks that add to a bucket of words each time, so that a bucket's size stays bounded as blocks grow in number.
 BUCKET_BLOCKS = 8
 #: Parameters that are added up in one task.
 ADDED = 32
-#: Words that a worker remembers the subwords of, and characters of a word that are cut up at once.
-REMEMBERED = 200_000
+#: Characters of a word that are cut up at once.
 LONG_WORD = 512
-#: Marks that a word is parted from at its end, for fewer distinct parts.
-TAIL = ".,!?;:|*&$%#"
+#: Separators that Python, though not the vocabulary's pattern, takes for white space or the other way round.
+_PARTED = re.compile("[\x1c-\x1f\x85]")
 
 
 def default_vocabulary() -> str:
@@ -65,6 +65,7 @@ def _encoder(path: str):
     return tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(2)
 def opening_ids(path: str) -> np.ndarray:
     """Which ids open a word: those whose bytes begin with a space."""
     out = np.zeros(IDS, dtype=bool)
@@ -74,46 +75,31 @@ def opening_ids(path: str) -> np.ndarray:
     return out
 
 
-_memory: dict[str, dict[str, bytes]] = {}
-
-
-def subwords(words: list[str], path: str) -> list[bytes]:
-    """Subword ids of each word, a space before it, as native 16-bit numbers."""
-    known, encoder, out = _memory.setdefault(path, {}), _encoder(path), []
-
-    def made(part: str) -> bytes:
-        got = known.get(part)
-        if got is None:
-            ids = encoder.encode_ordinary(part[:LONG_WORD])
-            for k in range(LONG_WORD, len(part), LONG_WORD):
-                ids += encoder.encode_ordinary(part[k : k + LONG_WORD])
-            got = array("H", ids).tobytes()
-            if len(known) < REMEMBERED:
-                known[part] = got
-        return got
-
-    for w in words:
-        # the vocabulary's pattern parts letters and digits from marks, so a tail of marks is a piece of its own
-        stem = w.rstrip(TAIL)
-        if stem and len(stem) < len(w) <= LONG_WORD and stem[-1].isalnum():
-            out.append(made(" " + stem) + made(w[len(stem) :]))
-        else:
-            out.append(made(" " + w))
-    return out
+def subwords(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of all words in a row, a space before each, and how many each word has.
 
-
-def pack(values: np.ndarray) -> bytes:
-    """An array's bytes, equal places together, compressed."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
-
-
-def unpack(held: bytes, kind: type) -> np.ndarray:
-    size, width = int.from_bytes(held[:8], "little"), np.dtype(kind).itemsize
-    if not size:
-        return np.zeros(0, kind)
-    raw = np.frombuffer(pa.decompress(held[8:], decompressed_size=size, codec="zstd"), np.uint8)
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).reshape(-1)
+    The vocabulary's pattern never joins what a space parts, so plain words are encoded in one go and told apart
+    by the ids that open a word. Words that hold other white space, or are very long, are encoded by themselves,
+    long ones LONG_WORD characters at a time.
+    """
+    encoder, size = _encoder(path), np.zeros(len(words), np.int64)
+    plain = np.fromiter((len(w) <= LONG_WORD and (w.isascii() or len(w.split()) == 1) and not _PARTED.search(w) for w in words), bool, len(words))
+    ids = encoder.encode_to_numpy("".join(" " + w for w, ok in zip(words, plain, strict=True) if ok)).astype(np.uint16)
+    begin = np.flatnonzero(opening_ids(path)[ids])
+    if len(begin) != plain.sum():
+        raise ValueError("the vocabulary's pattern does not part words at spaces")
+    size[plain] = np.diff(np.append(begin, len(ids)))
+    if plain.all():
+        return ids, size
+    parts = np.split(ids, begin[1:]) if len(begin) else []
+    out: list = [None] * len(words)
+    for k, part in zip(np.flatnonzero(plain).tolist(), parts, strict=True):
+        out[k] = part
+    for k in np.flatnonzero(~plain).tolist():
+        w = " " + words[k]
+        out[k] = np.array([i for a in range(0, len(w), LONG_WORD) for i in encoder.encode_ordinary(w[a : a + LONG_WORD])], np.uint16)
+        size[k] = len(out[k])
+    return np.concatenate(out), size
 
 
 BLOCK = "block long, doc_id array<long>, held binary, first binary, codes binary, words binary, sizes binary, train binary, subs binary, sub_sizes binary, sub_counts binary, train_tokens long"
@@ -139,9 +125,7 @@ def blocks_of(docs: DataFrame, path: str) -> DataFrame:
             learnt = np.repeat(~held, np.diff(first))
             train = np.bincount(codes[learnt], minlength=len(dictionary)).astype(np.int32)
             kept, at = T.buffers(dictionary)
-            subs = subwords([w[:-1] for w in dictionary.to_pylist()], path)
-            size = np.fromiter(map(len, subs), np.int64, len(subs)) // 2
-            flat_subs = np.frombuffer(b"".join(subs), np.uint16)
+            flat_subs, size = subwords([w[:-1] for w in dictionary.to_pylist()], path)
             counts = np.bincount(flat_subs, np.repeat(train, size), IDS).astype(np.int64)
             counts[END] += int((~held).sum())
             row = {
@@ -273,11 +257,17 @@ class Lexicon:
         self.counts = np.append(unpack(block.row["counts"], np.int64), ends)
         self.n = n
 
-    def mixed(self, attended: np.ndarray, codes: np.ndarray, share: float, left_out: int = 0) -> np.ndarray:
-        """Natural log-probability of each word, left_out: as if so many of its own occurrences had not been counted."""
+    def mixed(self, attended: np.ndarray, codes: np.ndarray, shares: list[float], left_out: int = 0) -> list[np.ndarray]:
+        """Natural log-probability of each word under each share; left_out: as if so many of its own occurrences had not been counted."""
         a = attended + self.cost[codes]
-        told = np.maximum(self.counts[codes] - left_out, 0) / max(self.n - left_out, 1)
-        return np.logaddexp(a + np.log1p(-share), np.log(np.maximum(share * told, 1e-300)))
+        told, by_model = np.maximum(self.counts[codes] - left_out, 0) / max(self.n - left_out, 1), np.exp(a)
+        out = []
+        for x in shares:
+            both = (1 - x) * by_model + x * told
+            log = np.log(np.maximum(both, 1e-300))
+            # a word too long for a float
+            out.append(log if both.min(initial=1) > 1e-300 else np.where(both > 1e-300, log, a + np.log1p(-x)))
+        return out
 
 
 def _trained(texts: DataFrame, token: str, sent) -> tuple[dict[str, np.ndarray], float]:
@@ -315,7 +305,7 @@ def _trained(texts: DataFrame, token: str, sent) -> tuple[dict[str, np.ndarray],
                     own, logs, opens = A.train(own, tables, slots, first, turn, block.end_slot, state)
                     if turn == ROUNDS - 1:
                         attended = A.words(logs, opens, starts, first)
-                        likely += [lexicon.mixed(attended, codes, x, 1).sum() for x in SHARES]
+                        likely += [x.sum() for x in lexicon.mixed(attended, codes, SHARES.tolist(), 1)]
             if state:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([(flat(own).astype(np.float64) * state["step"]).tobytes()], pa.binary()), pa.array([likely.tobytes()], pa.binary()), pa.array([state["step"]])], ["part", "sums", "told", "steps"])
 
@@ -422,7 +412,7 @@ def score(docs: DataFrame, held_out: Column, path: str | None = None) -> DataFra
             for docs in block.chunks(np.arange(len(size))):
                 slots, first, starts, codes = block.sequence(docs)
                 attended = A.words(*A.score(p, tables, slots, first, block.end_slot), starts, first)
-                own[docs] = np.bincount(np.searchsorted(first, starts, "right") - 1, lexicon.mixed(attended, codes, share), len(docs)) / np.log(10)
+                own[docs] = np.bincount(np.searchsorted(first, starts, "right") - 1, lexicon.mixed(attended, codes, [share])[0], len(docs)) / np.log(10)
             columns = [row["doc_id"], block.held, size + 1, known, np.full(len(size), n), base, own]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
 

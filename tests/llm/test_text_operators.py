@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from readweave.llm import attention, chat, decontaminate, fingerprints, licenses, lm_scoring, packing, quality, secrets, simhash, token_counts
+from readweave.llm.text import pack, unpack
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, spans string, n_words string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -116,13 +117,33 @@ def test_links_lose_nothing(monkeypatch, crowd):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, same.values()))
 
 
-def test_one_of_each_group_stays(spark, docs, texts):
-    groups = by_id(simhash.near_duplicates(docs))
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({groups[k].component_id for k in range(len(texts))})
-    twice = simhash.keep_one(docs.unionByName(docs))
-    assert sorted(r.doc_id for r in twice.collect() if r.doc_id is not None) == sorted({groups[k].component_id for k in range(len(texts))})
+def test_one_row_of_each_group_stays(spark, docs, texts, empty):
+    """Rows are told apart by id and text: a repeated id with another text stays, and columns with the operator's names too."""
+    rows = [(3, texts[0]), (7, texts[0]), (7, texts[5]), (7, texts[5]), (9, texts[5] + " x"), (None, texts[6]), (None, texts[6]), (2, ""), (4, None)]
+    made = spark.createDataFrame([(i, t, "mine", 5, 6) for i, t in rows], "doc_id long, text string, _row string, k long, set_id long")
+    kept = simhash.keep_one_similar(made)
+    assert kept.columns == made.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(False, 3, texts[0]), (False, 7, texts[5]), (True, 0, texts[6]), (False, 2, "")])
+    assert {tuple(r)[2:] for r in kept.collect()} == {("mine", 5, 6)}
+    assert simhash.keep_one_similar(empty).count() == 0
+    twice = simhash.keep_one_similar(docs.unionByName(docs)).collect()
+    assert len(twice) == simhash.keep_one_similar(docs).count() == len({r.text for r in twice})
+
+
+def test_partners_equal_brute_force():
+    """Which sets of a list have one near them, by size and fingerprint; long lists stay whole."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 12).astype(np.uint64)
+    lists = []
+    for m in (2, 2, 3, 40, simhash.WHOLE + 1):
+        n = np.sort(rng.integers(50, 120, m))
+        fp = base[rng.integers(0, 12, m)] ^ (np.uint64(1) << rng.integers(0, 63, m).astype(np.uint64))
+        lists.append((n, fp, n - rng.integers(0, 30, m)))
+    at = np.concatenate([[0], np.cumsum([len(n) for n, _, _ in lists])])
+    got = np.split(simhash._with_partner(at, *(np.concatenate(x) for x in zip(*lists, strict=True))), at[1:-1])
+    for (n, fp, after), some in zip(lists, got, strict=True):
+        near = [len(n) > simhash.WHOLE or any(i != j and min(n[i], n[j]) >= math.ceil(max(n[i], n[j]) * 0.8 - 1e-9) and int(fp[i] ^ fp[j]).bit_count() <= simhash.NEAR_BITS and min(after[i], after[j]) >= math.ceil((n[i] + n[j]) * 4 / 9 - 1e-9) for j in range(len(n))) for i in range(len(n))]
+        assert some.tolist() == near
 
 
 # Fingerprints
@@ -198,6 +219,7 @@ def test_passages(spark, docs, texts, empty):
     kept = decontaminate.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {k for k in got if not got[k].contaminated}
+    assert {(r.spans, r.n_words) for r in kept.collect() if r.doc_id is not None} == {("x", "y")}
     assert decontaminate.digest(decontaminate.find_passages(docs, bench.limit(0))).where("contaminated").count() == 0
     assert decontaminate.find_passages(empty, bench).count() == 0
 
@@ -313,6 +335,24 @@ def test_counts_equal_plain_viterbi(spark, docs, texts, empty):
         ws = WORD.findall(t or "")
         assert (got[k].n_words, got[k].n_tokens) == (len(ws), sum(n * count(w) for w, n in collections.Counter(ws).items()))
     assert token_counts.count_tokens(empty).count() == 0
+    rng = random.Random(7)
+    pieces = token_counts.zipf_pieces(token_counts.default_vocabulary())
+    long = ["".join(rng.choices("the of and river é 日本 \x00".split() + ["\x00"], k=k)) for k in (1, 40, 400, 9000)]
+    for step in (50, 1 << 15):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(token_counts, "LONG_STEP", step)
+            assert [token_counts.count_long(np.frombuffer(w.encode(), np.uint8), pieces) for w in long] == [count(w) for w in long]
+
+
+def test_a_megabyte_without_a_space_is_quick():
+    import time
+
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=1 << 20))
+    pieces = token_counts.zipf_pieces(token_counts.default_vocabulary())
+    began = time.process_time()
+    n = token_counts.count_all(np.frombuffer(text.encode(), np.uint8), np.array([0]), np.array([len(text)]), pieces)
+    assert len(text) / 4 < n[0] < len(text) and time.process_time() - began < 20
 
 
 # Packing
@@ -357,6 +397,17 @@ def test_units_encode_like_whole_texts():
         assert ids[at[k] : at[k + 1]].tolist() == [*tok.encode(t, add_special_tokens=False).ids, 0]
 
 
+def test_random_texts_encode_like_whole_texts():
+    """Letters, marks, combining signs and odd capitals in any order."""
+    rng = random.Random(6)
+    signs = "İıŞğÅéñßſΣσςЖ日本ﬁ½ª'`.,!?*#<|>$%-_ \t\n0129abcXYZ\u0301\u0307\u0327\u200d\u00a0\u2009" + "".join(map(chr, range(0xC0, 0x250, 7)))
+    odd = ["İ.", "İ\u0307", "aİb", *("".join(rng.choices(signs, k=rng.randrange(1, 14))) for _ in range(6000))]
+    ids, at = packing.encode(pa.array(odd), packing.default_tokenizer())
+    tok = packing.tokenizer(packing.default_tokenizer())
+    for k, t in enumerate(odd):
+        assert ids[at[k] : at[k + 1]].tolist() == [*tok.encode(t, add_special_tokens=False).ids, 0], t
+
+
 # Chat
 
 
@@ -372,6 +423,15 @@ def test_rotation(spark):
     assert [got[(1, "cy", 0)].text[a:b] for a, b in got[(1, "cy", 0)].mask] == ["<|im_end|>\n"] * 2
     assert got[(4, "b", 1)].mask == [] and got[(4, "a", 1)].text.endswith("much later<|im_end|>\n")
     assert chat.rotate(df.limit(0)).count() == 0
+    assert {r.cut for r in got.values()} == {0}
+
+
+def test_parts_stay_bounded(spark):
+    """Turns without a number, and many of one number, are cut too, and nothing is lost."""
+    rows = [(1, None, "ann", f"n{k:04}") for k in range(700)] + [(1, 7, "bob", f"t{k:04}") for k in range(300)] + [(1, 8, "ann", "end")]
+    got = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4), 256).where("perspective = 'ann'").orderBy("part", "cut").collect()
+    assert [(r.part, r.cut, r.n_turns) for r in got] == [(-1, 0, 256), (-1, 1, 256), (-1, 2, 188), (0, 0, 256), (0, 1, 45)]
+    assert re.findall(r"[nt]\d{4}|end(?=<)", "".join(r.text for r in got)) == [t for _, _, _, t in rows]
 
 
 # Quality
@@ -396,6 +456,34 @@ def test_quality_learns_and_covers_all_rows(spark, empty):
     assert quality.score(empty, model).count() == 0
 
 
+def test_labels_of_absent_documents_do_not_count(spark):
+    docs = spark.createDataFrame([(k, "the house of the river " * (k + 1)) for k in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(k, 1) for k in range(1000, 6000)] + [(None, 1)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert model.prior == 0.5 and sorted(model.labels) == [0] * 20 + [1] * 20
+
+
+def test_fit_equals_plain_decomposition(spark):
+    """Weights, projection and vectors against a full singular value decomposition of the same weighted counts."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices("a house of rivers, and 12 !! BIG marks; été".split(), k=rng.randrange(5, 60))) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = quality.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, quality int"))
+    counts = np.zeros((30, quality.TERMS))
+    for k, t in enumerate(texts):
+        raw = [int(quality.FOLD[b]) for b in t.encode()]
+        for a, b in zip(raw, raw[1:], strict=False):
+            counts[k, a * quality.CLASSES + b] += 1
+    idf = np.log(31 / (1 + (counts > 0).sum(axis=0))) + 1
+    assert model.weights == pytest.approx(idf, rel=1e-5)
+    x = quality.weighted(counts, quality.shares(pa.array(texts)), idf)
+    u, value, _ = np.linalg.svd(x, full_matrices=False)
+    kept = value**2 > 1e-6
+    plain = (u * value)[:, kept][:, : quality.DIMENSIONS]
+    plain /= np.linalg.norm(plain, axis=1, keepdims=True)
+    assert model.vectors @ model.vectors.T == pytest.approx(plain @ plain.T, abs=2e-3)
+
+
 def test_votes_equal_brute_force(spark):
     rng = np.random.default_rng(0)
     column = pa.array([" ".join(rng.choice(["ab", "cd.", "EF", "g1"], 20)) for _ in range(30)])
@@ -451,9 +539,9 @@ def test_lexicon_holds_every_word(spark):
     words = {r.block: r for r in blocks.collect()}
     for r in lm_scoring._with_counts(blocks, lm_scoring._word_counts(blocks, 4)).collect():
         known += r.known
-        kept, size = lm_scoring.unpack(words[r.block].words, np.uint8).tobytes(), np.cumsum(lm_scoring.unpack(words[r.block].sizes, np.int32))
+        kept, size = unpack(words[r.block].words, np.uint8).tobytes(), np.cumsum(unpack(words[r.block].sizes, np.int32))
         own = [kept[a : b - 1].decode() for a, b in zip([0, *size], size, strict=False)]
-        assert lm_scoring.unpack(r.counts, np.int64).tolist() == [counts[w] for w in own]
+        assert unpack(r.counts, np.int64).tolist() == [counts[w] for w in own]
         seen.update(own)
     assert known == len(counts) and seen == {w for _, t, _ in rows for w in t.split()}
 
@@ -509,6 +597,17 @@ def test_scores_equal_plain_loops():
             assert opens[t] == pytest.approx(math.log(sum(told[: tables.openers * attention.GROUP])), abs=2e-3)
 
 
+def test_subwords_are_those_of_each_word():
+    """Cut up together or one by one, odd separators and long words among them."""
+    path = lm_scoring.default_vocabulary()
+    encoder = lm_scoring._encoder(path)
+    words = ["plain", "it's", "a\u00a0b", "\u00a0", "x\u2003", "\x1cq", "日本語", "é.", "12ab", "...", "\u3000\u3000z", "q" * 700, "\x85", "\u200bw", "ñ"]
+    for some in (words, words[:2], []):
+        ids, size = lm_scoring.subwords(some, path)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])][: len(some)] == [[i for a in range(0, len(w) + 1, 512) for i in encoder.encode_ordinary((" " + w)[a : a + 512])] for w in some]
+    assert encoder.decode(ids.tolist()) == "" and lm_scoring.opening_ids(path)[lm_scoring.subwords(["a", "b"], path)[0]].all()
+
+
 def test_words_are_a_distribution():
     """The chances of a word's subwords, its end and the mixture with the lexicon, by hand."""
     logs, opens = np.log([0.2, 0.5, 0.3, 0.1, 0.4]), np.log([0.8, 0.25, 0.5, 0.6, 0.9])
@@ -516,11 +615,11 @@ def test_words_are_a_distribution():
     told = attention.words(logs, opens, np.array([0, 2, 4]), np.array([0, 5]))
     assert np.exp(told) == pytest.approx([0.2 / 0.8 * 0.5 * 0.5, 0.3 / 0.5 * 0.1 * 0.9, 0.4 / 0.9])
     block = lm_scoring.Block.__new__(lm_scoring.Block)
-    block.ids, block.size, block.row = np.array([3, 4, 5]), np.array([2, 1]), {"counts": lm_scoring.pack(np.array([6, 1]))}
+    block.ids, block.size, block.row = np.array([3, 4, 5]), np.array([2, 1]), {"counts": pack(np.array([6, 1]))}
     lexicon = lm_scoring.Lexicon(block, np.zeros(lm_scoring.IDS), 10, 3)
-    got = np.exp(lexicon.mixed(np.log([0.25, 0.5, 0.5]), np.array([0, 1, -1]), 0.2))
+    got = np.exp(lexicon.mixed(np.log([0.25, 0.5, 0.5]), np.array([0, 1, -1]), [0.2])[0])
     assert got == pytest.approx([0.8 * 0.25 + 0.2 * 0.6, 0.8 * 0.5 + 0.2 * 0.1, 0.8 * 0.5 + 0.2 * 0.3])
-    assert np.exp(lexicon.mixed(np.log([0.5]), np.array([1]), 0.2, 1)) == pytest.approx([0.4])
+    assert np.exp(lexicon.mixed(np.log([0.5]), np.array([1]), [0.2], 1)[0]) == pytest.approx([0.4])
 
 
 def test_windows_score_each_position_once_and_only_look_back():
