@@ -16,6 +16,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,9 @@ SEED = 42
 STAGE_WORDS = 5
 SIMILAR = 0.8
 CELLS = 1 << 20
+#: Stretches of the cells that are added up apart, and how many tasks' counts are added at a time.
+SPANS = 64
+ADDED = 64
 #: Bits in which fingerprints of so similar sets may differ. At a similarity of 0.8 each bit differs with a
 #: chance of 0.1515 (the angle of the sets' vectors over pi), 9.7 of 64 on average; more than 26 in 2 of 10^7 pairs.
 NEAR_BITS = 26
@@ -240,27 +244,6 @@ def _least_shared(n: np.ndarray) -> np.ndarray:
     return np.ceil(n * SIMILAR - 1e-9).astype(np.int64)
 
 
-def _frequent_cells(docs: DataFrame) -> np.ndarray:
-    """Which hash cells hold over twice as many shingles as the mean one.
-
-    Shingles of these cells count as frequent without being counted one by one, so that none gathers in a task more
-    than about 2 / CELLS of all shingles.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
-        for part in T.blocks(batches):
-            total += np.bincount((shingle_sets(part.column("text"))[0] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
-
-    out = np.zeros(CELLS, np.int64)
-    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    for batch in found.toArrow().to_batches():  # CELLS rows at most
-        out[batch.column("cell").to_numpy()] = batch.column("n").to_numpy()
-    return out > 2 * out.mean() + 16
-
-
 def _names(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A 64-bit name of each set: the sum of its mixed hashes, mixed with its size."""
     with np.errstate(over="ignore"):
@@ -269,15 +252,48 @@ def _names(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(k, doc_id, set_id, n, fp): the name, the size and the fingerprint of each row's shingle set."""
+    """(k, doc_id, set_id, n, fp): the name, the size and the fingerprint of each row's shingle set.
+
+    Rows with a span instead hold a task's counts of shingles in that span of the cells, packed, so that
+    the texts are read once for both.
+    """
+    names = ["k", "doc_id", "set_id", "n", "fp", "task", "span", "cells"]
+    kinds = [pa.int64()] * 7 + [pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
         for part in T.blocks(batches):
             hashes, at = shingle_sets(part.column("text"))
+            total += np.bincount((hashes % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
             columns = [_names(hashes, at).view(np.int64), np.diff(at), _majority(hashes, at).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([part.column("k"), part.column("doc_id"), *map(pa.array, columns)], ["k", "doc_id", "set_id", "n", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("k"), part.column("doc_id"), *map(pa.array, columns), *(pa.nulls(len(at) - 1, x) for x in kinds[5:])], names)
+        spans = [k for k, x in enumerate(np.split(total, SPANS)) if x.any()]
+        held = [pa.array([TaskContext.get().partitionId()] * len(spans), pa.int64()), pa.array(spans, pa.int64()), pa.array([pack(np.split(total, SPANS)[k]) for k in spans], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(spans), x) for x in kinds[:5]), *held], names)
+
+    return docs.select("k", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "k long, doc_id long, set_id long, n long, fp long, task long, span long, cells binary")
+
+
+def _frequent_cells(sets: DataFrame) -> np.ndarray:
+    """Which hash cells hold over twice as many shingles as the mean one.
+
+    Shingles of these cells count as frequent without being counted one by one, so that none gathers in a task more
+    than about 2 / CELLS of all shingles.
+    """
 
-    return docs.select("k", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "k long, doc_id long, set_id long, n long, fp long")
+    def add(held: pa.Table) -> pa.Table:
+        total = sum(unpack(x, np.int64) for x in held.column("cells").to_pylist())
+        return pa.table({c: held.column(c)[:1] for c in ("task", "span")} | {"cells": pa.array([pack(total)], pa.binary())})
+
+    found = sets.where("span is not null").select("task", "span", "cells")
+    for _ in range(3):  # each level adds up to ADDED rows at a time, so that ADDED^3 tasks leave one row a span
+        found = found.withColumn("task", F.floor(F.col("task") / ADDED).cast("long")).groupBy("span", "task").applyInArrow(add, "task long, span long, cells binary")
+    out = np.zeros((SPANS, CELLS // SPANS), np.int64)
+    for batch in found.toArrow().to_batches():  # SPANS rows for each ADDED^3 tasks
+        for span, cells in zip(batch.column("span").to_pylist(), batch.column("cells").to_pylist(), strict=True):
+            out[span] += unpack(cells, np.int64)
+    out = out.reshape(-1)
+    return out > 2 * out.mean() + 16
 
 
 def _edges(x: np.ndarray) -> np.ndarray:
@@ -290,14 +306,14 @@ def _parts(hashes: np.ndarray, n: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def _shared(docs: DataFrame) -> DataFrame:
+def _shared(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """(owner, sets, sizes, shingles, often): the shingles of every set that other sets have too, and in how many sets each occurs.
 
-    A shingle of a frequent cell counts as shared and most frequent. All others meet by range of hash, packed: those
+    frequent: cells of hashes. A shingle of such a cell counts as shared and most frequent. All others meet by range of hash, packed: those
     of a block in a range, and by each the set it belongs to. owner deals sets out.
     """
     n_parts = shuffle_partitions(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(_frequent_cells(docs))
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, seen = sent.value, set()
@@ -536,8 +552,9 @@ def similar_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Components are those of all pairs of sets of Jaccard similarity SIMILAR or more.
     """
-    sets = materialize(_sets(docs), "shingle-sets")
-    prefixes = materialize(_prefixes(_shared(docs), sets), "shingles")
+    counted = materialize(_sets(docs), "shingle-sets")
+    sets = counted.where("span is null").select("k", "doc_id", "set_id", "n", "fp")
+    prefixes = materialize(_prefixes(_shared(docs, _frequent_cells(counted)), sets), "shingles")
     buckets = materialize(_buckets(prefixes).withColumn("bucket", F.monotonically_increasing_id()), "shingle-buckets")
     links = materialize(_similar(_stars(buckets), prefixes), "shingle-links")
     more = _similar(_across(buckets, connected_components(links)), prefixes)
@@ -564,9 +581,10 @@ def keep_one_similar(docs: DataFrame) -> DataFrame:
     sets, found = similar_groups(named.select(F.col(row).alias("k"), "doc_id", "text"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k"))
     winners = sets.join(found, sets.set_id == found.node, "left").groupBy(F.coalesce("component", "set_id").alias("c")).agg(first.alias("w")).select(F.col("w.k").alias(row))
-    losers = sets.select(F.col("k").alias(row)).distinct().join(winners, row, "left_anti")
+    # written first, so that their size is known: while it is below Spark's broadcast threshold, texts are not shuffled
+    losers = materialize(sets.select(F.col("k").alias(row)).distinct().join(winners, row, "left_anti"), "losers")
     # rows that are alone in what they say need no shuffle of their texts: only repeated rows are brought together
-    repeated = sets.groupBy("k").count().where("count > 1").select(F.col("k").alias(row))
+    repeated = materialize(sets.groupBy("k").count().where("count > 1").select(F.col("k").alias(row)), "repeated")
     kept = named.join(losers, row, "left_anti")
     once = kept.join(repeated, row, "left_anti").select(docs.columns)
     return once.unionByName(kept.join(repeated, row, "left_semi").dropDuplicates([row]).select(docs.columns))
