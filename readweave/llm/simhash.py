@@ -16,32 +16,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from readweave.llm import jaccard
 from readweave.llm import text as T
-from readweave.llm.text import pack, unpack
 from readweave.operators.graph import connected_components
 from readweave.session import materialize, shuffle_partitions
 
 SHINGLE_WORDS = 3
 DISTANCE = 3
 SEED = 42
-#: Shingle length and least Jaccard similarity of the pipeline's stage, and cells that tell frequent shingles.
-STAGE_WORDS = 5
-SIMILAR = 0.8
-CELLS = 1 << 20
-#: Stretches of the cells that are added up apart, and how many tasks' counts are added at a time.
-SPANS = 64
-ADDED = 64
-#: Bits in which fingerprints of so similar sets may differ. At a similarity of 0.8 each bit differs with a
-#: chance of 0.1515 (the angle of the sets' vectors over pi), 9.7 of 64 on average; more than 26 in 2 of 10^7 pairs.
-NEAR_BITS = 26
-#: Sets that share a shingle beyond which they are looked through in the second step only.
-WHOLE = 2048
-#: Sets of a bucket that are compared with all others of it first.
-HUBS = 4
 #: Pairs that are expanded at once, and the size of two runs' product beyond which masks are enumerated.
 CHUNK_PAIRS = 1 << 21
 
@@ -169,7 +154,7 @@ def link_rows(values: np.ndarray) -> np.ndarray:
 
 
 def links(classes: DataFrame) -> DataFrame:
-    """(src, dst): for classes (fp, rep), one per distinct fingerprint, links that span every linked group.
+    """(src, dst): for classes (fp, rep), one per distinct fingerprint, links of reps that span every linked group.
 
     Every link within the distance lies inside the groups that these links span, and each of these links
     joins fingerprints that hang together through links within the distance.
@@ -188,20 +173,21 @@ def links(classes: DataFrame) -> DataFrame:
             return
         held = pa.Table.from_batches(some)
         turn = held.column("turn").to_numpy()
-        fp, rep = held.column("fp").to_numpy().view(np.uint64), held.column("rep").to_numpy()
+        fp, rep = held.column("fp").to_numpy().view(np.uint64), held.column("rep").combine_chunks()
         for t in range(4):
             own = turn == t
-            values, reps = fp[own], rep[own]
+            values, reps = fp[own], rep.filter(pa.array(own))
             if len(values) < 2:
                 continue
             values = T.rotl(values, 16 * t) if t else values
             order = np.argsort(values)
-            values, reps = values[order], reps[order]
+            values, reps = values[order], reps.take(pa.array(order))
             root = link_rows(values)
             moved = np.flatnonzero(root != np.arange(len(root)))
-            yield pa.RecordBatch.from_arrays([pa.array(reps[moved]), pa.array(reps[root[moved]])], ["src", "dst"])
+            yield pa.RecordBatch.from_arrays([reps.take(pa.array(moved)), reps.take(pa.array(root[moved]))], ["src", "dst"])
 
-    return dealt.mapInArrow(run, "src long, dst long")
+    kind = classes.schema["rep"].dataType.simpleString()
+    return dealt.mapInArrow(run, f"src {kind}, dst {kind}")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -219,372 +205,48 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def shingle_sets(column: pa.Array, words: int = STAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes (uint64, ascending) of all texts in a row, and where each text's begin."""
-    data, offsets = T.buffers(column)
-    starts, ends, first = T.word_spans(data, offsets)
-    flat, starts, ends = T.joined(T.LOWER[data], starts, ends)
-    begin, last, at = T.shingle_spans(first, words)
-    hashes = T.xxh64(flat, starts[begin], ends[last], SEED) if len(begin) else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    new = np.ones(len(hashes), dtype=bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[new], np.searchsorted(owner[new], np.arange(len(at)))
-
-
-def _least_both(n: np.ndarray) -> np.ndarray:
-    """How many shingles two sets of n together share at least, if their similarity is SIMILAR or more."""
-    return np.ceil(n * (SIMILAR / (1 + SIMILAR)) - 1e-9).astype(np.int64)
-
-
-def _least_shared(n: np.ndarray) -> np.ndarray:
-    """Of n shingles, how many a set of similarity SIMILAR or more has at least."""
-    return np.ceil(n * SIMILAR - 1e-9).astype(np.int64)
-
-
-def _names(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each set: the sum of its mixed hashes, mixed with its size."""
-    with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(T.mix(hashes ^ T.P1), dtype=np.uint64)])
-        return T.mix(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(np.uint64) * T.P3)
-
-
-def _sets(docs: DataFrame) -> DataFrame:
-    """(k, doc_id, set_id, n, fp): the name, the size and the fingerprint of each row's shingle set.
-
-    Rows with a span instead hold a task's counts of shingles in that span of the cells, packed, so that
-    the texts are read once for both.
-    """
-    names = ["k", "doc_id", "set_id", "n", "fp", "task", "span", "cells"]
-    kinds = [pa.int64()] * 7 + [pa.binary()]
+def likely_pairs(docs: DataFrame) -> DataFrame:
+    """(a, b): names of five-word shingle sets whose fingerprints are equal, or hang together within the distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
         for part in T.blocks(batches):
-            hashes, at = shingle_sets(part.column("text"))
-            total += np.bincount((hashes % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-            columns = [_names(hashes, at).view(np.int64), np.diff(at), _majority(hashes, at).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([part.column("k"), part.column("doc_id"), *map(pa.array, columns), *(pa.nulls(len(at) - 1, x) for x in kinds[5:])], names)
-        spans = [k for k, x in enumerate(np.split(total, SPANS)) if x.any()]
-        held = [pa.array([TaskContext.get().partitionId()] * len(spans), pa.int64()), pa.array(spans, pa.int64()), pa.array([pack(np.split(total, SPANS)[k]) for k in spans], pa.binary())]
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(spans), x) for x in kinds[:5]), *held], names)
-
-    return docs.select("k", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "k long, doc_id long, set_id long, n long, fp long, task long, span long, cells binary")
-
-
-def _frequent_cells(sets: DataFrame) -> np.ndarray:
-    """Which hash cells hold over twice as many shingles as the mean one.
-
-    Shingles of these cells count as frequent without being counted one by one, so that none gathers in a task more
-    than about 2 / CELLS of all shingles.
-    """
-
-    def add(held: pa.Table) -> pa.Table:
-        total = sum(unpack(x, np.int64) for x in held.column("cells").to_pylist())
-        return pa.table({c: held.column(c)[:1] for c in ("task", "span")} | {"cells": pa.array([pack(total)], pa.binary())})
-
-    found = sets.where("span is not null").select("task", "span", "cells")
-    for _ in range(3):  # each level adds up to ADDED rows at a time, so that ADDED^3 tasks leave one row a span
-        found = found.withColumn("task", F.floor(F.col("task") / ADDED).cast("long")).groupBy("span", "task").applyInArrow(add, "task long, span long, cells binary")
-    out = np.zeros((SPANS, CELLS // SPANS), np.int64)
-    for batch in found.toArrow().to_batches():  # SPANS rows for each ADDED^3 tasks
-        for span, cells in zip(batch.column("span").to_pylist(), batch.column("cells").to_pylist(), strict=True):
-            out[span] += unpack(cells, np.int64)
-    out = out.reshape(-1)
-    return out > 2 * out.mean() + 16
-
-
-def _edges(x: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin, and the end."""
-    return np.append(np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]])), len(x))
-
-
-def _parts(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Ranges of hashes, as many as n, of equal width: small differences within one pack well."""
-    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
-
-
-def _shared(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(owner, sets, sizes, shingles, often): the shingles of every set that other sets have too, and in how many sets each occurs.
-
-    frequent: cells of hashes. A shingle of such a cell counts as shared and most frequent. All others meet by range of hash, packed: those
-    of a block in a range, and by each the set it belongs to. owner deals sets out.
-    """
-    n_parts = shuffle_partitions(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, seen = sent.value, set()
-        for part in T.gathered(batches, limit=8 << 20):
-            hashes, at = shingle_sets(part.column("text"))
-            names = _names(hashes, at)
-            fresh = np.zeros(len(names), dtype=bool)
-            for k, name in enumerate(names.tolist()):
-                fresh[k] = name not in seen
-                seen.add(name)
-            own = np.repeat(np.arange(len(names), dtype=np.int32), np.diff(at))
-            often = cells[(hashes % np.uint64(CELLS)).astype(np.int64)]
-            ok = fresh[own]
-            rows = []
-            for kind, part_of in ((~often & ok, lambda s, o: _parts(s, n_parts)), (often & ok, lambda s, o: -1 - (names[o] % np.uint64(n_parts)).astype(np.int64))):
-                s, o = hashes[kind], own[kind]
-                order = np.argsort(s)
-                s, o = s[order], o[order]
-                to = part_of(s, o)
-                order = np.argsort(to, kind="stable")
-                s, o, to = s[order], o[order], to[order]
-                edge = _edges(to)
-                for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                    mine, place = np.unique(o[a:b], return_inverse=True)
-                    rows.append({"part": int(to[a]), "s": pack(np.diff(s[a:b], prepend=np.uint64(0))), "place": pack(place.astype(np.int32)), "sets": pack(names[mine])})
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("part", pa.int64()), *((c, pa.binary()) for c in ("s", "place", "sets"))]))
-
-    def run(held: pa.Table) -> pa.Table:
-        columns = [[], []]
-        for r in held.to_pylist():
-            columns[0].append(np.cumsum(unpack(r["s"], np.uint64), dtype=np.uint64))
-            columns[1].append(unpack(r["sets"], np.int64)[unpack(r["place"], np.int32)])
-        s, own = (np.concatenate(x) for x in columns)
-        order = np.argsort(s, kind="stable")
-        s, own = s[order], own[order]
-        if held.column("part")[0].as_py() < 0:
-            order = np.lexsort((s, own))
-            s, own = s[order], own[order]
-            once = np.concatenate([[True], (s[1:] != s[:-1]) | (own[1:] != own[:-1])])
-            s, own, often = s[once], own[once], np.full(once.sum(), 1 << 62)
-        else:
-            twice = np.zeros(len(s), dtype=bool)
-            twice[1:] = s[1:] == s[:-1]
-            twice[:-1] |= twice[1:]
-            s, own = s[twice], own[twice]
-            order = np.lexsort((own, s))
-            s, own = s[order], own[order]
-            once = np.concatenate([np.ones(min(1, len(s)), bool), (s[1:] != s[:-1]) | (own[1:] != own[:-1])])  # tasks may bring a set each
-            s, own = s[once], own[once]
-            count = np.diff(_edges(s))
-            often = np.repeat(count, count)
-            s, own, often = s[often > 1], own[often > 1], often[often > 1]
-            order = np.argsort(own, kind="stable")
-            s, own, often = s[order], own[order], often[order]
-        # one row for each owner, its sets in a row
-        order = np.argsort(own % n_parts, kind="stable")
-        s, own, often = s[order], own[order], often[order]
-        edge = _edges(own % n_parts)
-        rows = []
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            each = _edges(own[a:b])
-            rows.append({"owner": int(own[a] % n_parts), "sets": pack(own[a:b][each[:-1]]), "sizes": pack(np.diff(each).astype(np.int32)), "shingles": pack(s[a:b]), "often": pack(often[a:b])})
-        return pa.Table.from_pylist(rows, schema=pa.schema([("owner", pa.int64()), *((c, pa.binary()) for c in ("sets", "sizes", "shingles", "often"))]))
-
-    kinds = ", ".join(f"{c} binary" for c in ("s", "place", "sets"))
-    return docs.select(F.col("text").cast("string")).mapInArrow(tokens, f"part long, {kinds}").groupBy("part").applyInArrow(run, "owner long, sets binary, sizes binary, shingles binary, often binary")
-
-
-def _prefixes(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    """(set_id, n, fp, alone, prefix, hashes): of sets that can be similar to others, the shared shingles of their prefix, and all shared ones.
-
-    Shingles are ordered by how many sets have them, then by hash. Those of no other set come first and match none.
-    """
-    sizes = sets.groupBy("set_id").agg(F.first("n").alias("n"), F.first("fp").alias("fp")).withColumn("owner", F.expr(f"pmod(set_id, {shuffle_partitions(shared.sparkSession)})"))
-
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = {"sets": np.int64, "sizes": np.int32, "shingles": np.uint64, "often": np.int64}
-        name, each, s, often = (np.concatenate([np.zeros(0, k), *(unpack(x, k) for x in left.column(c).to_pylist())]) for c, k in kinds.items())
-        known, n, fp = (right.column(c).to_numpy() for c in ("set_id", "n", "fp"))
-        order = np.argsort(known)
-        known, n, fp = known[order], n[order], fp[order]
-        own = np.searchsorted(known, np.repeat(name, each))
-        order = np.lexsort((s, often, own))
-        s, own = s[order], own[order]
-        edge = _edges(own)
-        out = []
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            k = own[a]
-            alone = n[k] - (b - a)
-            prefix = n[k] - _least_shared(n[k]) + 1
-            if prefix > alone:
-                out.append((int(known[k]), int(n[k]), int(fp[k]), int(alone), s[a : a + int(prefix - alone)].view(np.int64), np.sort(s[a:b]).tobytes()))
-        columns = list(zip(*out, strict=True)) or [[]] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["set_id", "n", "fp", "alone", "prefix", "hashes"])
-
-    return shared.groupBy("owner").cogroup(sizes.groupBy("owner")).applyInArrow(run, "set_id long, n long, fp long, alone long, prefix array<long>, hashes binary")
-
-
-def _near(n: np.ndarray, fp: np.ndarray, after: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which pairs of rows (n[a] at most n[b]) their sizes, fingerprints and the shared shingle's place allow to be similar.
-
-    after: how many shingles of the set are not before the shared one in the common order. If it is the first
-    one that both have, then all that they share is among these. Two such sets meet in its bucket, so elsewhere they may be passed over.
-    """
-    enough = np.minimum(after[a], after[b]) >= _least_both(n[a] + n[b])
-    return enough & (n[a] >= _least_shared(n[b])) & (np.bitwise_count(fp[a] ^ fp[b]) <= NEAR_BITS)
+            hashes, at = jaccard.shingle_sets(part.column("text"))
+            prints = _majority(hashes, at).view(np.int64)
+            yield pa.RecordBatch.from_arrays([jaccard.binaries(jaccard.names(hashes, at)), pa.array(prints)], ["set_id", "fp"]).filter(pa.array(np.diff(at) > 0))
 
-
-def _with_partner(at: np.ndarray, n: np.ndarray, fp: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Rows that are near another of their list, for lists at[i]:at[i+1] of ascending n; all of a list beyond WHOLE."""
-    count = np.diff(at)
-    last, some = np.repeat(at[1:], count), np.repeat(count > WHOLE, count)
-    i = np.flatnonzero(~some & (after >= _least_both(n + _least_shared(n))))
-    for step in range(1, WHOLE):
-        i = i[i + step < last[i]]
-        i = i[n[i] >= _least_shared(n[i + step])]  # sizes ascend, so what does not fit now fits none further on
-        if not len(i):
-            break
-        near = i[_near(n, fp, after, i, i + step)]
-        some[near] = some[near + step] = True
-    return some
-
-
-MEMBERS = ("members", "sizes", "prints", "afters")
-
-
-def _buckets(prefixes: DataFrame) -> DataFrame:
-    """(members, sizes, prints, afters): sets that share a shingle of their prefixes and are near another of them, by size.
-
-    Two sets of similarity SIMILAR or more share a shingle of their prefixes in any common order of shingles.
-    Lists of the same members become one, with the greatest place of each.
-    """
-    n_parts = shuffle_partitions(prefixes.sparkSession)
-
-    def run(held: pa.Table) -> pa.Table:
-        s, own, size, fp, after = (held.column(c).to_numpy() for c in ("s", "set_id", "n", "fp", "after"))
-        fp = fp.view(np.uint64)
-        order = np.lexsort((own, size, s))
-        s, own, size, fp, after = s[order], own[order], size[order], fp[order], after[order]
-        some = _with_partner(_edges(s), size, fp, after)
-        s, own, size, fp, after = s[some], own[some], size[some], fp[some], after[some]
-        at, found = _edges(s), {}
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            x, y = found.setdefault(own[a:b].tobytes(), (a, b))
-            if x != a:
-                np.maximum(after[x:y], after[a:b], out=after[x:y])
-        lists = [pa.array([x[a:b] for a, b in found.values()], pa.list_(pa.int64())) for x in (own, size, fp.view(np.int64), after)]
-        return pa.table(lists, list(MEMBERS))
-
-    each = prefixes.select("set_id", "n", "fp", "alone", F.posexplode("prefix").alias("place", "s")).select("set_id", "n", "fp", "s", (F.col("n") - F.col("alone") - F.col("place")).alias("after"))
-    return each.withColumn("part", F.expr(f"pmod(xxhash64(s), {n_parts})")).groupBy("part").applyInArrow(run, ", ".join(f"{c} array<long>" for c in MEMBERS)).distinct()
-
-
-def _hubs(fp: np.ndarray) -> np.ndarray:
-    """The HUBS rows whose fingerprints are nearest to the majority of all: if copies of one text differ each in their own way, the text itself is the nearest."""
-    bits = np.unpackbits(fp.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    middle = np.packbits(2 * bits.sum(axis=0) > len(fp)).view("<u8")[0]
-    return np.lexsort((fp, np.bitwise_count(fp ^ middle)))[:HUBS]
-
-
-def _stars(buckets: DataFrame) -> DataFrame:
-    """(a, b): the hubs of each bucket with all others that they are near."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [np.zeros((0, 2), np.int64)]
-            for held in zip(*(batch.column(c) for c in MEMBERS), strict=True):
-                m, n, fp, after = (np.asarray(x.values) for x in held)
-                fp, at = fp.view(np.uint64), np.arange(len(m))
-                for hub in _hubs(fp):
-                    ok = at[(at != hub) & _near(n, fp, after, np.minimum(at, hub), np.maximum(at, hub))]
-                    out.append(np.stack([np.minimum(m[ok], m[hub]), np.maximum(m[ok], m[hub])], axis=1))
-            yield _pairs(out)
-
-    return buckets.mapInArrow(run, "a long, b long").distinct()
-
-
-def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
-    once = np.unique(np.concatenate(found), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], ["a", "b"])
-
-
-def _across(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): all near pairs of a bucket that do not hang together yet."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, size = [np.zeros((0, 2), np.int64)], 0
-            for row in batch.column("held"):
-                part = row.values
-                m, n, fp, after, c = (np.asarray(part.field(k)) for k in ("m", "n", "fp", "after", "c"))
-                order = np.argsort(n, kind="stable")
-                m, n, fp, after, c = m[order], n[order], fp[order].view(np.uint64), after[order], c[order]
-                last = np.searchsorted(_least_shared(n), n, "right")  # sizes that n is enough for
-                for i in range(len(m)):
-                    j = np.arange(i + 1, last[i])
-                    other = m[j[(c[j] != c[i]) & _near(n, fp, after, np.full(len(j), i), j)]]
-                    out.append(np.stack([np.minimum(other, m[i]), np.maximum(other, m[i])], axis=1))
-                    size += len(other)
-                    if size > CHUNK_PAIRS:
-                        yield _pairs(out)
-                        out, size = [np.zeros((0, 2), np.int64)], 0
-            yield _pairs(out)
-
-    # a bucket of few has all its pairs among the stars
-    each = buckets.where(F.size("members") > HUBS + 1).select("bucket", F.explode(F.arrays_zip(*MEMBERS)).alias("x")).select("bucket", F.col("x.members").alias("m"), F.col("x.sizes").alias("n"), F.col("x.prints").alias("fp"), F.col("x.afters").alias("after"))
-    named = each.join(found, each.m == found.node, "left").select("bucket", F.struct("m", "n", "fp", "after", F.coalesce("component", "m").alias("c")).alias("x"))
-    mixed = named.groupBy("bucket").agg(F.collect_list("x").alias("held"), F.min("x.c").alias("low"), F.max("x.c").alias("high")).where("low <> high")
-    return mixed.select("held").mapInArrow(run, "a long, b long").distinct()
-
-
-def _similar(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """(src, dst): the pairs whose sets have a Jaccard similarity of SIMILAR or more, computed exactly.
-
-    Only shared shingles can be in both, so these and the sizes are all that is needed.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total = batch.column("size").to_numpy()
-            ok = np.zeros(batch.num_rows, dtype=bool)
-            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-                both = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)])
-                both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                ok[k] = shared >= SIMILAR * (total[k] - shared) - 1e-9
-            yield batch.filter(pa.array(ok)).select(["src", "dst"])
-
-    one, two = (prefixes.select(F.col("set_id").alias(k), F.col("hashes").alias(v), F.col("n").alias("n" + v)) for k, v in (("a", "x"), ("b", "y")))
-    return pairs.join(one, "a").join(two, "b").select(F.col("a").alias("src"), F.col("b").alias("dst"), "x", "y", (F.col("nx") + F.col("ny")).alias("size")).mapInArrow(run, "src long, dst long")
-
-
-def similar_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(k, doc_id, set_id) of docs with a column k that names a row, and (node, component) over set_ids.
-
-    Components are those of all pairs of sets of Jaccard similarity SIMILAR or more.
-    """
-    counted = materialize(_sets(docs), "shingle-sets")
-    sets = counted.where("span is null").select("k", "doc_id", "set_id", "n", "fp")
-    prefixes = materialize(_prefixes(_shared(docs, _frequent_cells(counted)), sets), "shingles")
-    buckets = materialize(_buckets(prefixes).withColumn("bucket", F.monotonically_increasing_id()), "shingle-buckets")
-    links = materialize(_similar(_stars(buckets), prefixes), "shingle-links")
-    more = _similar(_across(buckets, connected_components(links)), prefixes)
-    return sets, connected_components(links.unionAll(more))
+    prints = materialize(docs.select(F.col("text").cast("string")).mapInArrow(run, "set_id binary, fp long").distinct(), "set-prints")
+    classes = materialize(prints.groupBy("fp").agg(F.min("set_id").alias("rep")), "print-classes")
+    equal = prints.join(classes, "fp").where("set_id <> rep").select(F.col("rep").alias("a"), F.col("set_id").alias("b"))
+    return equal.unionAll(links(classes).toDF("a", "b"))
 
 
 def keep_one_similar(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of texts that five-word shingle similarity of 0.8 or more links.
 
-    Groups are the components of all pairs of Jaccard similarity 0.8 or more. A pair of such sets is a candidate if it
-    shares one of the rarest fifth of both sets' shingles, which it must, if enough shingles follow the first such
-    one, and if the sets' SimHash fingerprints differ in at most NEAR_BITS bits; candidates are verified exactly. Pigeonring segments cannot find them: their
-    fingerprints differ in ten bits on average and some in twenty, and chains of segments within such a budget
-    would let a large share of all pairs through. Nothing is capped. Equal sets are one from the start; a
-    crowded bucket is linked to the sets nearest to its fingerprints' majority first, and only sets that do not hang
-    together then are compared in pairs. The row with the least (doc_id, text) stays, rows without an id behind all others; texts
-    without words (null, empty) are one group. Equal rows are one; rows that share an id but not the text are rows of
-    their own. Other columns stay as they are, whatever their names; an empty table stays empty.
+    Groups are the components of all pairs of Jaccard similarity 0.8 or more, none left out. SimHash with pigeonring
+    chains finds the nearest pairs; fingerprints of the other similar pairs differ in ten bits on average and some in over
+    twenty, which no budget of bits tells from chance, so the exact join of jaccard.py finds those. Every pair is verified by its
+    shingles. The row with the least doc_id stays, of the same doc_id the one with the least digest of its text, rows
+    without an id behind all others; texts without words (null, empty) are one group. Rows of the same id and
+    text are one, the least by its other columns; rows that share an id but not the text are rows of their own. Columns
+    stay as they are, whatever their names; an empty table stays empty.
     """
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
-    named = docs.withColumn(row, F.xxhash64(*[F.col(f"`{c}`") for c in ("doc_id", "text")]))
-    sets, found = similar_groups(named.select(F.col(row).alias("k"), "doc_id", "text"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k"))
-    winners = sets.join(found, sets.set_id == found.node, "left").groupBy(F.coalesce("component", "set_id").alias("c")).agg(first.alias("w")).select(F.col("w.k").alias(row))
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    digest = F.unhex(F.md5(F.concat_ws("\0", F.coalesce(F.col("`doc_id`").cast("string"), F.lit("-")), F.coalesce(F.col("`text`").cast("string"), F.lit("")))))
+    named = docs.withColumn(key, digest)
+    texts = named.select(F.col(key).alias("k"), F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))
+    rows, found = jaccard.similar_sets(texts, ["k", "doc_id"], likely_pairs(texts))
+    rows = rows.select("k", "doc_id", "set_id")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k"))
+    classes = materialize(rows.groupBy("set_id").agg(least.alias("w")), "classes")
+    groups = classes.join(found, classes.set_id == found.node, "left").groupBy(F.coalesce("component", "set_id").alias("c")).agg(F.min("w").alias("w"))
+    winners = groups.select(F.col("w.k").alias(key))
     # written first, so that their size is known: while it is below Spark's broadcast threshold, texts are not shuffled
-    losers = materialize(sets.select(F.col("k").alias(row)).distinct().join(winners, row, "left_anti"), "losers")
-    # rows that are alone in what they say need no shuffle of their texts: only repeated rows are brought together
-    repeated = materialize(sets.groupBy("k").count().where("count > 1").select(F.col("k").alias(row)), "repeated")
-    kept = named.join(losers, row, "left_anti")
-    once = kept.join(repeated, row, "left_anti").select(docs.columns)
-    return once.unionByName(kept.join(repeated, row, "left_semi").dropDuplicates([row]).select(docs.columns))
+    losers = materialize(rows.select(F.col("k").alias(key)).distinct().join(winners, key, "left_anti"), "losers")
+    repeated = materialize(rows.groupBy("k").count().where("count > 1").select(F.col("k").alias(key)), "repeated")
+    kept = named.join(losers, key, "left_anti")
+    once = kept.join(repeated, key, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    again = kept.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(key + "row"))
+    return once.unionByName(again.select(f"`{key}row`.*"))

@@ -130,22 +130,6 @@ def test_one_row_of_each_group_stays(spark, docs, texts, empty):
     assert len(twice) == simhash.keep_one_similar(docs).count() == len({r.text for r in twice})
 
 
-def test_partners_equal_brute_force():
-    """Which sets of a list have one near them, by size and fingerprint; long lists stay whole."""
-    rng = np.random.default_rng(2)
-    base = rng.integers(0, 1 << 63, 12).astype(np.uint64)
-    lists = []
-    for m in (2, 2, 3, 40, simhash.WHOLE + 1):
-        n = np.sort(rng.integers(50, 120, m))
-        fp = base[rng.integers(0, 12, m)] ^ (np.uint64(1) << rng.integers(0, 63, m).astype(np.uint64))
-        lists.append((n, fp, n - rng.integers(0, 30, m)))
-    at = np.concatenate([[0], np.cumsum([len(n) for n, _, _ in lists])])
-    got = np.split(simhash._with_partner(at, *(np.concatenate(x) for x in zip(*lists, strict=True))), at[1:-1])
-    for (n, fp, after), some in zip(lists, got, strict=True):
-        near = [len(n) > simhash.WHOLE or any(i != j and min(n[i], n[j]) >= math.ceil(max(n[i], n[j]) * 0.8 - 1e-9) and int(fp[i] ^ fp[j]).bit_count() <= simhash.NEAR_BITS and min(after[i], after[j]) >= math.ceil((n[i] + n[j]) * 4 / 9 - 1e-9) for j in range(len(n))) for i in range(len(n))]
-        assert some.tolist() == near
-
-
 # Fingerprints
 
 
