@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readweave.llm import chat, decontaminate, fingerprints, jaccard, licenses, lm_scoring, packing, periodic, quality, secrets, simhash, token_counts
+from readweave.llm import alignment, chat, decontaminate, fingerprints, jaccard, licenses, lm_scoring, packing, periodic, quality, secrets, simhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the documents' words, a tenth of the documents made periodic first."""
     return periodic.digest(periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents"))))
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_jaccard_join": op13_jaccard_join,
 }
