@@ -96,8 +96,8 @@ def alternations(columns: list[dict]) -> list[list[int]]:
 
 
 def gap_snps(seen: DataFrame, consensus: DataFrame) -> DataFrame:
-    """(contig_id, site, columns): differences by gap alternation; site is the place of the first column in the
-    sequence without gaps. seen: observations with read_id; consensus(contig_id, pos, base)."""
+    """(contig_id, site, columns, call): differences by gap alternation; site is the place of the first column in the
+    sequence without gaps, call the sign that the consensus has there from then on. seen: observations with read_id; consensus(contig_id, pos, base)."""
     called = consensus.select("contig_id", "pos", F.col("base").alias("consensus"))
     rows = seen.select("contig_id", "pos", "base", "read_id").join(called, ["contig_id", "pos"])
 
@@ -115,10 +115,23 @@ def gap_snps(seen: DataFrame, consensus: DataFrame) -> DataFrame:
             mapping.append(max(at, 0))
         return pa.table({
             "contig_id": pa.array([key[0].as_py()] * len(found), group.schema.field("contig_id").type), "site": pa.array([mapping[f[0]] for f in found], pa.int32()),
-            "columns": pa.array([[int(places[k]) for k in f] for f in found], pa.list_(pa.int32())),
+            "columns": pa.array([[int(places[k]) for k in f] for f in found], pa.list_(pa.int32())), "call": pa.array([columns[f[0]]["consensus"] for f in found], pa.string()),
         })
 
-    return rows.groupBy("contig_id").applyInArrow(search, f"contig_id {dict(seen.dtypes)['contig_id']}, site int, columns array<int>")
+    return rows.groupBy("contig_id").applyInArrow(search, f"contig_id {dict(seen.dtypes)['contig_id']}, site int, columns array<int>, call string")
+
+
+def rewritten(consensus: DataFrame, found: DataFrame) -> DataFrame:
+    """The consensus (contig_id, pos, base, quality) with gap_snps' calls in their first columns, and gaps in their others."""
+    changed = found.select("contig_id", F.posexplode("columns").alias("i", "pos"), "call").select("contig_id", "pos", F.when(F.col("i") == 0, F.col("call")).otherwise("*").alias("now"))
+    joined = consensus.join(changed, ["contig_id", "pos"], "left")
+    return joined.select("contig_id", "pos", F.coalesce("now", "base").alias("base"), "quality")
+
+
+def pooled_units(seen: DataFrame, found: DataFrame) -> DataFrame:
+    """(contig_id, site, individual, base, n, quals): what each individual's reads have in any column of a difference."""
+    here = found.select("contig_id", "site", F.explode("columns").alias("pos")).join(seen, ["contig_id", "pos"]).where(F.col("base").isin("A", "C", "G", "T"))
+    return here.groupBy("contig_id", "site", "individual", "base").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("quality")).alias("quals"))
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from readweave.functions import sequence as S
 from readweave.operators import clusters as C
-from readweave.operators import culling, kmers, overlap, pileup, reads, snps
+from readweave.operators import culling, kmers, layout, overlap, pileup, reads, snps
 from readweave.operators.graph import components_of, greedy_cliques, short_components
 from readweave.profiles import GENOME_454, PROFILES, Profile
 from readweave.session import materialize
@@ -144,22 +144,37 @@ class Project:
         return greedy_cliques(labels, edges).select(F.col("clique").alias("cluster"), F.col("node").alias("read_id"))
 
     def observations(self, selected: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(placement, observations) of the selected reads, laid out along each cluster's seed."""
+        """(placement, observations) of the selected reads, laid out along each cluster's seed: with gaps, a base a column,
+        where differences are searched by gap alternation, else by offsets."""
         chosen = selected.select("cluster").distinct()
-        placement = pileup.star_placement(self.table("blocks"), chosen, self.table("clusters"))
-        placement = placement.join(selected.select(F.col("cluster").alias("contig_id"), "read_id"), ["contig_id", "read_id"], "left_semi")
-        return placement, pileup.observations(placement, self.table("reads"))
+        wanted = selected.select(F.col("cluster").alias("contig_id"), "read_id")
+        if not self.profile.gaps:
+            placement = pileup.star_placement(self.table("blocks"), chosen, self.table("clusters"))
+            placement = placement.join(wanted, ["contig_id", "read_id"], "left_semi")
+            return placement, pileup.observations(placement, self.table("reads"))
+        seeds = chosen.join(wanted.where("contig_id = read_id").select(F.col("contig_id").alias("cluster")), "cluster", "left_semi")
+        aligned = layout.best_alignments(self.table("blocks"), chosen).join(wanted, ["contig_id", "read_id"], "left_semi")
+        placement = aligned.select("contig_id", "read_id").unionByName(seeds.select(F.col("cluster").alias("contig_id"), F.col("cluster").alias("read_id")))
+        return placement, layout.observations(aligned, seeds, self.table("reads"), one_base=True)
 
     def call_snps(self, mode: str = "default", rules: snps.Rules | None = None) -> DataFrame:
-        """(cluster, length, numreads, seq, good, units): clusters with accepted differences, and their profiles."""
+        """(cluster, length, numreads, seq, good, snps): clusters with accepted differences, and their profiles.
+
+        Differences are columns of two bases, or, for the 454 profiles, alternations of gaps.
+        """
         people = self.table("runs").select("individual").distinct().count()
         rules = rules or snps.Rules(min_side=self.profile.min_side, two_names=people > 1)
         placement, seen = self.observations(materialize(self.selected(mode), "selected"))
         seen = materialize(seen, "observations")
         columns = pileup.consensus(seen)
-        places = pileup.ungapped(columns).select("contig_id", "pos", "at")
-        profiles = pileup.profiles(seen, pileup.interesting(pileup.column_counts(seen)))
-        units = profiles.join(places, ["contig_id", "pos"]).select(F.col("contig_id").alias("cluster"), F.col("at").alias("pos"), "individual", "base", "n", "quals")
+        if self.profile.gaps:
+            found = materialize(snps.gap_snps(seen, columns), "alternations")
+            columns = snps.rewritten(columns, found)
+            units = snps.pooled_units(seen, found).select(F.col("contig_id").alias("cluster"), F.col("site").alias("pos"), "individual", "base", "n", "quals")
+        else:
+            places = pileup.ungapped(columns).select("contig_id", "pos", "at")
+            profiles = pileup.profiles(seen, pileup.interesting(pileup.column_counts(seen)))
+            units = profiles.join(places, ["contig_id", "pos"]).select(F.col("contig_id").alias("cluster"), F.col("at").alias("pos"), "individual", "base", "n", "quals")
         numbers = placement.groupBy("contig_id").agg(F.count(F.lit(1)).alias("numreads"))
         blocks = pileup.contigs(columns).join(numbers, "contig_id").select(F.col("contig_id").alias("cluster"), F.lit(1).alias("n_contigs"), "numreads", "length", "seq")
         found = snps.accepted(blocks, units, rules)
