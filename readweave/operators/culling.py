@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import groupby
 
 import pyarrow as pa
@@ -9,41 +10,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readweave.operators.graph import components_of, condemn
+from readweave.session import materialize
 
 LEAST_MEMBERS = 4
+#: Rows that one task walks by itself.
+LOCAL_ROWS = 200_000
 #: Fixed value: the sequence line of clusters that are made from components.
 PLACEHOLDER = "ACGT"
 
 
-def disjoint(members: DataFrame, least: int = LEAST_MEMBERS) -> DataFrame:
+def disjoint(members: DataFrame, least: int = LEAST_MEMBERS, local: int = LOCAL_ROWS) -> DataFrame:
     """(cluster): clusters picked in order of ord, none of whose members a cluster before has touched.
 
     members(cluster, ord, member, place): a cluster's members are walked by place up to the first that is
-    already touched; those walked stay touched, also when the cluster is rejected or has fewer than least
-    members. Connected components of clusters and members do not influence each other, so each is one group.
+    already touched; those walked stay touched, also when the cluster is rejected or has fewer than least members.
+
+    Works in rounds over the whole table. A cluster that comes first among the undecided ones for each member that it can
+    still reach decides, so all such clusters do at once; what they touch cuts the walks of the others short. Once no more than
+    local rows are left, which is a fixed bound, one task walks them in order.
     """
-    edges = members.select(F.concat(F.lit("c:"), F.col("cluster").cast("string")).alias("src"), F.concat(F.lit("m:"), F.col("member").cast("string")).alias("dst"))
-    ids = edges.select(F.col("src").alias("id"))
-    labels = components_of(ids, edges).where("node like 'c:%'").select(F.expr("substring(node, 3)").alias("cluster_key"), "component")
-    keyed = members.withColumn("cluster_key", F.col("cluster").cast("string")).join(labels, "cluster_key")
     kind = dict(members.dtypes)["cluster"]
+    rows = materialize(_first_places(members), "walks")
+    picked = []
+    while rows.count() > local:
+        first = rows.groupBy("member").agg(F.min(F.struct("ord", "cluster")).alias("first"))
+        ready = rows.join(first, "member").groupBy("ord", "cluster").agg(F.every(F.col("first") == F.struct("ord", "cluster")).alias("ready"))
+        ready = materialize(ready.where("ready").select("cluster"), "walks-decided")
+        taken = rows.join(ready, "cluster", "left_semi")
+        picked.append(taken.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max("cut").alias("cut")).where((F.col("n") >= least) & ~F.col("cut")).select("cluster"))
+        rest = rows.join(ready, "cluster", "left_anti")
+        stops = rest.join(taken.select("member").distinct(), "member", "left_semi").groupBy("cluster").agg(F.min(F.struct("place", "member")).alias("stop"))
+        rows = materialize(_cut_short(rest, stops), "walks")
 
     def pick(group: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("ord", "cluster", "place", "member")), strict=True))
+        walks = sorted(zip(*(group.column(c).to_pylist() for c in ("ord", "cluster", "place", "member", "cut")), strict=True))
         touched, chosen = set(), []
-        for (_, name), own in groupby(rows, key=lambda r: r[:2]):
-            walk = [r[3] for r in own]
-            clear = True
-            for m in walk:
+        for (_, name), own in groupby(walks, key=lambda r: r[:2]):
+            steps = list(own)
+            clear = not steps[0][4]
+            for _, _, _, m, _ in steps:
                 if m in touched:
                     clear = False
                     break
                 touched.add(m)
-            if clear and len(walk) >= least:
+            if clear and len(steps) >= least:
                 chosen.append(name)
         return pa.table({"cluster": pa.array(chosen, group.schema.field("cluster").type)})
 
-    return keyed.groupBy("component").applyInArrow(pick, f"cluster {kind}")
+    last = rows.groupBy(F.lit(0).alias("all")).applyInArrow(pick, f"cluster {kind}")
+    return reduce(DataFrame.unionAll, picked, last)
+
+
+def _first_places(members: DataFrame) -> DataFrame:
+    """(ord, cluster, place, member, cut): each member at its first place; a member that comes again ends the walk there."""
+    places = members.groupBy("ord", "cluster", "member").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    rows = places.select("ord", "cluster", F.col("places")[0].alias("place"), "member", F.lit(False).alias("cut"))
+    again = places.where(F.size("places") > 1).groupBy("cluster").agg(F.min(F.struct(F.get("places", F.lit(1)).alias("place"), "member")).alias("stop"))
+    return _cut_short(rows, again)
+
+
+def _cut_short(rows: DataFrame, stops: DataFrame) -> DataFrame:
+    """rows without those from their cluster's stop(place, member) on; such clusters are cut."""
+    joined = rows.join(stops, "cluster", "left").where(F.col("stop").isNull() | (F.struct("place", "member") < F.col("stop")))
+    return joined.select("ord", "cluster", "place", "member", (F.col("cut") | F.col("stop").isNotNull()).alias("cut"))
 
 
 def fished(members: DataFrame, repeats: DataFrame, least: int = LEAST_MEMBERS) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from readweave.session import materialize
 
+#: Edges of a component that one task covers by itself.
+LOCAL_EDGES = 200_000
+
 
 def canonical_edges(edges: DataFrame) -> DataFrame:
     """Undirected edges once each, as (u, v) with u > v; self loops and null ends go."""
@@ -107,17 +110,17 @@ def short_components(labels: DataFrame, least: int = 4, most: int = 6) -> DataFr
     return labels.join(sized, "component", "left_semi").select("component", "node")
 
 
-def greedy_cliques(labels: DataFrame, edges: DataFrame, least_component: int = 4, over: int = 4) -> DataFrame:
+def greedy_cliques(labels: DataFrame, edges: DataFrame, least_component: int = 4, over: int = 4, local: int = LOCAL_EDGES) -> DataFrame:
     """(component, clique, node): cliques of more than `over` nodes from a greedy cover of each component.
 
     Nodes are taken in order of id; each joins the first clique with all of whose nodes it has an edge, or
-    begins one. Components of fewer than least_component
-    nodes are left out. A component is worked on by one task: it is bounded by the caps on members that
-    the cluster update applies before.
+    begins one. Components of fewer than least_component nodes are left out. A component of at most local edges is one
+    task's work; larger ones are covered in rounds over the whole table, see _cliques_in_rounds.
     """
     sized = component_sizes(labels).where(F.col("n_nodes") >= least_component).select("component")
     keep = labels.join(sized, "component", "left_semi")
-    known = canonical_edges(edges).join(keep.select(F.col("node").alias("u"), F.col("component").alias("own")), "u")
+    known = materialize(canonical_edges(edges).join(keep.select(F.col("node").alias("u"), F.col("component").alias("own")), "u"), "clique-edges")
+    large = materialize(known.groupBy("own").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > local).select(F.col("own").alias("component")), "large-components")
     node_type = dict(labels.dtypes)["node"]
 
     def cover(key: tuple, nodes: pa.Table, links: pa.Table) -> pa.Table:
@@ -138,8 +141,41 @@ def greedy_cliques(labels: DataFrame, edges: DataFrame, least_component: int = 4
         columns = [pa.array([key[0].as_py()] * len(rows), kind), pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], kind)]
         return pa.table(columns, ["component", "clique", "node"])
 
-    return (
-        keep.groupBy("component")
-        .cogroup(known.groupBy("own"))
+    small = (
+        keep.join(large, "component", "left_anti")
+        .groupBy("component")
+        .cogroup(known.join(large, F.col("own") == F.col("component"), "left_anti").groupBy("own"))
         .applyInArrow(cover, f"component {node_type}, clique {node_type}, node {node_type}")
     )
+    if not large.head(1):
+        return small
+    nodes = keep.join(large, "component", "left_semi")
+    found = _cliques_in_rounds(nodes.select("node"), known.join(large, F.col("own") == F.col("component"), "left_semi").select("u", "v"))
+    big = found.groupBy("clique").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > over).select("clique")
+    return small.unionByName(found.join(big, "clique", "left_semi").join(nodes, "node").select("component", "clique", "node"))
+
+
+def _cliques_in_rounds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, clique): the greedy cover of nodes(node) with edges(u, v), a clique named by its first node.
+
+    What a node joins depends on the nodes before it that are at most two edges away: its neighbours, and those that may join
+    their cliques. So in each round all undecided nodes that come first among the undecided ones within two edges decide at
+    once. A decided node's clique fits if the node has an edge to as many of its members as it has; the one
+    that began first is taken.
+    """
+    both = materialize(edges.select(F.col("u").alias("a"), F.col("v").alias("b")).unionAll(edges.select("v", "u")), "clique-links")
+    left = materialize(nodes.distinct(), "clique-left")
+    kind = dict(nodes.dtypes)["node"]
+    done = materialize(left.where("false").select("node", F.lit(None).cast(kind).alias("clique")), "cliques")
+    while left.head(1):
+        reach = both.select(F.col("a").alias("x"), F.col("b").alias("node")).join(left, "node").unionByName(left.select(F.col("node").alias("x"), "node"))
+        one = materialize(reach.groupBy("x").agg(F.min("node").alias("low")), "clique-reach")
+        further = both.join(one, both.b == one.x).select(F.col("a").alias("node"), "low").unionAll(one.select(F.col("x").alias("node"), "low"))
+        ready = materialize(further.groupBy("node").agg(F.min("low").alias("low")).where("low = node").select("node").join(left, "node", "left_semi"), "clique-ready")
+        sizes = done.groupBy("clique").agg(F.count(F.lit(1)).alias("size"))
+        shared = both.join(ready, both.a == ready.node).select("a", "b").join(done, F.col("b") == done.node).groupBy("a", "clique").agg(F.count(F.lit(1)).alias("shared"))
+        fits = shared.join(sizes, "clique").where("shared = size").groupBy("a").agg(F.min("clique").alias("clique"))
+        joined = ready.join(fits, ready.node == fits.a, "left").select("node", F.coalesce("clique", "node").alias("clique"))
+        done = materialize(done.unionByName(joined), "cliques")
+        left = materialize(left.join(ready, "node", "left_anti"), "clique-left")
+    return done

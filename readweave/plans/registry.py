@@ -339,7 +339,7 @@ def dense_over_degree(spark, sf_dir):
 
 @query()
 def cull_disjoint(spark, sf_dir):
-    """Orders as clusters of their parts, in order of their keys; one component holds them all."""
+    """Orders as clusters of their parts, in order of their keys; one component holds them all, so that it is decided in rounds."""
     items = V.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("cluster"), F.col("l_partkey").alias("member")).agg(F.min("l_linenumber").alias("place"))
     return culling.disjoint(items.withColumn("ord", F.col("cluster")))
 
@@ -504,10 +504,37 @@ def graph_edges(spark, sf_dir):
     return graph.canonical_edges(V.edges(spark, sf_dir))
 
 
-@query(f"WITH {V.EDGES}, cut AS (SELECT 'p' || p_partkey AS id FROM part WHERE p_size < 10) SELECT src, dst FROM edges WHERE dst NOT IN (SELECT id FROM cut) AND src NOT IN (SELECT id FROM cut)")
+@query(f"""WITH {V.EDGES}, cut AS (SELECT 'c' || c_custkey AS id FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'o' || o_orderkey FROM orders WHERE o_orderstatus = 'P')
+  SELECT src, dst FROM edges WHERE dst NOT IN (SELECT id FROM cut) AND src NOT IN (SELECT id FROM cut)""")
 def condemned_edges(spark, sf_dir):
-    cut = V.table(spark, sf_dir, "part").where("p_size < 10").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"))
-    return graph.condemn(V.edges(spark, sf_dir), cut)
+    """Edges without those of customers in debt and of orders filled in part."""
+    cut = V.table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"))
+    orders = V.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"))
+    return graph.condemn(V.edges(spark, sf_dir), cut.unionAll(orders))
+
+
+@query(f"WITH {V.RARE} SELECT src, dst FROM edges")
+def rare_edges(spark, sf_dir):
+    """Reads that share a rare word."""
+    return V.rare_edges(spark, sf_dir)
+
+
+@query(f"WITH RECURSIVE {V.RARE}, {V.WALKED} SELECT node, component FROM labels")
+def rare_components(spark, sf_dir):
+    """Components of the reads that share rare words: chains, cycles and cliques."""
+    return graph.connected_components(V.rare_edges(spark, sf_dir))
+
+
+@query(f"""WITH RECURSIVE {V.RARE}, {V.WALKED}, s AS (SELECT component FROM labels GROUP BY component HAVING count(*) BETWEEN 4 AND 6) SELECT component, node FROM labels WHERE component IN (SELECT component FROM s)""")
+def rare_short_components(spark, sf_dir):
+    return graph.short_components(graph.connected_components(V.rare_edges(spark, sf_dir)))
+
+
+@query()
+def rare_cliques(spark, sf_dir):
+    """Greedy cliques of more than four reads, all of which share rare words with each other."""
+    edges = materialize(V.rare_edges(spark, sf_dir), "rare-edges")
+    return graph.greedy_cliques(graph.connected_components(edges), edges)
 
 
 @query(f"""WITH {V.READS}, parts AS (SELECT read_id, seq, length(seq) AS n, CAST(floor(length(seq) / 3.0) AS BIGINT) AS a FROM reads), soft AS (SELECT read_id, n, a, least(a + ord_mod, n) AS b FROM (SELECT parts.*, n % 80 AS ord_mod FROM parts))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readweave.operators.kmers import places
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 BASES = ("ACGT" * 7)[:26]
 
@@ -92,6 +94,21 @@ def dense_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DENSE = "edges AS (SELECT DISTINCT 'c' || o_custkey AS src, 'p' || l_partkey AS dst FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"
 
+
+
+def rare_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse graph with chains, cycles and cliques: reads that share a word of 31 bases which two to five reads have."""
+    words = places(reads(spark, sf_dir), 31).select("read_id", "code").distinct()
+    rare = words.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n between 2 and 5").select("code")
+    held = words.join(rare, "code").groupBy("code").agg(F.sort_array(F.collect_list("read_id")).alias("ids")).select("ids").distinct()
+    pairs = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, 1, i), y -> struct(x as src, y as dst))))")
+    return held.select(F.explode(pairs).alias("e")).select("e.src", "e.dst").distinct()
+
+
+RARE = f"""{READS}, spots AS (SELECT read_id, seq, unnest(range(0, length(seq) - 30)) AS i FROM reads WHERE length(seq) >= 31), words AS (SELECT DISTINCT read_id, substr(seq, i + 1, 31) AS word FROM spots),
+  rare AS (SELECT word FROM words GROUP BY word HAVING count(*) BETWEEN 2 AND 5), held AS (SELECT * FROM words JOIN rare USING (word)),
+  edges AS (SELECT DISTINCT x.read_id AS src, y.read_id AS dst FROM held x JOIN held y ON x.word = y.word AND x.read_id > y.read_id)"""
+
 #: Least names walk along the edges until none changes; one row for each node is kept.
 WALKED = """both_ways AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
   labels(node, component) USING KEY (node) AS (SELECT DISTINCT a, a FROM both_ways UNION
