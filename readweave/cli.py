@@ -12,7 +12,7 @@ from readweave.functions import sequence as S
 from readweave.operators.reads import quality_offset
 from readweave.plans.project import Project
 from readweave.profiles import PROFILES
-from readweave.sources import sff, text
+from readweave.sources import sff, sff_files, text
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -36,8 +36,8 @@ def main(argv: list[str] | None = None) -> None:
     if a.verb == "add":
         name = re.sub(r"\.(sff|fastq|fq)(\.gz)?$", "", a.file.rstrip("/").rsplit("/", 1)[-1])
         if a.file.endswith(".sff"):
-            sff.check_headers(sff.read_headers(spark, a.file))
-            run = sff.trimmed(sff.read_sff(spark, a.file)).withColumn("ord", F.monotonically_increasing_id())
+            sff.check_headers(sff_files.headers(spark, a.file))
+            run = sff.trimmed(sff_files.read_sff(spark, a.file)).withColumn("ord", F.monotonically_increasing_id())
         else:
             held = text.read_fastq(spark, a.file)
             run = held.select("read_id", "seq", S.phred_decode("qual_ascii", quality_offset(held)).alias("qual"), "ord")

@@ -35,6 +35,23 @@ def parse_header(data: bytes) -> dict:
     }
 
 
+def parse_read(data: bytes, at: int, flows: int) -> tuple[dict, int]:
+    """The record that begins at `at`, and where the next one does."""
+    length, name, n, ql, qr, al, ar = struct.unpack_from(_READ, data, at)
+    read_id = data[at + 16 : at + 16 + name].decode()
+    at += length
+    flowgram = struct.unpack_from(f">{flows}H", data, at)
+    at += 2 * flows
+    flow_index, bases, quality = data[at : at + n], data[at + n : at + 2 * n].decode(), data[at + 2 * n : at + 3 * n]
+    at += 3 * n
+    at += -(2 * flows + 3 * n) % 8
+    row = {
+        "read_id": read_id, "num_bases": n, "clip_qual_left": ql, "clip_qual_right": qr, "clip_adapter_left": al, "clip_adapter_right": ar,
+        "flowgram": list(flowgram), "flow_index": list(flow_index), "bases": bases, "quality": list(quality),
+    }
+    return row, at
+
+
 def parse_reads(data: bytes) -> Iterator[dict]:
     head = parse_header(data)
     at, flows = head["header_length"], head["num_flows_per_read"]
@@ -42,36 +59,31 @@ def parse_reads(data: bytes) -> Iterator[dict]:
     for _ in range(head["num_reads"]):
         if at in index:
             at = index.stop
-        length, name, n, ql, qr, al, ar = struct.unpack_from(_READ, data, at)
-        read_id = data[at + 16 : at + 16 + name].decode()
-        at += length
-        flowgram = struct.unpack_from(f">{flows}H", data, at)
-        at += 2 * flows
-        flow_index, bases, quality = data[at : at + n], data[at + n : at + 2 * n].decode(), data[at + 2 * n : at + 3 * n]
-        at += 3 * n
-        at += -(2 * flows + 3 * n) % 8
-        yield {
-            "read_id": read_id, "num_bases": n, "clip_qual_left": ql, "clip_qual_right": qr, "clip_adapter_left": al, "clip_adapter_right": ar,
-            "flowgram": list(flowgram), "flow_index": list(flow_index), "bases": bases, "quality": list(quality),
-        }
+        row, at = parse_read(data, at, flows)
+        yield row
+
+
+def header_bytes(n: int, flow_chars: str, key: str) -> bytes:
+    """The common header of a file of n reads without an index."""
+    length = struct.calcsize(_HEADER) + len(flow_chars) + len(key)
+    length += -length % 8
+    out = struct.pack(_HEADER, MAGIC, int.from_bytes(VERSION, "big"), 0, 0, n, length, len(key), len(flow_chars), 1) + flow_chars.encode() + key.encode()
+    return out + bytes(length - len(out))
+
+
+def read_bytes(r: dict, flows: int) -> bytes:
+    """A record of a file with so many flows."""
+    name = r["read_id"].encode()
+    size = 16 + len(name)
+    size += -size % 8
+    head = struct.pack(_READ, size, len(name), r["num_bases"], r["clip_qual_left"], r["clip_qual_right"], r["clip_adapter_left"], r["clip_adapter_right"]) + name
+    body = struct.pack(f">{flows}H", *r["flowgram"]) + bytes(r["flow_index"]) + r["bases"].encode() + bytes(r["quality"])
+    return head + bytes(size - len(head)) + body + bytes(-len(body) % 8)
 
 
 def file_bytes(reads: list[dict], flow_chars: str, key: str) -> bytes:
     """A whole file of the reads, without an index."""
-    flows = len(flow_chars)
-    length = struct.calcsize(_HEADER) + flows + len(key)
-    length += -length % 8
-    out = bytearray(struct.pack(_HEADER, MAGIC, int.from_bytes(VERSION, "big"), 0, 0, len(reads), length, len(key), flows, 1))
-    out += flow_chars.encode() + key.encode()
-    out += bytes(length - len(out))
-    for r in reads:
-        name = r["read_id"].encode()
-        size = 16 + len(name)
-        size += -size % 8
-        head = struct.pack(_READ, size, len(name), r["num_bases"], r["clip_qual_left"], r["clip_qual_right"], r["clip_adapter_left"], r["clip_adapter_right"]) + name
-        body = struct.pack(f">{flows}H", *r["flowgram"]) + bytes(r["flow_index"]) + r["bases"].encode() + bytes(r["quality"])
-        out += head + bytes(size - len(head)) + body + bytes(-len(body) % 8)
-    return bytes(out)
+    return header_bytes(len(reads), flow_chars, key) + b"".join(read_bytes(r, len(flow_chars)) for r in reads)
 
 
 def _binary(spark: SparkSession, path: str) -> DataFrame:
