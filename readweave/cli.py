@@ -1,4 +1,4 @@
-"""Command line: create, add, call, remove."""
+"""Command line: create, add, call, assemble, clusters, status, compact, remove."""
 
 from __future__ import annotations
 
@@ -18,15 +18,18 @@ from readweave.sources import sff, sff_files, text
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="readweave", description=__doc__)
     verbs = parser.add_subparsers(dest="verb", required=True)
-    for verb, more in (("create", ["profile"]), ("add", ["file", "individual"]), ("call", ["out"]), ("remove", ["run"])):
+    for verb, more in (("create", ["profile"]), ("add", ["file", "individual"]), ("call", ["out"]), ("assemble", ["out"]), ("clusters", ["out"]), ("status", ["out"]), ("compact", []), ("remove", ["run"])):
         p = verbs.add_parser(verb)
         p.add_argument("project")
         for name in more:
             p.add_argument(name, **({"choices": sorted(PROFILES)} if name == "profile" else {}))
         if verb == "create":
             p.add_argument("--genome-size", type=int, default=3_000_000_000)
-        if verb == "call":
+        if verb in ("call", "assemble"):
             p.add_argument("--mode", choices=["default", "strict", "short"], default="default")
+        if verb == "call":
+            p.add_argument("--report", help="also write the blocks as text to this folder")
+            p.add_argument("--brackets", action="store_true", help="mark differences in the text's sequences")
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("readweave").getOrCreate()
     if a.verb == "create":
@@ -44,8 +47,21 @@ def main(argv: list[str] | None = None) -> None:
         project.add(run, name, a.individual)
     elif a.verb == "remove":
         project.remove(a.run)
+    elif a.verb == "compact":
+        project.compact()
+    elif a.verb == "status":
+        project.status(a.out)
+    elif a.verb == "clusters":
+        project.cluster_text(a.out)
+    elif a.verb == "assemble":
+        contigs, lines, singletons = project.assemble(a.mode)
+        contigs.write.parquet(f"{a.out}/contigs")
+        lines.write.parquet(f"{a.out}/alignments")
+        singletons.write.parquet(f"{a.out}/singletons")
     else:
         project.call_snps(a.mode).write.parquet(a.out)
+        if a.report:
+            project.report(spark.read.parquet(a.out), a.report, a.brackets)
 
 
 if __name__ == "__main__":

@@ -69,6 +69,25 @@ def updated(state: State, views: DataFrame, max_hits: int) -> State:
     return State(clusters, kept, diffs.join(names, "cluster", "left_anti"))
 
 
+def increment(state: State, views: DataFrame, max_hits: int, every: bool = False) -> State:
+    """What the views of new blocks add to a state: new members, new difference counts, and as clusters those that collapse now.
+
+    Only clusters that the views touch are looked at, unless every says that all have to be measured by max_hits again. A
+    state with these rows beside its own, members and differences of collapsed clusters but their seeds left out, is what updated() gives.
+    """
+    gone = state.clusters.where("is_repeat").select("cluster")
+    live = views.join(gone, "cluster", "left_anti")
+    touched = live.select("cluster").distinct()
+    near = (lambda df: df.join(gone, "cluster", "left_anti")) if every else (lambda df: df.join(touched, "cluster", "left_semi"))
+    held, known = near(state.members), near(state.diffs)
+    fresh = live.select("cluster", "read_id", "individual").distinct().join(held, ["cluster", "read_id"], "left_anti")
+    diffs = block_diffs(live)
+    many = held.select("cluster").unionAll(fresh.select("cluster")).groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_hits)
+    keys = ["cluster", "position", "reference", "target"]
+    apart = known.select(keys).unionByName(diffs.select(keys)).distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_DIFFS)
+    return State(many.select("cluster").union(apart.select("cluster")).distinct(), fresh, diffs)
+
+
 def good(members: DataFrame, diffs: DataFrame, individuals: int) -> DataFrame:
     """(cluster): one or two substitutions at least 40 apart, at least 4 members, a difference other than a gap
     seen in more than one read, and, with several individuals, two of them with two reads each."""

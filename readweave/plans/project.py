@@ -1,7 +1,9 @@
-"""A project: runs added one by one, cluster state kept as snapshots, differences called from it.
+"""A project: runs added one by one, cluster state kept as logs, differences called from it.
 
-State lives in a folder of Parquet tables. Every change writes a new snapshot and then moves a small pointer
-file, so a failed step leaves the state before it.
+State lives in a folder of Parquet tables. A table is a log of parts; a snapshot lists each table's parts, a line of
+text. Adding a run writes the run's own rows and what its blocks add to clusters, so the bytes written follow the
+run, not the project; removing one, or compact(), writes the tables anew. A line counts only once it is written, so a
+failed step leaves the state before it; of two changes made at once one is kept and the other is told.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readweave.functions import sequence as S
@@ -18,18 +20,25 @@ from readweave.operators import culling, kmers, layout, overlap, pileup, reads,
 from readweave.operators.graph import components_of, greedy_cliques, short_components
 from readweave.profiles import GENOME_454, PROFILES, Profile
 from readweave.session import materialize
+from readweave.sources import text
 
 TABLES = {
-    "runs": "run_id string, individual string, run_seq long, bases_added long, bases_used long",
+    "runs": "run_id string, individual string, run_seq long, bases_added long, bases_used long, digest string",
     "reads": "run_id string, read_id string, individual string, seq string, qual array<int>, ord long, run_seq long",
     "repeats": "run_id string, read_id string, seq string",
     "clusters": "cluster string, seq string, is_repeat boolean, ord long",
     "members": "cluster string, read_id string, individual string",
     "diffs": "cluster string, position int, reference string, target string, reads long",
     "blocks": overlap.BLOCK,
+    "collapsed": "cluster string",
 }
 
 
+def digest_of_reads() -> Column:
+    """A number that tells sets of reads(read_id, seq) apart, whatever their order."""
+    return F.sum(F.xxhash64("read_id", "seq").cast("decimal(38,0)")).cast("string")
+
+
 class Project:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -46,23 +55,57 @@ class Project:
         made._save({name: spark.createDataFrame([], schema) for name, schema in TABLES.items()})
         return made
 
-    def _now(self) -> str:
-        return max(r.value for r in self.spark.read.text(f"{self.path}/snapshots").collect()).split(" ")[1]
+    def _lines(self) -> list[tuple[int, str, dict]]:
+        """(turn, name, state) of all snapshots that count: of several lines of one turn the first by name."""
+        held: dict[int, tuple[str, dict]] = {}
+        for r in self.spark.read.text(f"{self.path}/snapshots").collect():  # a line a change
+            turn, name, state = r.value.split(" ", 2)
+            if int(turn) not in held or name < held[int(turn)][0]:
+                held[int(turn)] = (name, json.loads(state))
+        return sorted((turn, *x) for turn, x in held.items())
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{self._now()}/{name}")
+    def _log(self, name: str) -> DataFrame:
+        parts = [f"{self.path}/{p}" for p in self._lines()[-1][2]["parts"][name]]
+        return self.spark.read.schema(TABLES[name]).parquet(*parts)
 
-    def _save(self, tables: dict[str, DataFrame]) -> None:
+    def table(self, name: str) -> DataFrame:
+        """A table as it stands: members and differences of collapsed clusters are left out but for their seeds."""
+        if name not in ("clusters", "members", "diffs"):
+            return self._log(name)
+        gone = self._log("collapsed").distinct()
+        if name == "clusters":
+            flagged = self._log("clusters").drop("is_repeat").join(gone.withColumn("is_repeat", F.lit(True)), "cluster", "left")
+            return flagged.select("cluster", "seq", F.coalesce("is_repeat", F.lit(False)).alias("is_repeat"), "ord")
+        log = self._log(name)
+        if name == "members":
+            own = log.where("cluster = read_id")
+            return log.where("cluster <> read_id").join(gone, "cluster", "left_anti").unionByName(own).select("cluster", "read_id", "individual")
+        return log.join(gone, "cluster", "left_anti").groupBy("cluster", "position", "reference", "target").agg(F.sum("reads").alias("reads"))
+
+    def _save(self, tables: dict[str, DataFrame], add: bool = False, most: int | None = None) -> None:
+        """A new snapshot: the tables given in place of those before, or as further parts of them."""
         try:
-            turn = self.spark.read.text(f"{self.path}/snapshots").count()
+            lines = self._lines()
         except Exception as problem:
             if "PATH_NOT_FOUND" not in str(problem):
                 raise
-            turn = 0
+            lines = []
+        turn = lines[-1][0] + 1 if lines else 0
         name = f"snapshot-{turn:06d}-{uuid.uuid4().hex[:8]}"
+        before = lines[-1][2]["parts"] if lines else {}
         for table, frame in tables.items():
             frame.write.parquet(f"{self.path}/{name}/{table}")
-        self.spark.createDataFrame([(f"{turn:09d} {name}",)], "value string").coalesce(1).write.mode("append").text(f"{self.path}/snapshots")
+        parts = {t: [*(before.get(t, []) if add or t not in tables else []), *([f"{name}/{t}"] if t in tables else [])] for t in TABLES}
+        line = f"{turn:09d} {name} {json.dumps({'parts': parts, 'most': most})}"
+        self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.path}/snapshots")
+        if self._lines()[-1][1] != name:
+            raise RuntimeError("the project was changed by another at the same time; this change was not kept")
+
+    def compact(self) -> None:
+        """Write every table anew as one part."""
+        tables = {t: self.table(t) for t in TABLES}
+        collapsed = tables.pop("collapsed").distinct()
+        self._save(tables | {"collapsed": collapsed}, most=self._lines()[-1][2]["most"])
 
     def totals(self) -> dict[str, int]:
         last = reads.run_totals(self.table("runs"), self.count_first_run).orderBy(F.desc("run_seq")).first()
@@ -95,18 +138,19 @@ class Project:
         # written once: every table below is made from the kept reads and the blocks
         kept = materialize(kept.select([c.split(" ")[0] for c in TABLES["reads"].split(", ")]), "kept")
         added, used = reads.totals(named).first().total_bases, reads.totals(kept).first().total_bases
-        runs = runs.unionByName(self.spark.createDataFrame([(run_id, individual, number, added, used)], TABLES["runs"]))
+        digest = named.agg(digest_of_reads()).first()[0]
+        runs = runs.unionByName(self.spark.createDataFrame([(run_id, individual, number, added, used, digest)], TABLES["runs"]))
         every = self.table("reads").unionByName(kept)
         fresh = C.templates(kept)
         state = C.State(*(self.table(t).unionByName(f) for t, f in (("clusters", fresh.clusters), ("members", fresh.members), ("diffs", fresh.diffs))))
         blocks = materialize(overlap.overlap_blocks(kept, self.table("reads"), self.profile), "blocks")
         counted = reads.run_totals(runs, self.count_first_run).orderBy(F.desc("run_seq")).first().total_bases_added
-        most = S.max_hits(counted, self.genome_size, not self.profile.capped)
-        state = C.updated(state, C.sides(blocks, every, self.profile.overlap), most)
+        most, before = S.max_hits(counted, self.genome_size, not self.profile.capped), self._lines()[-1][2]["most"]
+        more = C.increment(state, C.sides(blocks, every, self.profile.overlap), most, every=before is not None and most < before)
         self._save({
-            "runs": runs, "reads": every, "repeats": self.table("repeats").unionByName(repeats.select("run_id", "read_id", "seq")),
-            "clusters": state.clusters, "members": state.members, "diffs": state.diffs, "blocks": self.table("blocks").unionByName(blocks),
-        })
+            "runs": runs.where(F.col("run_seq") == number), "reads": kept, "repeats": repeats.select("run_id", "read_id", "seq"), "blocks": blocks,
+            "clusters": fresh.clusters, "members": fresh.members.unionByName(more.members), "diffs": more.diffs, "collapsed": more.clusters,
+        }, add=True, most=most)
 
     def remove(self, run_id: str) -> None:
         """Take a run out: its reads, the clusters they seed, their memberships; differences they brought stay."""
@@ -117,7 +161,35 @@ class Project:
             "runs": self.table("runs").where(F.col("run_id") != run_id), "reads": reads.remove_run(self.table("reads"), run_id), "repeats": reads.remove_run(self.table("repeats"), run_id),
             "clusters": self.table("clusters").join(names, "cluster", "left_anti"), "members": self.table("members").join(names, "cluster", "left_anti").join(gone, "read_id", "left_anti").select("cluster", "read_id", "individual"),
             "diffs": self.table("diffs").join(names, "cluster", "left_anti"), "blocks": blocks.select(self.table("blocks").columns),
-        })
+            "collapsed": self.table("collapsed").join(names, "cluster", "left_anti").distinct(),
+        }, most=self._lines()[-1][2]["most"])
+
+    def report(self, found: DataFrame, path: str, brackets: bool = False) -> None:
+        """The blocks of call_snps as report text; brackets mark the differences in the sequence."""
+        text.report_text(found.withColumn("contig", F.col("cluster")), brackets).write.text(path)
+
+    def status(self, path: str) -> None:
+        """The project's values and runs as a status file."""
+        runs, totals = self.table("runs"), self.totals()
+        values = {"kind": self.profile.name, "binaries": "-", "genome_size": self.genome_size, "runs": runs.count()} | totals
+        text.write_status(self.spark, values, runs.select(F.col("run_id").alias("run_file"), "individual", "run_seq"), path)
+
+    def cluster_text(self, path: str) -> None:
+        """All clusters with their members and differences as cluster text."""
+        members = self.table("members").groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct((F.col("read_id") != F.col("cluster")).alias("later"), "read_id", "individual"))).alias("ms"))
+        diffs = self.table("diffs").groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("position", "reference", "target", "reads"))).alias("diffs"))
+        none = F.expr("cast(array() as array<struct<position:int,reference:string,target:string,reads:bigint>>)")
+        joined = self.table("clusters").join(members, "cluster").join(diffs, "cluster", "left").withColumn("diffs", F.coalesce("diffs", none))
+        text.write_clusters(joined.select("cluster", "seq", "is_repeat", F.transform("ms", lambda m: F.struct(m["read_id"].alias("read_id"), m["individual"].alias("individual"))).alias("members"), "diffs"), path)
+
+    def assemble(self, mode: str = "default") -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(contigs, alignment lines, singletons) of the selected clusters, without a search for differences."""
+        selected = materialize(self.selected(mode), "selected")
+        placement, seen = self.observations(selected)
+        seen = materialize(seen, "observations")
+        lying = seen.groupBy("contig_id", "read_id").agg(F.min("pos").alias("offset"), F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("cs"))
+        lines = lying.select("contig_id", "read_id", F.concat(F.expr("repeat(' ', offset)"), F.array_join(F.transform("cs", lambda x: x["base"]), "")).alias("line"))
+        return pileup.contigs(pileup.consensus(seen)), lines, pileup.singletons(selected, placement)
 
     def selected(self, mode: str = "default") -> DataFrame:
         """(cluster, read_id): the reads of each cluster to assemble. mode: default (disjoint), strict (cliques), short."""

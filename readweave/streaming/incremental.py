@@ -3,28 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from readweave.plans.project import Project
+from readweave.plans.project import Project, digest_of_reads
 
 
 def add_runs(stream: DataFrame, project: Project, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Start a query that adds the runs of a stream(run_id, individual, read_id, seq, qual, ord).
 
     A run comes whole in one micro-batch; runs of a batch are added in order of their names. A run that is
-    already there with as many bases is skipped, so a batch that is repeated after a failure changes nothing. With
-    other bases, more of a run has come late: the query fails, and no row is lost silently.
+    already there with the same reads is skipped, so a batch that is repeated after a failure changes nothing. With
+    other reads, more of a run has come late: the query fails, and no row is lost silently.
     """
 
     def fold(batch: DataFrame, _: int) -> None:
         batch.persist()
-        known = {r.run_id: r.bases_added for r in project.table("runs").collect()}  # one row for each run
-        brought = batch.groupBy("run_id", "individual").agg(F.sum(F.length("seq")).alias("bases")).collect()
-        for run_id, individual, bases in sorted(map(tuple, brought)):
+        known = {r.run_id: r.digest for r in project.table("runs").collect()}  # one row for each run
+        brought = batch.groupBy("run_id", "individual").agg(digest_of_reads().alias("digest")).collect()
+        for run_id, individual, digest in sorted(map(tuple, brought)):
             if run_id not in known:
                 project.add(batch.where(batch.run_id == run_id), run_id, individual)
-            elif known[run_id] != bases:
+            elif known[run_id] != digest:
                 raise ValueError(f"rows of run {run_id} came after it was added")
         batch.unpersist()
 
