@@ -206,18 +206,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def likely_pairs(docs: DataFrame) -> DataFrame:
-    """(a, b): names of five-word shingle sets whose fingerprints are equal, or hang together within the distance."""
+    """(x, y): keys of five-word shingle sets whose fingerprints are equal, or hang together within the distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in T.blocks(batches):
             hashes, at = jaccard.shingle_sets(part.column("text"))
-            prints = _majority(hashes, at).view(np.int64)
-            yield pa.RecordBatch.from_arrays([jaccard.binaries(jaccard.names(hashes, at)), pa.array(prints)], ["set_id", "fp"]).filter(pa.array(np.diff(at) > 0))
+            columns = [jaccard.keys(jaccard.names(hashes, at)), _majority(hashes, at).view(np.int64)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "fp"]).filter(pa.array(np.diff(at) > 0))
 
-    prints = materialize(docs.select(F.col("text").cast("string")).mapInArrow(run, "set_id binary, fp long").distinct(), "set-prints")
-    classes = materialize(prints.groupBy("fp").agg(F.min("set_id").alias("rep")), "print-classes")
-    equal = prints.join(classes, "fp").where("set_id <> rep").select(F.col("rep").alias("a"), F.col("set_id").alias("b"))
-    return equal.unionAll(links(classes).toDF("a", "b"))
+    prints = materialize(docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, fp long").distinct(), "set-prints")
+    classes = materialize(prints.groupBy("fp").agg(F.min("key").alias("rep")), "print-classes")
+    equal = prints.join(classes, "fp").where("key <> rep").select(F.col("rep").alias("x"), F.col("key").alias("y"))
+    return equal.unionAll(links(classes).toDF("x", "y"))
 
 
 def keep_one_similar(docs: DataFrame) -> DataFrame:
