@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from readweave.functions import sequence as S
 from readweave.operators import clusters as C
-from readweave.operators import culling, graph, kmers, overlap, pileup, snps
+from readweave.operators import culling, graph, kmers, layout, overlap, pileup, snps
 from readweave.operators import reads as R
 from readweave.plans import views as V
 from readweave.session import materialize, scratch_dir
+from readweave.sources import sff_files
 from readweave.sources import text as sources
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,11 +227,25 @@ def exact_runs(spark, sf_dir):
 
 @query()
 def overlap_blocks(spark, sf_dir):
-    """Extended blocks of the last run with all older ones on both strands."""
+    """Gapped blocks of the last run with all older ones on both strands."""
     from readweave.profiles import TRANSCRIPT_454
 
     new, old = _newest(spark, sf_dir)
-    return overlap.overlap_blocks(new, old, TRANSCRIPT_454).select("name1", "s1", "o1", "name2", "s2", "o2", "strand2", "score")
+    return overlap.overlap_blocks(new, old, TRANSCRIPT_454).select("name1", "s1", "o1", "name2", "s2", "o2", "strand2", "score", *(F.length(F.regexp_replace(c, "[^-]", "")).alias(f"gaps{c[-1]}") for c in ("aln1", "aln2")))
+
+
+@query()
+def layout_columns(spark, sf_dir):
+    """The last run's reads as seeds, all reads that overlap them laid along them: columns, inserted ones, gaps and the consensus' length."""
+    from readweave.profiles import TRANSCRIPT_454
+
+    new, old = _newest(spark, sf_dir)
+    blocks = materialize(overlap.overlap_blocks(new, old, TRANSCRIPT_454), "query-blocks")
+    chosen = blocks.select(F.col("name1").alias("cluster")).distinct()
+    reads = new.unionByName(old).withColumn("qual", F.array_repeat(F.lit(30), F.length("seq")))
+    seen = materialize(layout.observations(layout.best_alignments(blocks, chosen), chosen, reads), "query-layout")
+    each = seen.groupBy("contig_id").agg(F.count_distinct("read_id").alias("n_reads"), F.count_distinct("pos").alias("n_columns"), F.count_distinct(F.when(F.col("q") > 0, F.col("pos"))).alias("n_inserted"), F.count_if(F.col("base") == "*").alias("n_gaps"))
+    return each.join(pileup.contigs(pileup.consensus(seen)).select("contig_id", "length"), "contig_id")
 
 
 _VIEWS = f"""{V.BLOCKS}, views AS (SELECT name2 AS cluster, name1 AS read_id, aln2 AS ref, aln1 AS tgt, s2 AS "start", o2 AS n FROM blocks WHERE o1 > 11 AND o2 > 11
@@ -433,6 +448,36 @@ def fasta_source(spark, sf_dir):
     return sources.read_fasta(spark, path).select("read_id", "seq")
 
 
+def _flowgrams(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of flowgram files of all reads with a base."""
+    reads = V.reads(spark, sf_dir).where(F.length("seq") > 0)
+    n = F.length("seq")
+    made = reads.select(
+        "read_id", n.alias("num_bases"), *(F.lit(0).alias(c) for c in ("clip_qual_left", "clip_qual_right", "clip_adapter_left", "clip_adapter_right")),
+        F.array_repeat(F.lit(100), 400).alias("flowgram"), F.array_repeat(F.lit(1), n).alias("flow_index"), F.col("seq").alias("bases"), F.array_repeat(F.lit(30), n).alias("quality"),
+    )
+    path = _spot(spark, "flowgrams")
+    sff_files.write_files(made, path, "TACG" * 100)
+    return path
+
+
+@query(f"WITH {V.READS} SELECT read_id, CAST(length(seq) AS INTEGER) AS num_bases, seq AS bases FROM reads WHERE length(seq) > 0")
+def sff_source(spark, sf_dir):
+    """Reads written as flowgram files, one a task, and read again by byte ranges."""
+    return sff_files.read_sff(spark, _flowgrams(spark, sf_dir)).select("read_id", "num_bases", "bases")
+
+
+@query(f"WITH {V.READS} SELECT read_id, CAST(length(seq) AS INTEGER) AS num_bases, md5(seq) AS bases_md5 FROM reads WHERE length(seq) > 0 AND run_seq = (SELECT max(run_seq) FROM reads)")
+def sff_lookup(spark, sf_dir):
+    """The newest run's reads through the stored index of all flowgram files: only their records are read."""
+    path = _flowgrams(spark, sf_dir)
+    sff_files.write_index(sff_files.scan(spark, path), f"{path}-index", 16)
+    every = V.reads(spark, sf_dir)
+    last = every.agg(F.max("run_seq").alias("last"))
+    names = every.crossJoin(F.broadcast(last)).where("run_seq = last").select("read_id")
+    return sff_files.lookup(spark, f"{path}-index", names).select("read_id", "num_bases", F.md5("bases").alias("bases_md5"))
+
+
 @query(f"WITH {V.READS} SELECT read_id, seq, translate(seq, 'ACGT', 'BJR^') AS qual_ascii FROM reads")
 def fastq_source(spark, sf_dir):
     path = _spot(spark, "fastq")
