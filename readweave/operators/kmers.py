@@ -105,8 +105,9 @@ def _dealt(reads: DataFrame, k: int, keep: list[str]) -> DataFrame:
     return long.repartition(shuffle_partitions(reads.sparkSession), "read_id") if "read_id" in keep else long.repartition(shuffle_partitions(reads.sparkSession))
 
 
-def places(reads: DataFrame, k: int, keep: list[str] | None = None, upper: bool = True, canonical: bool = False) -> DataFrame:
-    """(*keep, i, code): every k-mer of every read, i from 0; canonical takes the lesser of it and its complement."""
+def places(reads: DataFrame, k: int, keep: list[str] | None = None, upper: bool = True, canonical: bool = False, turned: bool = False) -> DataFrame:
+    """(*keep, i, code): every k-mer of every read, i from 0; canonical takes the lesser of it and its complement, turned adds
+    that of the complement as back."""
     keep = keep or ["read_id"]
     dealt = _dealt(reads, k, keep)
 
@@ -114,9 +115,11 @@ def places(reads: DataFrame, k: int, keep: list[str] | None = None, upper: bool
         for part in _steps(batches):
             read, place, code, back = codes(part.column("seq"), k, upper)
             at = pa.array(read)
-            yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in keep), pa.array(place), pa.array(np.minimum(code, back) if canonical else code)], [*keep, "i", "code"])
+            columns = [pa.array(place), pa.array(np.minimum(code, back) if canonical else code), *([pa.array(back)] if turned else [])]
+            yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in keep), *columns], schema.names)
 
     schema = StructType([dealt.schema[c] for c in keep]).add("i", "long").add("code", "long")
+    schema = schema.add("back", "long") if turned else schema
     return dealt.mapInArrow(run, schema)
 
 
