@@ -192,7 +192,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose score is at least `least`, in one pass, with all their columns."""
+    """The rows of docs whose score is at least `least`, in one pass, with all their columns.
+
+    A row is judged by its text alone: a null text is an empty one and is judged like any other, equal texts share their fate, repeated rows and
+    ids stay as often as they are there, and a score of exactly `least` stays. No column but text is looked at,
+    whatever the others are called; no rows give no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in T.blocks(batches):

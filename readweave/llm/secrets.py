@@ -181,7 +181,11 @@ def masked(text: str, spans: list[tuple[int, int, int]], put: str) -> str:
 
 
 def redact(docs: DataFrame, put: str = "[secret]") -> DataFrame:
-    """docs with secrets in text replaced; n_chars, where there is one, follows the new text. Rows stay."""
+    """docs with secrets in text replaced; n_chars, where there is one, follows the new text. Rows stay.
+
+    Null and empty texts, and texts without a secret, stay as they are, their n_chars too; spans that touch or overlap are
+    replaced once; repeated rows and ids stay. Other columns are passed on, whatever they are called; no rows give no rows.
+    """
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
