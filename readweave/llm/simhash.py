@@ -243,10 +243,22 @@ def keep_one_similar(docs: DataFrame) -> DataFrame:
     classes = materialize(rows.groupBy("set_id").agg(least.alias("w")), "classes")
     groups = classes.join(found, classes.set_id == found.node, "left").groupBy(F.coalesce("component", "set_id").alias("c")).agg(F.min("w").alias("w"))
     winners = groups.select(F.col("w.k").alias(key))
-    # written first, so that their size is known: while it is below Spark's broadcast threshold, texts are not shuffled
     losers = materialize(rows.select(F.col("k").alias(key)).distinct().join(winners, key, "left_anti"), "losers")
     repeated = materialize(rows.groupBy("k").count().where("count > 1").select(F.col("k").alias(key)), "repeated")
-    kept = named.join(losers, key, "left_anti")
-    once = kept.join(repeated, key, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
-    again = kept.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(key + "row"))
-    return once.unionByName(again.select(f"`{key}row`.*"))
+    # a bounded filter tells which rows may go or be repeated; the texts of all others are not shuffled
+    sent = docs.sparkSession.sparkContext.broadcast(jaccard.filter_of(losers.unionAll(repeated).select(F.xxhash64(key).alias("h"))))
+    placed = named.withColumn(key + "at", F.pmod(F.xxhash64(key), F.lit(jaccard.FILTER_BITS)))
+
+    def part(marked: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in T.blocks(batches):
+                at = batch.column(key + "at").to_numpy()
+                yield batch.filter(pa.array(((sent.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0) == marked))
+
+        return placed.mapInArrow(run, placed.schema)
+
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    kept = part(True).join(losers, key, "left_anti")
+    once = kept.join(repeated, key, "left_anti").select(columns)
+    again = kept.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*columns)).alias(key + "row"))
+    return part(False).select(columns).unionByName(once).unionByName(again.select(f"`{key}row`.*"))
