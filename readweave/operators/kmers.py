@@ -24,8 +24,10 @@ STEP = 2 << 20
 #: The share of distinct k-mers at which each cutoff is read.
 SHARES = {"low": 0.90, "extend": 0.99, "threshold": 0.995, "high": 0.998}
 SPAN = 5
-#: Distinct words over the lowest cutoff that are sent to every task (16 bytes each); with more, words are joined.
+#: Distinct words over the lowest cutoff that are sent to every task (16 bytes each); with more, the most frequent ones are.
 SENT = 1 << 22
+#: Numbers of 64 bits in the filter that marks the words which are not sent; a power of two.
+FILTER = 1 << 22
 
 _EITHER = np.full(256, 4, np.uint8)
 _UPPER = np.full(256, 4, np.uint8)
@@ -205,30 +207,66 @@ def mask_intervals(means: DataFrame, k: int, extend: int, threshold: int, span:
     return islands.where("at is not null").select("read_id", start.cast("long").alias("start"), (F.col("at") + (k + span - 1)).cast("long").alias("end"))
 
 
+def _marks(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the one of size numbers of the filter that it belongs to, and three bits of it."""
+    one = np.uint64(1)
+    h = code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    g = (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    bits = [one << ((g >> np.uint64(shift)) & np.uint64(63)) for shift in (58, 52, 46)]
+    return ((h >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64), bits[0] | bits[1] | bits[2]
+
+
 class Scores:
-    """Scores of words as sorted arrays: only the words over the lowest cutoff are held, all others score alike."""
+    """Scores of words as sorted arrays: only words over the lowest cutoff are held, others score alike.
 
-    def __init__(self, keys: np.ndarray, cnt: np.ndarray, cuts: dict):
+    Words over the cutoff that are not held are marked in a filter, which marks some others too; their counts are at
+    most `most`, so that a window's mean has an upper bound before its words are looked up.
+    """
+
+    def __init__(self, keys: np.ndarray, cnt: np.ndarray, cuts: dict, marks: np.ndarray | None = None, most: int = 0):
         order = np.argsort(keys)
         self.keys, self.values = keys[order], np.minimum(cnt, cuts["high"])[order]
         self.rest, self.cuts = cuts["low"] // 2, cuts
+        self.marks, self.most = marks, min(most, cuts["high"])
 
-    def means(self, column: pa.Array, k: int, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(read, j, mean) as window_means gives them, for a column of reads."""
+    def words(self, column: pa.Array, k: int) -> tuple[np.ndarray, ...]:
+        """(read, place, word, score, open): open words may be over the cutoff and are not held."""
         read, place, code, back = codes(column, k)
-        score = np.full(len(code), self.rest, np.int64)
+        least = np.minimum(code, back)
+        score, held = np.full(len(code), self.rest, np.int64), np.zeros(len(code), dtype=bool)
         if len(self.keys):
-            least = np.minimum(code, back)
             at = np.minimum(np.searchsorted(self.keys, least), len(self.keys) - 1)
             held = self.keys[at] == least
             score[held] = self.values[at[held]]
-        total = np.concatenate([[0], np.cumsum(score)])
-        at = np.flatnonzero(read[:-span] == read[span:])  # a further word follows the window
-        return read[at], place[at], (total[at + span] - total[at]) // span
-
-    def spans(self, column: pa.Array, k: int, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.marks is None:
+            return read, place, least, score, np.zeros(len(code), dtype=bool)
+        number, bits = _marks(least, len(self.marks))
+        return read, place, least, score, ~held & (self.marks[number] & bits == bits)
+
+    def asked(self, column: pa.Array, k: int, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(read, place, word) of the open words of reads in which some window may be over the threshold."""
+        read, place, least, score, open_ = self.words(column, k)
+        at, mean = _means(read, np.where(open_, self.most, score), span)
+        hopeful = np.zeros(len(column), dtype=bool)
+        hopeful[read[at[mean > self.cuts["threshold"]]]] = True
+        some = open_ & hopeful[read]
+        return read[some], place[some], least[some]
+
+    def means(self, column: pa.Array, k: int, span: int = SPAN, told: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(read, j, mean) as window_means gives them, for a column of reads; told: (i, score) of open words of each read."""
+        read, place, _, score, _ = self.words(column, k)
+        if told is not None:
+            told = pc.fill_null(told, pa.scalar([], told.type))
+            flat = told.flatten()
+            of = np.repeat(np.arange(len(told)), np.asarray(pc.list_value_length(told), np.int64))
+            wide = int(place.max(initial=0)) + 1
+            score[np.searchsorted(read * wide + place, of * wide + np.asarray(flat.field("i")))] = np.asarray(flat.field("score"))
+        at, mean = _means(read, score, span)
+        return read[at], place[at], mean
+
+    def spans(self, column: pa.Array, k: int, span: int = SPAN, told: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(read, start, end) as mask_intervals gives them."""
-        read, j, mean = self.means(column, k, span)
+        read, j, mean = self.means(column, k, span, told)
         if not len(read):
             return read, j, j
         hit = mean > self.cuts["threshold"]
@@ -240,6 +278,13 @@ class Scores:
         return read[last], np.where(between > self.cuts["extend"], j[first], j[last]), j[last] + (k + span - 1)
 
 
+def _means(read: np.ndarray, score: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that a further word of their read follows, by their first word, and their integer means."""
+    total = np.concatenate([[0], np.cumsum(score)])
+    at = np.flatnonzero(read[:-span] == read[span:])
+    return at, (total[at + span] - total[at]) // span
+
+
 def _sent(counts: DataFrame, cuts: dict):
     """The scores as a broadcast, or None if they are too many."""
     over = counts.where(F.col("cnt") > cuts["low"])
@@ -249,6 +294,31 @@ def _sent(counts: DataFrame, cuts: dict):
     return counts.sparkSession.sparkContext.broadcast(Scores(held.column("code").to_numpy(), held.column("cnt").to_numpy(), cuts))
 
 
+def _sent_in_part(counts: DataFrame, cuts: dict):
+    """(broadcast, rest): the scores of the most frequent words and a filter of the others over the cutoff, rest(code, score)."""
+    over = counts.where(F.col("cnt") > cuts["low"])
+    histogram = over.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"))
+    # as many rows as there are different counts; the window sees only those
+    running = histogram.withColumn("upto", F.sum("n").over(Window.orderBy(F.desc("cnt"))))
+    least = running.where(F.col("upto") <= SENT).agg(F.min("cnt")).first()[0]
+    most = running.agg(F.max("cnt")).first()[0] if least is None else least - 1
+    rest = over.where(F.col("cnt") <= most)
+    held = over.where(F.col("cnt") > most).select("code", "cnt").toArrow()  # SENT rows at most
+
+    size = FILTER
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number, bits = _marks(batch.column("code").to_numpy(), size)
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(bits.view(np.int64))], ["number", "bits"])
+
+    marked = rest.select("code").mapInArrow(mark, "number long, bits long").groupBy("number").agg(F.bit_or("bits").alias("bits")).toArrow()  # FILTER rows at most
+    marks = np.zeros(size, np.uint64)
+    marks[marked.column("number").to_numpy()] = marked.column("bits").to_numpy().view(np.uint64)
+    sent = Scores(held.column("code").to_numpy(), held.column("cnt").to_numpy(), cuts, marks, most)
+    return counts.sparkSession.sparkContext.broadcast(sent), rest.select("code", F.least("cnt", F.lit(cuts["high"])).cast("long").alias("score"))
+
+
 def means(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:
     """window_means of counted words: in one pass over whole reads where the words that matter are few enough to send."""
     sent = _sent(counts, cuts)
@@ -264,17 +334,31 @@ def means(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:
 
 
 def intervals(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:
-    """mask_intervals of counted words, in one pass over whole reads where that can be."""
-    sent = _sent(counts, cuts)
+    """mask_intervals of counted words, from whole reads.
+
+    Where the words over the lowest cutoff are too many to send, the most frequent ones are sent, with a filter of the
+    others. Only words that the filter marks, of reads in which a window may be over the threshold, are joined to their
+    scores; none of them is frequent, and what they score comes back to the reads, which stay where they are.
+    """
+    sent, dealt = _sent(counts, cuts), _dealt(reads, k, ["read_id"])
     if sent is None:
-        return mask_intervals(window_means(reads, scored(counts, cuts), k), k, cuts["extend"], cuts["threshold"])
+        sent, rest = _sent_in_part(counts, cuts)
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in _steps(batches):
+                read, place, word = sent.value.asked(part.column("seq"), k)
+                yield pa.RecordBatch.from_arrays([part.column("read_id").take(pa.array(read)), pa.array(place), pa.array(word)], ["read_id", "i", "code"])
+
+        asked = dealt.mapInArrow(ask, "read_id string, i long, code long")
+        told = asked.join(rest, "code").groupBy("read_id").agg(F.collect_list(F.struct("i", "score")).alias("told"))
+        dealt = dealt.join(told, "read_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _steps(batches):
-            read, start, end = sent.value.spans(part.column("seq"), k)
+            read, start, end = sent.value.spans(part.column("seq"), k, told=part.column("told") if "told" in part.schema.names else None)
             yield pa.RecordBatch.from_arrays([part.column("read_id").take(pa.array(read)), pa.array(start), pa.array(end)], ["read_id", "start", "end"])
 
-    return _dealt(reads, k, ["read_id"]).mapInArrow(run, "read_id string, start long, end long")
+    return dealt.mapInArrow(run, "read_id string, start long, end long")
 
 
 def masked(reads: DataFrame, counts: DataFrame, cuts: dict, k: int) -> DataFrame:

@@ -285,19 +285,40 @@ def test_gap_alternation():
     assert snps.alternations([plain("G"), column("AAA*", "A"), column("***C", "*"), plain("T")]) == []
 
 
-def test_both_ways_of_masking_agree(spark, monkeypatch):
-    """Scores sent to the tasks, and words joined to their scores, give the same means and spans."""
+def test_all_ways_of_masking_agree(spark, monkeypatch):
+    """All scores sent to the tasks, some of them, or none, with full and tiny filters, give the same means and spans."""
     rng = random.Random(8)
     motif = "".join(rng.choice("ACGT") for _ in range(40))
     made = [(f"r{k}", "".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 90))) + (motif + "N" * (k % 2) + motif if k % 3 else "") + "".join(rng.choice("ACGTN") for _ in range(rng.randrange(0, 60)))) for k in range(60)]
     reads = spark.createDataFrame(made, "read_id string, seq string").repartition(3)
     counts = kmers.code_counts(reads, 7).cache()
     cuts = {"low": 2, "extend": 3, "threshold": 5, "high": 30}
-    both = []
-    for most in (1 << 22, 0):
+    found = []
+    for most, size in ((1 << 22, 1 << 22), (0, 1 << 22), (20, 1 << 10), (0, 4)):
         monkeypatch.setattr(kmers, "SENT", most)
-        both.append((rows(kmers.means(reads, counts, cuts, 7)), rows(kmers.intervals(reads, counts, cuts, 7)), rows(kmers.masked(reads, counts, cuts, 7))))
-    assert both[0] == both[1] and len(both[0][1]) > 5
+        monkeypatch.setattr(kmers, "FILTER", size)
+        found.append((rows(kmers.means(reads, counts, cuts, 7)), rows(kmers.intervals(reads, counts, cuts, 7)), rows(kmers.masked(reads, counts, cuts, 7))))
+    assert all(f == found[0] for f in found) and len(found[0][1]) > 5
+    by_join = kmers.mask_intervals(kmers.window_means(reads, kmers.scored(counts, cuts), 7), 7, cuts["extend"], cuts["threshold"])
+    assert rows(by_join) == found[0][1]
+
+
+def test_words_are_asked_for_only_where_a_window_may_be_masked(spark, monkeypatch):
+    """Words are looked up for reads whose windows may be over the threshold only, and reads are dealt once."""
+    rng = random.Random(3)
+    motif = "".join(rng.choice("ACGT") for _ in range(60))
+    made = [(f"r{k:03d}", "".join(rng.choice("ACGT") for _ in range(150)) + (motif if k < 20 else "")) for k in range(200)]
+    reads = spark.createDataFrame(made, "read_id string, seq string")
+    counts = spark.createDataFrame(kmers.code_counts(reads, 13).collect(), "code long, cnt long")
+    cuts = {"low": 1, "extend": 3, "threshold": 5, "high": 30}
+    monkeypatch.setattr(kmers, "SENT", 0)
+    sent, rest = kmers._sent_in_part(counts, cuts)
+    batch = reads.select("seq").toArrow().column(0).combine_chunks()
+    read, place, word = sent.value.asked(batch, 13)
+    assert set(range(20)) <= set(read.tolist()) and len(set(read.tolist())) < 80 and rest.count() >= 48
+    assert {int(w) for w in word} >= {r.code for r in counts.where("cnt >= 20").collect()}
+    plan = kmers.intervals(reads, counts, cuts, 13)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("ENSURE_REQUIREMENTS") == 3 and len(rows(kmers.intervals(reads, counts, cuts, 13))) > 0
 
 
 def plain_alternations(columns):
