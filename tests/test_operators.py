@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -385,3 +386,41 @@ def test_snp_rules(spark):
     df = spark.createDataFrame(units, "cluster string, pos int, individual string, base string, quals array<int>")
     assert rows(snps.accepted(blocks, df, snps.Rules()).select("cluster", "good")) == [("far", [n - 50]), ("side", [50])]
     assert snps.accepted(blocks, df.where("individual = 'i'"), snps.Rules(two_names=True)).count() == 0
+
+
+def test_many_spans_are_lowered_in_one_pass_and_masking_joins_no_texts(spark):
+    import time
+
+    import pyarrow as pa
+
+    text = pa.array(["AcGTN" * 80_000, None, "", "ACGT"])
+    spans = np.arange(0, 400_000, 4)
+    began = time.time()
+    got = kmers.lowered(text, np.append(np.zeros(len(spans), np.int64), [3]), np.append(spans, [2]), np.append(spans + 2, [9])).to_pylist()
+    assert time.time() - began < 5  # 100,000 copies of 400,000 bases took much longer
+    upper = "ACGTN" * 80_000
+    assert got[0] == "".join(x.lower() if i % 4 < 2 else x for i, x in enumerate(upper)) and got[1:] == ["", "", "ACgt"]
+    assert kmers.lowered(text.slice(2), np.array([1]), np.array([1]), np.array([3])).to_pylist() == ["", "AcgT"]
+    reads = spark.createDataFrame([("a", "ACGTTGCAAC" * 9), ("b", "ACG"), ("c", None)], "read_id string, seq string")
+    cuts = {"low": 1, "extend": 3, "threshold": 5, "high": 30}
+    made = kmers.masked(reads, kmers.code_counts(reads, 7), cuts, 7)
+    assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
+    assert rows(made.select("read_id", "seq")) == [("a", ("ACGTTGCAAC" * 9).lower()), ("b", "acg"), ("c", None)]
+
+
+def test_words_that_decide_nothing_are_not_asked_for():
+    """A low window before a masked one settles what lies between; words up to a cutoff bound their windows."""
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    text = pa.array(["".join(rng.choice("ACGT") for _ in range(600))])
+    read, place, code, back = kmers.codes(text, 13)
+    least = np.minimum(code, back)
+    cuts = {"low": 2, "extend": 10, "threshold": 20, "high": 100}
+    marks = []
+    for own, bound in ((least, 10), (least[:0], 20), (least[300:310], 100)):
+        filter_ = np.zeros(1 << 16, np.uint64)
+        np.bitwise_or.at(filter_, *kmers._marks(own, 1 << 16))
+        marks.append((filter_, bound))
+    asked = kmers.Scores(least[:0], least[:0], cuts, marks).asked(text, 13)[1]
+    assert {int(x) for x in asked} >= set(range(296, 314)) and len(asked) < 40
