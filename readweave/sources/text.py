@@ -57,14 +57,15 @@ def write_quality_text(reads: DataFrame, path: str) -> None:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, number, value): lines with their number in the file, from 0, however the file is split.
 
-    Lines are numbered inside each split; splits learn from the sizes of those before them, one small row each.
+    Lines are numbered inside each split; splits learn from the sizes of those before them, one small row each, which are sent
+    to the lines: a shuffle by split would gather each split's lines in one task.
     """
     at = F.monotonically_increasing_id()
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), at.alias("id"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     sizes = sizes.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return lines.join(sizes, ["file", "block"]).select("file", (F.col("offset") + F.col("id") - F.col("first")).alias("number"), "value")
+    return lines.join(F.broadcast(sizes), ["file", "block"]).select("file", (F.col("offset") + F.col("id") - F.col("first")).alias("number"), "value")
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +81,10 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_fastq(reads: DataFrame, path: str, offset: int = 33) -> None:
-    reads.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), S.phred_encode(F.col("qual"), offset)).alias("value")).write.text(path)
+    """Four-line records. The format has no null: reads without a name, sequence or qualities are left out, since a blank line would
+    break the records after it."""
+    held = reads.dropna(subset=["read_id", "seq", "qual"])
+    held.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), S.phred_encode(F.col("qual"), offset)).alias("value")).write.text(path)
 
 
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:
