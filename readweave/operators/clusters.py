@@ -12,8 +12,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from readweave.session import materialize, partitions_for
+
 #: Fixed value: differences over which a cluster collapses.
 MOST_DIFFS = 15
+#: Views of a cluster over which its differences are added up in many tasks before they meet in one.
+CROWD = 1 << 20
 
 
 @dataclass
@@ -32,19 +36,40 @@ def templates(reads: DataFrame) -> State:
     return State(clusters, members, diffs)
 
 
-def sides(blocks: DataFrame, individuals: DataFrame, least: int) -> DataFrame:
-    """Both views of each block over least: (cluster, read_id, individual, ref, tgt, start, n)."""
+def both_sides(blocks: DataFrame, least: int) -> DataFrame:
+    """Both views of each block over least: (cluster, read_id, ref, tgt, start, n)."""
     kept = blocks.where((F.col("o1") > least) & (F.col("o2") > least))
     one = kept.select(F.col("name2").alias("cluster"), F.col("name1").alias("read_id"), F.col("aln2").alias("ref"), F.col("aln1").alias("tgt"), F.col("s2").alias("start"), F.col("o2").alias("n"))
     two = kept.select(F.col("name1").alias("cluster"), F.col("name2").alias("read_id"), F.col("aln1").alias("ref"), F.col("aln2").alias("tgt"), F.col("s1").alias("start"), F.col("o1").alias("n"))
-    return one.unionByName(two).join(individuals.select("read_id", "individual"), "read_id")
+    return one.unionByName(two)
 
 
-def block_diffs(views: DataFrame) -> DataFrame:
+def sides(blocks: DataFrame, individuals: DataFrame, least: int) -> DataFrame:
+    """both_sides with the reads' individuals."""
+    return both_sides(blocks, least).join(individuals.select("read_id", "individual"), "read_id")
+
+
+def block_diffs(views: DataFrame, crowd: int | None = None) -> DataFrame:
     """(cluster, position, reference, target, reads): columns that differ, both unmasked and neither N; gaps count.
 
-    position is the start plus the alignment column; each block counts once.
+    position is the start plus the alignment column; each block counts once. A view makes many rows that hardly ever
+    repeat within a task, so with crowd, which goes over the views once more, they are shuffled by cluster, not those rows. Only in
+    clusters of over crowd views, of which there are few, are the rows added up before the shuffle.
     """
+    if crowd is None:
+        return _summed(views)
+    views = views.select("cluster", "start", "n", "ref", "tgt")
+    counts = views.groupBy("cluster").agg(F.count(F.lit(1)).alias("views"))
+    total, most = counts.agg(F.sum("views"), F.max("views")).first()
+    n = partitions_for(views.sparkSession, total or 0)
+    if (most or 0) <= crowd:
+        return _summed(views.repartition(n, "cluster"))
+    crowded = F.broadcast(counts.where(F.col("views") > crowd).select("cluster"))
+    # no cluster is in both parts
+    return _summed(views.join(crowded, "cluster", "left_anti").repartition(n, "cluster")).unionByName(_summed(views.join(crowded, "cluster", "left_semi")))
+
+
+def _summed(views: DataFrame) -> DataFrame:
     masked = lambda c: c.rlike("[a-z]")
     pairs = F.zip_with(F.split(F.expr("substring(ref, 1, n)"), ""), F.split(F.expr("substring(tgt, 1, n)"), ""), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     numbered = F.transform(pairs, lambda x, i: F.struct(i.alias("i"), x["a"].alias("a"), x["b"].alias("b")))
@@ -57,12 +82,19 @@ def block_diffs(views: DataFrame) -> DataFrame:
 
 def updated(state: State, views: DataFrame, max_hits: int) -> State:
     """State after the views of new blocks. A cluster of more than max_hits members or MOST_DIFFS differences
-    collapses to its seed, for good."""
-    members = state.members.unionByName(views.select("cluster", "read_id", "individual")).distinct()
-    diffs = state.diffs.unionByName(block_diffs(views)).groupBy("cluster", "position", "reference", "target").agg(F.sum("reads").alias("reads"))
+    collapses to its seed, for good.
+
+    Differences are looked for only where members, which are fewer, have not settled that a cluster collapses. Members, differences and
+    names of collapsed clusters are written, since the state goes over each several times.
+    """
+    members = materialize(state.members.unionByName(views.select("cluster", "read_id", "individual")).distinct(), "members")
     many = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_hits).select("cluster")
+    settled = materialize(state.clusters.where("is_repeat").select("cluster").unionByName(many).distinct(), "settled")
+    live = materialize(views.select("cluster", "start", "n", "ref", "tgt").join(settled, "cluster", "left_anti"), "live-views")
+    held = state.diffs.join(settled, "cluster", "left_anti").unionByName(block_diffs(live, CROWD))
+    diffs = materialize(held.groupBy("cluster", "position", "reference", "target").agg(F.sum("reads").alias("reads")), "diffs")
     apart = diffs.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_DIFFS).select("cluster")
-    flagged = state.clusters.where("is_repeat").select("cluster").unionByName(many).unionByName(apart).distinct().withColumn("flagged", F.lit(True))
+    flagged = materialize(settled.unionByName(apart).distinct(), "collapsed").withColumn("flagged", F.lit(True))
     clusters = state.clusters.join(flagged, "cluster", "left").withColumn("is_repeat", F.coalesce("flagged", F.lit(False))).drop("flagged").select(state.clusters.columns)
     names = flagged.select("cluster")
     kept = members.join(names, "cluster", "left_anti").unionByName(members.where("cluster = read_id").join(names, "cluster", "left_semi"))
