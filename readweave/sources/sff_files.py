@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readweave.session import shuffle_partitions
+from readweave.session import materialize, shuffle_partitions
 from readweave.sources import sff
 
 INDEX = "read_id string, file string, at bigint, size bigint, num_bases int, num_flows_per_read int"
@@ -144,9 +144,9 @@ def read_records(index: DataFrame) -> DataFrame:
                         first = span[0]["at"]
                         held.seek(first)
                         data = held.read(span[-1]["at"] + span[-1]["size"] - first)
-                        made = [{"file": name} | sff.parse_read(data, r["at"] - first, r["num_flows_per_read"])[0] for r in span]
-                        for k in range(0, len(made), 2000):
-                            yield pa.RecordBatch.from_pylist(made[k : k + 2000], schema=sff._ARROW)
+                        places = [(r["at"] - first, r["num_flows_per_read"]) for r in span]
+                        for k in range(0, len(places), 2000):
+                            yield sff.parse_batch(name, data, places[k : k + 2000])
         finally:
             if held is not None:
                 held.close()
@@ -158,7 +158,7 @@ def read_records(index: DataFrame) -> DataFrame:
 
 def read_sff(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
     """Reads of the files at path; of wanted(read_id), if given, only those records are read."""
-    index = scan(spark, path)
+    index = materialize(scan(spark, path), "flowgram-index")  # ranges are sampled first; files are scanned once
     return read_records(index if wanted is None else index.join(wanted.select("read_id").distinct(), "read_id", "left_semi"))
 
 
@@ -201,8 +201,8 @@ def write_files(reads: DataFrame, folder: str, flow_chars: str, key: str = "TCAG
         with tempfile.TemporaryFile() as spool:
             spool.write(sff.header_bytes(0, flow_chars, key))
             for batch in batches:
-                for r in batch.to_pylist():
-                    spool.write(sff.read_bytes(r, len(flow_chars)))
+                for record in sff.batch_bytes(batch, len(flow_chars)):
+                    spool.write(record)
                     count += 1
             if not count:
                 return
@@ -217,7 +217,8 @@ def write_files(reads: DataFrame, folder: str, flow_chars: str, key: str = "TCAG
                     out.write(data)
         yield pa.RecordBatch.from_pylist([{"number": number, "name": name, "reads": count}], schema=pa.schema([("number", pa.int32()), ("name", pa.string()), ("reads", pa.int64())]))
 
-    done = reads.mapInArrow(run, "number int, name string, reads bigint").orderBy("number").collect()  # a row a partition
+    # a row a partition, sorted here: a sort by ranges would sample them, and so write all files twice
+    done = sorted(reads.mapInArrow(run, "number int, name string, reads bigint").collect(), key=lambda r: r.number)
     system, place = _opened(folder)
     out = []
     for k, r in enumerate(done):
