@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readweave.functions import sequence as S
+from readweave.session import shuffle_partitions
 
 LEAST_GAPS = 2
 LEAST_COVER = 4
@@ -100,25 +101,42 @@ def gap_snps(seen: DataFrame, consensus: DataFrame) -> DataFrame:
     sequence without gaps, call the sign that the consensus has there from then on. seen: observations with read_id; consensus(contig_id, pos, base)."""
     called = consensus.select("contig_id", "pos", F.col("base").alias("consensus"))
     rows = seen.select("contig_id", "pos", "base", "read_id").join(called, ["contig_id", "pos"])
+    # contigs come in a row, many to a batch: a group for each would cost more than its search
+    keys = ["contig_id", "pos", "read_id", "base", "consensus"]
+    dealt = rows.select(keys).repartition(shuffle_partitions(seen.sparkSession), "contig_id").sortWithinPartitions(keys)
 
-    def search(key: tuple, group: pa.Table) -> pa.Table:
-        held = sorted(zip(*(group.column(c).to_pylist() for c in ("pos", "read_id", "base", "consensus")), strict=True))
+    def search(contig: object, held: list[tuple]) -> Iterator[tuple]:
         columns, places = [], []
-        for pos, own in groupby(held, key=lambda r: r[0]):
+        for pos, own in groupby(held, key=lambda r: r[1]):
             seen_here = list(own)
             places.append(pos)
-            columns.append({"consensus": seen_here[0][3], "reads": {r[1]: r[2] for r in seen_here}})
+            columns.append({"consensus": seen_here[0][4], "reads": {r[2]: r[3] for r in seen_here}})
         found = alternations(columns)
         at, mapping = -1, []
         for c in columns:
             at += c["consensus"] != "*"
             mapping.append(max(at, 0))
-        return pa.table({
-            "contig_id": pa.array([key[0].as_py()] * len(found), group.schema.field("contig_id").type), "site": pa.array([mapping[f[0]] for f in found], pa.int32()),
-            "columns": pa.array([[int(places[k]) for k in f] for f in found], pa.list_(pa.int32())), "call": pa.array([columns[f[0]]["consensus"] for f in found], pa.string()),
-        })
-
-    return rows.groupBy("contig_id").applyInArrow(search, f"contig_id {dict(seen.dtypes)['contig_id']}, site int, columns array<int>, call string")
+        for f in found:
+            yield contig, mapping[f[0]], [int(places[k]) for k in f], columns[f[0]]["consensus"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, kind = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind = batch.schema.field("contig_id").type
+            left += zip(*(column.to_pylist() for column in batch.columns), strict=True)
+            whole = [(contig, list(own)) for contig, own in groupby(left, key=lambda r: r[0])]
+            left = whole.pop()[1]  # it may go on
+            yield made([row for contig, own in whole for row in search(contig, own)], kind)
+        if left:
+            yield made(list(search(left[0][0], left)), kind)
+
+    def made(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        kinds = [kind, pa.int32(), pa.list_(pa.int32()), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array([row[k] for row in found], t) for k, t in enumerate(kinds)], ["contig_id", "site", "columns", "call"])
+
+    return dealt.mapInArrow(run, f"contig_id {dict(seen.dtypes)['contig_id']}, site int, columns array<int>, call string")
 
 
 def rewritten(consensus: DataFrame, found: DataFrame) -> DataFrame:
