@@ -424,3 +424,26 @@ def test_words_that_decide_nothing_are_not_asked_for():
         marks.append((filter_, bound))
     asked = kmers.Scores(least[:0], least[:0], cuts, marks).asked(text, 13)[1]
     assert {int(x) for x in asked} >= set(range(296, 314)) and len(asked) < 40
+
+
+def test_edges_shrink_to_a_forest_in_each_task(spark):
+    """A dense graph's edges become fewer than the nodes of a task, whatever the batches, and connect what they did."""
+    rng = random.Random(8)
+    pairs = [(f"n{a % 40}", f"n{(a + 20 * rng.randrange(40)) % 400}") for a in range(9000)] + [("x", "x"), (None, "y"), ("y", "z")]
+    edges = spark.createDataFrame(pairs, "src string, dst string").coalesce(1)
+
+    def groups(links):
+        labels = {n: n for p in pairs for n in p if n}
+        while any(labels[a] != labels[b] for a, b in links):
+            for a, b in links:
+                labels[a] = labels[b] = min(labels[a], labels[b])
+        return labels
+
+    want = groups([p for p in pairs if None not in p])
+    old = graph.FOREST_EDGES
+    for graph.FOREST_EDGES in (old, 1000):
+        found = [tuple(r) for r in graph._forest(edges).collect()]
+        assert len(found) < len(want)
+        assert groups(found) == want
+    graph.FOREST_EDGES = old
+    assert {r.node: r.component for r in graph.connected_components(edges).collect()} == {n: c for n, c in want.items() if n != "x"}
