@@ -178,6 +178,8 @@ def _fitted(docs: DataFrame, ids: dict[int, int], totals: dict[int, int]) -> Mod
     basis = (x.T @ left[:, top] / np.sqrt(value[top])).astype(np.float32) if len(top) else np.zeros((TERMS + SHARES * SHARE_BINS, 1), np.float32)
     model = Model(weights, basis, np.zeros((0, basis.shape[1]), np.float32), y, prior)
     model.vectors = model.project(counts, beside).astype(np.float32)
+    del once, counts, x, left
+    T.release()  # the driver goes on without what the fit took
     return model
 
 
